@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,13 +11,13 @@ from pyspark.sql import functions as F
 from scoutline.config import PLACEHOLDER_DOMAINS
 
 # Unicode blanks. Java's \s knows only the ASCII ones, so the set is spelled out.
-BLANK_CHARS = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+_RARE_BLANKS = (
+    "\x1c\x1d\x1e\x1f\x85\xa0\u1680"
     + "".join(chr(c) for c in range(0x2000, 0x200B))
     + "\u2028\u2029\u202f\u205f\u3000"
 )
-BLANK_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-
+_RARE_RANGE = r"[\x1c-\x1f\x80-\xa0\u1680-\u3000]"
+BLANK_CHARS = "\t\n\x0b\x0c\r " + _RARE_BLANKS
 _LOCAL_PART = r"[A-Za-z0-9._%+\-]"
 _DOMAIN = r"[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 # A run of local-part characters without an @ behind it can hold no address at any later start,
@@ -24,7 +25,7 @@ _DOMAIN = r"[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 # quantifier and this guard keep long runs linear.
 EMAIL_SEARCH = rf"(?:\G|(?<!{_LOCAL_PART})){_LOCAL_PART}++@{_DOMAIN}"
 EMAIL_WHOLE = rf"\A{_LOCAL_PART}+@{_DOMAIN}\z"
-URL_SEARCH = rf"https?://[^{BLANK_CLASS}<>\]\[()]+"
+URL_SEARCH = r"https?://[^\s<>\]\[()]+"
 
 MASK_BITS = 62
 
@@ -39,8 +40,21 @@ def present(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+def plain_blanks(text: Column) -> Column:
+    """Rare blanks as ordinary ones, so that plain ASCII classes can match afterwards.
+
+    A regex class with many ranges is several times slower than the ASCII one. Most texts hold no
+    rare blank: a coarse class rules them out, exact searches the rest.
+    """
+    holds_rare = text.rlike(_RARE_RANGE) & reduce(
+        Column.__or__, [F.contains(text, F.lit(blank)) for blank in _RARE_BLANKS]
+    )
+    return F.when(holds_rare, F.regexp_replace(text, f"[{_RARE_BLANKS}]", " ")).otherwise(text)
+
+
 def word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(f"[^{BLANK_CLASS}]+"))
+    """Words between Unicode blanks."""
+    return F.regexp_count(plain_blanks(text), F.lit(r"\S+"))
 
 
 def within_words(text: Column, bounds: tuple[int, int]) -> Column:
@@ -65,7 +79,8 @@ def extract_email(text: Column) -> Column:
 def extract_urls(text: Column) -> Column:
     """All web addresses in order, without trailing punctuation, as structs of url and host."""
     found = F.when(
-        F.contains(text, F.lit("http")), F.regexp_extract_all(text, F.lit(URL_SEARCH), 0)
+        F.contains(text, F.lit("http")),
+        F.regexp_extract_all(plain_blanks(text), F.lit(URL_SEARCH), 0),
     ).otherwise(F.array().cast("array<string>"))
     cleaned = F.transform(found, lambda x: F.rtrim(x, F.lit(".,;:)")))
     return F.transform(cleaned, lambda u: F.struct(u.alias("url"), url_host(u).alias("host")))
@@ -80,21 +95,27 @@ def profile_links(text: Column) -> Column:
     """Struct of the Instagram profile and the website found in the text.
 
     The first address on the Instagram host is the profile. The website is the first other one
-    outside the video host; a second Instagram address therefore counts as a website.
+    outside the video host; a second Instagram address therefore counts as a website. So among
+    the addresses outside the video host, the website is the first, or the second where the first
+    is the profile.
     """
-    urls = extract_urls(text)
-    profile_at = F.array_position(F.transform(urls, lambda u: u["host"]), "instagram.com")
-    own_site = F.filter(
-        urls,
-        lambda u, i: (i.cast("bigint") + 1 != profile_at)
-        & (u["host"] != "")
+    outside = F.filter(
+        extract_urls(text),
+        lambda u: (u["host"] != "")
         & ~F.endswith(u["host"], F.lit("youtube.com"))
         & ~F.endswith(u["host"], F.lit("youtu.be")),
     )
-    return F.struct(
-        F.when(profile_at > 0, F.get(urls, (profile_at - 1).cast("int"))["url"]).alias("instagram"),
-        F.get(own_site, F.lit(0))["url"].alias("website"),
-    )
+
+    def choose(urls: Column) -> Column:
+        on_instagram = lambda u: u["host"] == "instagram.com"
+        first, second = F.get(urls, F.lit(0)), F.get(urls, F.lit(1))
+        return F.struct(
+            F.get(F.filter(urls, on_instagram), F.lit(0))["url"].alias("instagram"),
+            F.when(on_instagram(first), second["url"]).otherwise(first["url"]).alias("website"),
+        )
+
+    # One-element list: the addresses are found once and used by name.
+    return F.get(F.transform(F.array(outside), choose), F.lit(0))
 
 
 def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:

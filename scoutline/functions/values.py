@@ -63,16 +63,12 @@ def json_string(text: Column) -> Column:
         ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f"),
     ):
         out = F.replace(out, F.lit(raw), F.lit(escaped))
-    units = F.regexp_extract_all(F.hex(F.encode(out, "UTF-16BE")), F.lit("(.{4})"), 1)
-    code = lambda u: F.conv(u, 16, 10).cast("int")
+    units = lambda run: F.regexp_replace(
+        F.lower(F.hex(F.encode(run, "UTF-16BE"))), "(.{4})", r"\\u$1"
+    )
+    runs = F.regexp_extract_all(out, F.lit("[ -~]+|[^ -~]+"), 0)
     rewritten = F.array_join(
-        F.transform(
-            units,
-            lambda u: F.when(code(u).between(32, 126), F.char(code(u))).otherwise(
-                F.concat(F.lit("\\u"), F.lower(u))
-            ),
-        ),
-        "",
+        F.transform(runs, lambda run: F.when(run.rlike("[^ -~]"), units(run)).otherwise(run)), ""
     )
     return F.concat(F.lit('"'), F.when(out.rlike("[^ -~]"), rewritten).otherwise(out), F.lit('"'))
 

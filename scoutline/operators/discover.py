@@ -24,7 +24,7 @@ from scoutline.operators.ordering import running_before
 ITEM_BITS = 10
 PAGE_BITS = 30
 # Pages per block when looking for the page that reaches the target.
-BLOCK_BITS = 12
+BLOCK_BITS = 14
 MAX_BROADCAST_CHAINS = 100_000
 
 
@@ -62,17 +62,19 @@ def search_requests(
 
     ``page_tokens`` (keyword_idx, type_idx, page_token) lists the next pages seen so far.
     """
-    first = spark.createDataFrame(
-        list(enumerate(discovery.keywords)), "keyword_idx int, keyword string"
+    first = spark.range(1).select(
+        F.posexplode(F.array(*[F.lit(k) for k in discovery.keywords])).alias(
+            "keyword_idx", "keyword"
+        )
     ).select(
-        "keyword_idx",
-        "keyword",
-        F.posexplode(F.array(*[F.lit(t) for t in RESULT_TYPES])).alias("type_idx", "result_type"),
+        "*", F.posexplode(F.array(*[F.lit(t) for t in RESULT_TYPES])).alias("type_idx", "result_type")
     )
     plan = first.withColumn("page_token", F.lit(None).cast("string"))
     if page_tokens is not None:
+        chains = len(discovery.keywords) * len(RESULT_TYPES)
+        names = F.broadcast(first) if chains <= MAX_BROADCAST_CHAINS else first
         plan = plan.unionByName(
-            page_tokens.join(first, ["keyword_idx", "type_idx"]).select(*plan.columns)
+            page_tokens.join(names, ["keyword_idx", "type_idx"]).select(*plan.columns)
         )
 
     def text(value: str | None) -> Column:
@@ -219,24 +221,23 @@ def cap_pages(raw_channels: DataFrame, target: int) -> DataFrame:
     blocks = (
         pages.groupBy(F.shiftright("page", BLOCK_BITS).alias("block"))
         .agg(F.sum("n").alias("n"))
-        .withColumn("chain", F.shiftright("block", PAGE_BITS - BLOCK_BITS))
     )
     last_block = (
-        running_before(blocks, "chain", "block")
+        running_before(blocks, "block")
         .where(F.col("before") < target)
         .groupBy()
         .agg(F.max(F.struct("block", "before")).alias("last"))
+        .scalar()
     )
-    in_block = pages.where(
-        F.shiftright("page", BLOCK_BITS) == last_block.select("last.block").scalar()
-    ).withColumnRenamed("page", "page_in_block")
+    in_block = pages.where(F.shiftright("page", BLOCK_BITS) == last_block["block"])
     last_page = (
-        running_before(in_block, "page_in_block")
-        .where(F.col("before") + last_block.select("last.before").scalar() < target)
+        running_before(in_block, "page")
+        .where(F.col("before") + last_block["before"] < target)
         .groupBy()
-        .agg(F.max("page_in_block").alias("page"))
+        .agg(F.max("page").alias("last_page"))
+        .scalar()
     )
-    return raw_channels.where(page <= last_page.scalar())
+    return raw_channels.where(page <= last_page)
 
 
 def keyword_yield(hits: DataFrame) -> DataFrame:

@@ -14,20 +14,18 @@ def running_before(
 ) -> DataFrame:
     """Add ``before``: the sum of ``n`` over all earlier blocks.
 
-    ``counts`` has one row per block (outer, inner) with its size ``n``. Only the totals per
-    ``outer`` value pass through one task, so ``outer`` must have few values (chains, scores,
-    hash prefixes); the blocks of one outer value are summed in a window of their own.
+    ``counts`` has one row per block (outer, inner) with its size ``n``. Only one row per
+    ``outer`` value passes through one task, so ``outer`` must have few values (large blocks,
+    scores, hash prefixes); the blocks of one outer value are summed in a window of their own.
     """
     order = F.col(outer).desc() if descending else F.col(outer).asc()
     earlier = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
+    if inner is None:
+        return counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), zero))
     totals = counts.groupBy(outer).agg(F.sum("n").alias("outer_n"))
     totals = totals.select(outer, F.coalesce(F.sum("outer_n").over(earlier), zero).alias("before"))
-    if inner is None:
-        return counts.join(totals, outer)
-    within = (
-        Window.partitionBy(outer).orderBy(inner).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    within = Window.partitionBy(outer).orderBy(inner).rowsBetween(Window.unboundedPreceding, -1)
     return (
         counts.withColumn("inner_before", F.coalesce(F.sum("n").over(within), zero))
         .join(totals, outer)

@@ -86,15 +86,17 @@ _UPLOADS = """uploads as (
                  from orders) o where place <= 10)"""
 
 _VIDEOS = """vids as (
-  select l_orderkey as ok,
-         case when l_orderkey % 17 = 0 then 0 when l_orderkey % 41 = 0 then null
-              else cast(sum(l_quantity) * 10 as bigint) end as views,
-         count(*) as likes,
-         case when l_orderkey % 19 = 0 then null
-              else sum(case when l_returnflag = 'R' then 1 else 0 end) end as comments,
-         min(p_name) as title,
-         concat(min(p_name), ' ', max(p_name), ' ', min(p_type), ' ', max(p_brand)) as vtext
-  from lineitem join part on p_partkey = l_partkey group by l_orderkey)"""
+  select ok, views, likes, comments, a.p_name as title,
+         concat(a.p_name, ' ', z.p_name, ' ', a.p_type, ' ', a.p_brand) as vtext
+  from (select l_orderkey as ok,
+               case when l_orderkey % 17 = 0 then 0 when l_orderkey % 41 = 0 then null
+                    else cast(sum(l_quantity) * 10 as bigint) end as views,
+               count(*) as likes,
+               case when l_orderkey % 19 = 0 then null
+                    else sum(case when l_returnflag = 'R' then 1 else 0 end) end as comments,
+               min(l_partkey) as lo, max(l_partkey) as hi
+        from lineitem group by l_orderkey) v
+  join part a on a.p_partkey = lo join part z on z.p_partkey = hi)"""
 
 _METRICS = """metrics as (
   select ck, avg(views) as avg_views,

@@ -15,6 +15,12 @@ _SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Text rules are heavy per byte, so small shuffles keep their parallelism.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
+    # Streaming state may outgrow the executor heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
