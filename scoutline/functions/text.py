@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from scoutline.config import PLACEHOLDER_DOMAINS
+from scoutline.functions.values import bound
 
 # Unicode blanks. Java's \s knows only the ASCII ones, so the set is spelled out.
 _RARE_BLANKS = (
@@ -46,10 +47,14 @@ def plain_blanks(text: Column) -> Column:
     A regex class with many ranges is several times slower than the ASCII one. Most texts hold no
     rare blank: a coarse class rules them out, exact searches the rest.
     """
-    holds_rare = text.rlike(_RARE_RANGE) & reduce(
-        Column.__or__, [F.contains(text, F.lit(blank)) for blank in _RARE_BLANKS]
-    )
-    return F.when(holds_rare, F.regexp_replace(text, f"[{_RARE_BLANKS}]", " ")).otherwise(text)
+
+    def ordinary(t: Column) -> Column:
+        holds_rare = t.rlike(_RARE_RANGE) & reduce(
+            Column.__or__, [F.contains(t, F.lit(blank)) for blank in _RARE_BLANKS]
+        )
+        return F.when(holds_rare, F.regexp_replace(t, f"[{_RARE_BLANKS}]", " ")).otherwise(t)
+
+    return bound(text, ordinary)
 
 
 def word_count(text: Column) -> Column:
@@ -114,8 +119,7 @@ def profile_links(text: Column) -> Column:
             F.when(on_instagram(first), second["url"]).otherwise(first["url"]).alias("website"),
         )
 
-    # One-element list: the addresses are found once and used by name.
-    return F.get(F.transform(F.array(outside), choose), F.lit(0))
+    return bound(outside, choose)
 
 
 def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:

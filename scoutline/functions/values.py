@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import Column
@@ -13,6 +14,14 @@ _NUMBER = r"(?i)\A[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?\z|\A[+-]?inf(inity)?\z"
 _ISO = r"\A\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?\z"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it.
+
+    A one-element list names the value; plain nesting would repeat the whole expression.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def to_count(text: Column) -> Column:
     """Whole number, or NULL for anything else."""
     return F.trim(text).try_cast("bigint")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scoutline.config import Angles, Brand, DraftLimits
 from scoutline.functions.text import present, strip, within_words, word_count
-from scoutline.functions.values import or_sentinel
+from scoutline.functions.values import bound, or_sentinel
 from scoutline.schemas import MESSAGE_COLUMNS
 
 # Fixed values -------------------------------------------------------------------------------
@@ -103,18 +103,20 @@ def parse_response(response: Column) -> Column:
         _STRICT,
     )
     body = strip(response)
-    whole = (
-        F.startswith(body, F.lit("{"))
-        & F.endswith(body, F.lit("}"))
-        & (F.size(as_list) == 1)
-        & (as_field["end"] == 1)
-    )
-    first = F.get(as_list, F.lit(0))
-    return F.struct(
-        *[
-            F.coalesce(F.when(whole, strip(first[name])), F.lit("")).alias(name)
-            for name in ("subject", "email", "dm")
-        ]
+    braces = F.startswith(body, F.lit("{")) & F.endswith(body, F.lit("}"))
+
+    def fields(read: Column) -> Column:
+        whole = read["braces"] & (F.size(read["list"]) == 1) & (read["field"]["end"] == 1)
+        first = F.get(read["list"], F.lit(0))
+        return F.struct(
+            *[
+                F.coalesce(F.when(whole, strip(first[name])), F.lit("")).alias(name)
+                for name in ("subject", "email", "dm")
+            ]
+        )
+
+    return bound(
+        F.struct(braces.alias("braces"), as_list.alias("list"), as_field.alias("field")), fields
     )
 
 
@@ -142,11 +144,16 @@ def check_attempts(attempts: DataFrame, limits: DraftLimits) -> DataFrame:
 
 
 def first_valid(checked: DataFrame) -> DataFrame:
-    """The first valid draft of each creator."""
+    """The first valid draft of each creator.
+
+    Invalid attempts drop out as NULLs of the aggregate; a filter on ``valid`` would make the
+    optimizer repeat the parsing inside the filter.
+    """
+    number = F.when(F.col("valid"), F.col("attempt"))
     return (
-        checked.where("valid")
-        .groupBy("creator_id")
-        .agg(F.min_by("draft", "attempt").alias("draft"), F.min("attempt").alias("attempt"))
+        checked.groupBy("creator_id")
+        .agg(F.min_by("draft", number).alias("draft"), F.min(number).alias("attempt"))
+        .where(F.col("attempt").isNotNull())
     )
 
 
