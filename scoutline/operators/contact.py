@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from scoutline.functions.text import is_valid_email, present, strip
 from scoutline.functions.values import moment_literal, to_flag
 from scoutline.operators.drafts import PENDING_APPROVAL
-from scoutline.schemas import DM_QUEUE, OUTREACH_LOG
+from scoutline.schemas import DM_QUEUE, CONTACT_LOG
 
 # Fixed values -------------------------------------------------------------------------------
 SIMULATED = "SIMULATED"
@@ -101,7 +101,7 @@ def log_rows(plan: DataFrame, run_at: datetime) -> DataFrame:
         "status": F.col("status"),
         "error": error,
     }
-    return plan.select(*[values[f.name].alias(f.name) for f in OUTREACH_LOG.fields])
+    return plan.select(*[values[f.name].alias(f.name) for f in CONTACT_LOG.fields])
 
 
 def new_dms(messages: DataFrame, queue: DataFrame) -> DataFrame:

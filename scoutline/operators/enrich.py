@@ -11,13 +11,13 @@ from scoutline.config import (
     API_PAGE_LIMIT,
     DEFAULT_SOURCE,
     EMAIL_SOURCE,
-    NOT_FOUND,
     PLATFORM,
     PROFILE_URL_PREFIX,
     Enrichment,
     Settings,
 )
 from scoutline.functions.text import (
+    MASK_BITS,
     extract_email,
     keyword_hits,
     keyword_masks,
@@ -25,7 +25,7 @@ from scoutline.functions.text import (
     present,
     profile_links,
 )
-from scoutline.functions.values import to_count, to_timestamp
+from scoutline.functions.values import bound, to_count, to_timestamp
 from scoutline.operators.ordering import position
 from scoutline.schemas import CREATORS
 
@@ -54,6 +54,34 @@ def id_batches(
     )
 
 
+def channel_facts(channels: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
+    """What a record needs of each channel, without its long description.
+
+    The text rules run in the scan stage, so descriptions are not shuffled by the joins that
+    follow; only keywords with a blank still need the text.
+    """
+    description = F.col("description")
+    masks = keyword_masks(F.coalesce(description, F.lit("")), keywords)
+    return channels.select(
+        "*", profile_links(description).alias("links"), extract_email(description).alias("email")
+    ).select(
+        "channel_id",
+        "resp_pos",
+        F.coalesce("title", F.lit("")).alias("name"),
+        to_count(F.col("subscriber_count")).alias("followers"),
+        "email",
+        F.when(F.col("email").isNotNull(), F.lit(EMAIL_SOURCE)).alias("email_source"),
+        F.col("links.instagram").alias("instagram_url"),
+        F.col("links.website").alias("website"),
+        present(F.col("country")).alias("country"),
+        spoken_language().alias("language"),
+        "uploads_playlist",
+        "invalid_field",
+        *[mask.alias(f"own_mask_{i}") for i, mask in enumerate(masks)],
+        *(["description"] if _seam_keywords(keywords) else []),
+    )
+
+
 def latest_records(channels: DataFrame) -> DataFrame:
     """One record per channel id; of repeated ones the last in response order."""
     fields = [c for c in channels.columns if c not in ("channel_id", "resp_pos")]
@@ -101,16 +129,14 @@ def video_text() -> Column:
     return F.concat_ws(" ", F.coalesce("title", blank), F.coalesce("description", blank), tags)
 
 
-def video_metrics(videos: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
-    """One row per playlist: average views, engagement, titles, latest upload, keyword masks.
+def video_facts(videos: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
+    """What the metrics need of each video, computed in the scan stage.
 
-    At most 50 small structs are gathered per playlist. They are folded in response order, which
-    keeps the mean of ratios the same on every run.
+    Descriptions and tags become keyword masks here, so the joins move only short rows.
     """
     masks = keyword_masks(F.col("text"), keywords)
-    mask_names = [f"mask_{i}" for i in range(len(masks))]
-    per_video = videos.withColumn("text", video_text()).select(
-        "playlist_id",
+    return videos.withColumn("text", video_text()).select(
+        "video_id",
         "invalid_field",
         to_count(F.col("view_count")).alias("views"),
         F.struct(
@@ -120,17 +146,31 @@ def video_metrics(videos: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
             "published_at",
             *([F.col("text")] if _seam_keywords(keywords) else []),
         ).alias("video"),
-        *[mask.alias(name) for mask, name in zip(masks, mask_names)],
+        *[mask.alias(f"mask_{i}") for i, mask in enumerate(masks)],
     )
-    grouped = per_video.groupBy("playlist_id").agg(
+
+
+def video_metrics(
+    uploads: DataFrame, videos: DataFrame, keywords: tuple[str, ...]
+) -> DataFrame:
+    """One row per playlist: average views, engagement, titles, latest upload, keyword masks.
+
+    At most 50 small structs are gathered per playlist. They are folded in response order, which
+    keeps the mean of ratios the same on every run.
+    """
+    facts = uploaded_videos(uploads, video_facts(videos, keywords))
+    mask_names = [c for c in facts.columns if c.startswith("mask_")]
+    grouped = facts.groupBy("playlist_id").agg(
         F.avg("views").alias("avg_views"),
         F.array_sort(F.collect_list("video")).alias("videos"),
         F.max("invalid_field").alias("video_invalid"),
         *[F.bit_or(name).alias(name) for name in mask_names],
     )
     rates = F.filter(F.transform("videos", lambda v: v["rate"]), lambda r: r.isNotNull())
-    mean_rate = F.aggregate(rates, F.lit(0.0), lambda total, r: total + r) / F.nullif(
-        F.size(rates), F.lit(0)
+    mean_rate = bound(
+        rates,
+        lambda r: F.aggregate(r, F.lit(0.0), lambda total, x: total + x)
+        / F.nullif(F.size(r), F.lit(0)),
     )
     return grouped.select(
         "playlist_id",
@@ -156,22 +196,25 @@ def _seam_keywords(keywords: tuple[str, ...]) -> list[str]:
 def public_keywords(keywords: tuple[str, ...]) -> Column:
     """Keywords found in the channel description or any video text, in configured order.
 
-    Works on a description joined to ``video_metrics``. Masks combine per-text hits; only
+    Works on ``channel_facts`` joined to ``video_metrics``. Masks combine per-text hits; only
     keywords with a blank need the joined text.
     """
-    own = keyword_masks(F.coalesce("description", F.lit("")), keywords)
     zero = F.lit(0).cast("bigint")
+    words = range((len(keywords) + MASK_BITS - 1) // MASK_BITS)
     masks = [
-        mask.bitwiseOR(F.coalesce(F.col(f"mask_{i}"), zero)) for i, mask in enumerate(own)
+        F.coalesce(F.col(f"own_mask_{i}"), zero).bitwiseOR(F.coalesce(F.col(f"mask_{i}"), zero))
+        for i in words
     ]
     found = mask_keywords(masks, keywords)
     seam = _seam_keywords(keywords)
     if not seam:
         return found
     joined = F.concat_ws(" ", F.coalesce("description", F.lit("")), F.col("video_text"))
-    either = F.array_union(found, keyword_hits(joined, seam))
-    return F.filter(
-        F.array(*[F.lit(k) for k in keywords]), lambda k: F.array_contains(either, k)
+    return bound(
+        F.array_union(found, keyword_hits(joined, seam)),
+        lambda either: F.filter(
+            F.array(*[F.lit(k) for k in keywords]), lambda k: F.array_contains(either, k)
+        ),
     )
 
 
@@ -189,9 +232,10 @@ def creators(
     """
     keywords = settings.rules.niche_keywords
     uploads = recent_uploads(playlist_items, settings.enrichment)
-    metrics = video_metrics(uploaded_videos(uploads, videos), keywords)
-    joined = with_channel_records(raw_channels, channels).join(
-        metrics, F.col("uploads_playlist") == F.col("playlist_id"), "left"
+    joined = with_channel_records(raw_channels, channel_facts(channels, keywords)).join(
+        video_metrics(uploads, videos, keywords),
+        F.col("uploads_playlist") == F.col("playlist_id"),
+        "left",
     )
     video_error = F.concat(F.lit("invalid "), "video_invalid")
     return _record(
@@ -199,67 +243,59 @@ def creators(
     )
 
 
-def with_channel_records(raw_channels: DataFrame, channels: DataFrame) -> DataFrame:
+def with_channel_records(raw_channels: DataFrame, facts: DataFrame) -> DataFrame:
     """Discovered channels with their latest record, and why it cannot be used, if so."""
-    records = latest_records(channels).withColumnRenamed("title", "name")
+    records = latest_records(facts).withColumn("landed", F.lit(True))
     error = F.when(F.col("landed").isNull(), F.lit("no channel record")).otherwise(
         F.concat(F.lit("invalid "), "invalid_field")
     )
     return (
-        raw_channels.join(records.withColumn("landed", F.lit(True)), "channel_id", "left")
+        raw_channels.join(records, "channel_id", "left")
         .withColumn("enrich_error", error)
         .drop("landed", "invalid_field")
     )
 
 
+# Columns of a record that come from the channel or its videos as they are.
+_MEASURED = (
+    "followers", "avg_views", "engagement_rate", "email", "email_source", "instagram_url",
+    "website", "country", "language",
+)
+
+
 def _record(joined: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
     valid = F.col("enrich_error").isNull()
-    text_null = F.lit(None).cast("string")
+    no_text, no_list = F.lit(None).cast("string"), F.array().cast("array<string>")
     hits = present(F.array_join(public_keywords(keywords), ", "))
-    prepared = joined.select(
-        "*",
-        F.when(valid, extract_email(F.col("description"))).alias("email"),
-        F.when(valid, profile_links(F.col("description"))).alias("links"),
-        F.when(valid, hits).alias("themes"),
-    )
-    no_titles = F.array().cast("array<string>")
-    values = {
+    themed = joined.withColumn("themes", F.when(valid, hits))
+    values = {name: F.when(valid, F.col(name)) for name in _MEASURED} | {
         "id": F.col("channel_id"),
         "name": creator_name(),
         "platform": F.lit(PLATFORM),
         "profile_url": profile_url(F.col("channel_id")),
-        "followers": F.when(valid, to_count(F.col("subscriber_count"))),
-        "avg_views": F.when(valid, F.col("avg_views")),
-        "engagement_rate": F.when(valid, F.col("engagement_rate")),
         "niche": F.col("themes"),
         "content_themes": F.col("themes"),
-        "recent_titles": F.coalesce(F.when(valid, F.col("recent_titles")), no_titles),
-        "email": F.col("email"),
-        "email_source": F.when(F.col("email").isNotNull(), F.lit(EMAIL_SOURCE)),
-        "instagram_url": F.col("links.instagram"),
-        "website": F.col("links.website"),
-        "audience_age": text_null,
-        "audience_gender": text_null,
-        "audience_geo": text_null,
-        "country": F.when(valid, F.col("country")),
-        "language": F.when(valid, spoken_language()),
+        "recent_titles": F.coalesce(F.when(valid, F.col("recent_titles")), no_list),
+        "audience_age": no_text,
+        "audience_gender": no_text,
+        "audience_geo": no_text,
         "last_upload": F.when(valid, to_timestamp(F.col("published_at"))),
         "brand_fit_score": F.lit(None).cast("double"),
         "status": F.lit("UNFILTERED"),
-        "fail_reasons": F.array().cast("array<string>"),
+        "fail_reasons": no_list,
         "source": F.coalesce(present(F.col("source_keyword")), F.lit(DEFAULT_SOURCE)),
         "fetched_at": F.col("fetched_at"),
         "pos": F.col("pos"),
         "enrich_error": F.col("enrich_error"),
     }
-    return prepared.select(*[values[f.name].alias(f.name) for f in CREATORS.fields])
+    return themed.select(*[values[f.name].alias(f.name) for f in CREATORS.fields])
 
 
 def creator_name() -> Column:
     """Name from the channel record, or the discovered title (or nothing) without one."""
-    return F.when(
-        F.col("enrich_error").isNull(), F.coalesce("name", F.lit(""))
-    ).otherwise(present(F.col("title")))
+    return F.when(F.col("enrich_error").isNull(), F.col("name")).otherwise(
+        present(F.col("title"))
+    )
 
 
 def profile_url(channel_id: Column) -> Column:

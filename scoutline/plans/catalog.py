@@ -15,7 +15,7 @@ from scoutline.functions import text, values
 from scoutline.operators import contact, discover, drafts, enrich, quality, score
 from scoutline.plans import views as V
 from scoutline.plans.flagship import AS_OF, TEST_SETTINGS, evaluated
-from scoutline.schemas import CREATORS, OUTREACH_LOG, RAW_CHANNELS
+from scoutline.schemas import CREATORS, CONTACT_LOG, RAW_CHANNELS
 from scoutline.session import configure, shared_dir
 from scoutline.sources import landing, tables
 from scoutline.streaming import jobs
@@ -87,17 +87,18 @@ def _creators(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _recent_videos(
-    spark: SparkSession, sf_dir: str, resp_idx: Column | None = None
-) -> DataFrame:
-    uploads = enrich.recent_uploads(V.playlist_items(spark, sf_dir), TEST_SETTINGS.enrichment)
-    return enrich.uploaded_videos(uploads, V.videos(spark, sf_dir, resp_idx))
+def _uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.recent_uploads(V.playlist_items(spark, sf_dir), TEST_SETTINGS.enrichment)
 
 
-def _metrics(spark: SparkSession, sf_dir: str, resp_idx: Column | None = None) -> DataFrame:
-    return enrich.video_metrics(
-        _recent_videos(spark, sf_dir, resp_idx), TEST_SETTINGS.rules.niche_keywords
-    )
+def _metrics(
+    spark: SparkSession,
+    sf_dir: str,
+    resp_idx: Column | None = None,
+    keywords: tuple[str, ...] = TEST_SETTINGS.rules.niche_keywords,
+) -> DataFrame:
+    videos = V.videos(spark, sf_dir, resp_idx)
+    return enrich.video_metrics(_uploads(spark, sf_dir), videos, keywords)
 
 
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,14 +244,13 @@ def id_batches(spark, sf_dir):
 
 @query
 def channel_left_join(spark, sf_dir):
-    joined = enrich.with_channel_records(
-        V.raw_channels(spark, sf_dir), V.channel_responses(spark, sf_dir)
-    )
+    facts = enrich.channel_facts(V.channel_responses(spark, sf_dir), ())
+    joined = enrich.with_channel_records(V.raw_channels(spark, sf_dir), facts)
     valid = F.col("enrich_error").isNull()
     return joined.select(
         F.col("channel_id").alias("id"),
         enrich.creator_name().alias("name"),
-        F.when(valid, values.to_count(F.col("subscriber_count"))).alias("followers"),
+        F.when(valid, F.col("followers")).alias("followers"),
         F.when(valid, F.col("country")).alias("country"),
         F.col("source_keyword").alias("source"),
         clock(F.col("fetched_at")).alias("fetched_at"),
@@ -273,12 +273,13 @@ def enrichment_summary(spark, sf_dir):
 
 @query
 def recent_uploads(spark, sf_dir):
-    return enrich.recent_uploads(V.playlist_items(spark, sf_dir), TEST_SETTINGS.enrichment)
+    return _uploads(spark, sf_dir)
 
 
 @query
 def uploaded_videos(spark, sf_dir):
-    return _recent_videos(spark, sf_dir).select("playlist_id", "video_id", "title", "published_at")
+    found = enrich.uploaded_videos(_uploads(spark, sf_dir), V.videos(spark, sf_dir))
+    return found.select("playlist_id", "video_id", "title", "published_at")
 
 
 @query
@@ -320,8 +321,8 @@ def counts_parsed(spark, sf_dir):
 @query
 def public_text_hits(spark, sf_dir):
     keywords = ("customer", "red", "bolt", "gear", "ECONOMY", "furniture")
-    metrics = enrich.video_metrics(_recent_videos(spark, sf_dir), keywords)
-    joined = V.channels(spark, sf_dir).join(
+    metrics = _metrics(spark, sf_dir, keywords=keywords)
+    joined = enrich.channel_facts(V.channels(spark, sf_dir), keywords).join(
         metrics, F.col("uploads_playlist") == F.col("playlist_id"), "left"
     )
     return joined.select(
@@ -585,7 +586,7 @@ def contact_plan_live(spark, sf_dir):
 @query
 def contact_first_run(spark, sf_dir):
     """No log exists yet."""
-    log = tables.read_optional(spark, shared_dir(spark, "no-log-yet"), OUTREACH_LOG)
+    log = tables.read_optional(spark, shared_dir(spark, "no-log-yet"), CONTACT_LOG)
     return contact.plan_contacts(V.messages(spark, sf_dir), log).select("pos", "status")
 
 
@@ -599,12 +600,12 @@ def outcome_log(spark, sf_dir):
 @query
 def log_after_two_runs(spark, sf_dir):
     """The same messages planned twice against a log that is only appended to."""
-    path = shared_dir(spark, "outreach-log")
+    path = shared_dir(spark, "contact-log")
     batch = V.messages(spark, sf_dir)
     for run_at in (RUN_AT, RERUN_AT):
-        log = tables.read_optional(spark, path, OUTREACH_LOG)
+        log = tables.read_optional(spark, path, CONTACT_LOG)
         tables.append_log(contact.plan_contacts(batch, log), run_at, path)
-    log = tables.read_table(spark, path, OUTREACH_LOG)
+    log = tables.read_table(spark, path, CONTACT_LOG)
     return log.select(
         "influencer_id", "email", clock(F.col("date")).alias("date"), "status", "sent"
     )
@@ -669,7 +670,7 @@ def stream_contact(spark, sf_dir):
     messages = V.customer_messages(_stream(spark, sf_dir, "customer"))
     log = V.contact_log(spark, sf_dir)
     jobs.contact_log(messages, log, out, checkpoint, RUN_AT).awaitTermination()
-    return tables.read_table(spark, out, OUTREACH_LOG).select(
+    return tables.read_table(spark, out, CONTACT_LOG).select(
         "influencer_id", "email", "email_subject", "status"
     )
 

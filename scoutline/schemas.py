@@ -49,7 +49,7 @@ MESSAGES = _schema(
     influencer_id=TEXT, influencer=TEXT, email=TEXT, subject=TEXT, email_message=TEXT, dm=TEXT,
     collab_angle=TEXT, message_status=TEXT, approved=FLAG, pos=WHOLE,
 )
-OUTREACH_LOG = _schema(
+CONTACT_LOG = _schema(
     influencer_id=TEXT, influencer=TEXT, email=TEXT, message_generated=TEXT, email_subject=TEXT,
     sent=FLAG, date=TIME, status=TEXT, error=TEXT,
 )

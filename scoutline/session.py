@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+PARTITIONS_PER_CORE = 4
+
 # Skew handling is left to AQE for joins: with forceOptimizeSkewedJoin a hot join key is split
 # even where the split costs one more exchange for a later aggregate.
 _SQL_CONF = {
@@ -25,9 +27,19 @@ _SQL_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the run-time SQL options that every operator relies on."""
+    """Set the run-time SQL options that every operator relies on.
+
+    On a cluster AQE starts from several small partitions per core and merges what stays small;
+    a larger ``spark.sql.shuffle.partitions`` of the session is respected.
+    """
     for key, value in _SQL_CONF.items():
         spark.conf.set(key, value)
+    if not spark.sparkContext.master.startswith("local"):
+        wanted = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+        asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, asked))
+        )
     return spark
 
 

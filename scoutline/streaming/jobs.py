@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from scoutline.operators.contact import log_rows, plan_contacts
-from scoutline.operators.discover import request_cost
-from scoutline.schemas import OUTREACH_LOG
+from scoutline.operators.discover import first_seen, request_cost
+from scoutline.schemas import CONTACT_LOG, RAW_CHANNELS
 from scoutline.sources.tables import read_optional
 
 
@@ -36,30 +36,26 @@ def _run(
     )
 
 
-def new_channels(
-    hits: DataFrame, table: str, checkpoint: str, lateness: str = "2 days"
-) -> StreamingQuery:
+def new_channels(hits: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Append creators that arriving hits show for the first time.
 
-    State holds only ids within the watermark; the table itself settles later repeats. Which hit
-    is credited depends on arrival, the set of ids does not.
+    The table is the only state: each batch reduces its hits to one row per creator before the
+    shuffle, however often a creator occurs, and drops those already stored. Which hit is
+    credited depends on arrival, the set of ids does not.
     """
-    recent = hits.withWatermark("fetched_at", lateness).dropDuplicatesWithinWatermark(
-        ["channel_id"]
-    )
-    columns = ["channel_id", "title", "keyword", "fetched_at"]
-    schema = recent.select(*columns).schema
+    columns = [f.name for f in RAW_CHANNELS.fields]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        known = _earlier_batches(batch.sparkSession, table, schema, batch_id)
+        known = _earlier_batches(batch.sparkSession, table, RAW_CHANNELS, batch_id)
         (
-            batch.select(*columns)
+            first_seen(batch)
             .join(known.select("channel_id"), "channel_id", "left_anti")
+            .select(*columns)
             .write.mode("overwrite")
             .parquet(f"{table}/batch_id={batch_id}")
         )
 
-    return _run(recent, checkpoint, write)
+    return _run(hits, checkpoint, write)
 
 
 def contact_log(
@@ -71,10 +67,10 @@ def contact_log(
     live: bool = False,
 ) -> StreamingQuery:
     """Plan contacts for arriving messages against the old log and all earlier batches."""
-    columns = [f.name for f in OUTREACH_LOG.fields]
+    columns = [f.name for f in CONTACT_LOG.fields]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        earlier = _earlier_batches(batch.sparkSession, table, OUTREACH_LOG, batch_id)
+        earlier = _earlier_batches(batch.sparkSession, table, CONTACT_LOG, batch_id)
         blocked = base_log.select("email", "status").unionByName(earlier.select("email", "status"))
         (
             log_rows(plan_contacts(batch, blocked, live), run_at)

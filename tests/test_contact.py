@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scoutline.operators import contact
-from scoutline.schemas import DM_QUEUE, MESSAGES, OUTREACH_LOG
+from scoutline.schemas import DM_QUEUE, MESSAGES, CONTACT_LOG
 from scoutline.sources import tables
 
 AT = datetime(2026, 10, 1, tzinfo=timezone.utc)
@@ -26,7 +26,7 @@ def batch(spark, *rows):
 
 def log(spark, *pairs):
     data = [(None, None, e, None, None, False, AT, s, "") for e, s in pairs]
-    return spark.createDataFrame(data, OUTREACH_LOG)
+    return spark.createDataFrame(data, CONTACT_LOG)
 
 
 def statuses(df):
@@ -37,13 +37,13 @@ def test_dry_live_sequence(spark, tmp_path):
     path, sent = str(tmp_path / "log"), []
     messages = batch(spark, message(0))
     for live in (False, False, True, True):
-        plan = contact.plan_contacts(messages, tables.read_optional(spark, path, OUTREACH_LOG), live)
+        plan = contact.plan_contacts(messages, tables.read_optional(spark, path, CONTACT_LOG), live)
         told = plan.where(F.col("status") == "PLANNED").select("pos", F.lit("").alias("error"))
         settled = contact.merge_outcomes(plan, told)
         tables.append_log(settled, AT, path)
         sent.append(statuses(settled)[0])
     assert sent == ["SIMULATED", "SKIPPED_DUPLICATE", "SENT_TO_TEST_INBOX", "SKIPPED_DUPLICATE"]
-    rows = tables.read_table(spark, path, OUTREACH_LOG).collect()
+    rows = tables.read_table(spark, path, CONTACT_LOG).collect()
     assert len(rows) == 4 and sum(r["sent"] for r in rows) == 1
 
 

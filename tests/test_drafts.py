@@ -13,7 +13,7 @@ AT = datetime(2026, 10, 1, tzinfo=timezone.utc)
 
 
 def words(n):
-    return " ".join(["FAKE_FIXTURE"] * n)
+    return " ".join(["word"] * n)
 
 
 def response(email=60, dm=15, subject="Hello there"):

@@ -2,7 +2,7 @@ from datetime import datetime
 
 from scoutline.config import Brand, DraftLimits
 from scoutline.operators import quality
-from scoutline.schemas import CREATORS, MESSAGES, OUTREACH_LOG, RAW_CHANNELS
+from scoutline.schemas import CREATORS, MESSAGES, CONTACT_LOG, RAW_CHANNELS
 
 AT = datetime(2026, 10, 1)
 
@@ -41,7 +41,7 @@ def test_log_email_and_completeness(spark):
     rows = [(None, None, e, None, None, True, AT, s, "") for e, s in
             [("a@b.co", "SENT_TO_TEST_INBOX"), (" A@b.co", "SENT_TO_TEST_INBOX"), ("a@b.co", "FAILED"),
              ("c@b.co", "SENT_TO_TEST_INBOX")]]
-    log = spark.createDataFrame(rows, OUTREACH_LOG)
+    log = spark.createDataFrame(rows, CONTACT_LOG)
     people = creators(spark, dict(id="a", email="x@y.co"), dict(id="b", email="made@up.co"), dict(id="c"))
     channels = spark.createDataFrame(
         [("a", "write X@Y.co"), ("b", "nothing"), ("d", "")], "channel_id string, description string")
@@ -54,5 +54,5 @@ def test_log_email_and_completeness(spark):
 
 
 def test_empty_tables_are_fine(spark):
-    log = spark.createDataFrame([], OUTREACH_LOG)
+    log = spark.createDataFrame([], CONTACT_LOG)
     assert failed(quality.log_checks(log)) == {"no duplicate send": (0, 0, True)}

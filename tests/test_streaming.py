@@ -2,7 +2,7 @@ import random
 from datetime import datetime, timedelta, timezone
 
 from scoutline.operators import contact, discover
-from scoutline.schemas import MESSAGES, OUTREACH_LOG
+from scoutline.schemas import MESSAGES, CONTACT_LOG
 from scoutline.sources import tables
 from scoutline.streaming import jobs
 from tests.test_contact import message
@@ -26,7 +26,7 @@ def test_new_channels_over_two_landings(spark, tmp_path):
     for part in (hits[:150], hits[150:]):
         land(spark.createDataFrame(part, HITS), source)
         stream = spark.readStream.schema(HITS).parquet(source)
-        jobs.new_channels(stream, out, state, lateness="1 hour").awaitTermination()
+        jobs.new_channels(stream, out, state).awaitTermination()
     rows = [r["channel_id"] for r in spark.read.parquet(out).collect()]
     assert len(rows) == len(set(rows)) and set(rows) == {h[5] for h in hits}
     batch = discover.first_seen(spark.createDataFrame(hits, HITS))
@@ -38,12 +38,12 @@ def test_contact_log_over_two_landings_equals_batch(spark, tmp_path):
     rng = random.Random(4)
     rows = [message(i, email=f"u{rng.randint(0, 25)}@b.co") for i in range(80)]
     base = spark.createDataFrame(
-        [(None, None, "u3@b.co", None, None, False, AT, "FAILED", "")], OUTREACH_LOG)
+        [(None, None, "u3@b.co", None, None, False, AT, "FAILED", "")], CONTACT_LOG)
     for part in (rows[:40], rows[40:]):
         land(spark.createDataFrame(part, MESSAGES), source)
         stream = spark.readStream.schema(MESSAGES).parquet(source)
         jobs.contact_log(stream, base, out, state, AT).awaitTermination()
-    logged = {r["influencer_id"]: r["status"] for r in tables.read_table(spark, out, OUTREACH_LOG).collect()}
+    logged = {r["influencer_id"]: r["status"] for r in tables.read_table(spark, out, CONTACT_LOG).collect()}
     batch = contact.plan_contacts(spark.createDataFrame(rows, MESSAGES), base)
     assert logged == {r["influencer_id"]: r["status"] for r in batch.collect()}
 
@@ -51,11 +51,11 @@ def test_contact_log_over_two_landings_equals_batch(spark, tmp_path):
 def test_replayed_batch_replaces_its_own_rows(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     land(spark.createDataFrame([message(0), message(1)], MESSAGES), source)
-    empty = spark.createDataFrame([], OUTREACH_LOG)
+    empty = spark.createDataFrame([], CONTACT_LOG)
     for attempt in ("first", "again"):  # a lost checkpoint replays batch 0
         stream = spark.readStream.schema(MESSAGES).parquet(source)
         jobs.contact_log(stream, empty, out, str(tmp_path / attempt), AT).awaitTermination()
-    rows = tables.read_table(spark, out, OUTREACH_LOG).collect()
+    rows = tables.read_table(spark, out, CONTACT_LOG).collect()
     assert sorted(r["status"] for r in rows) == ["SIMULATED", "SKIPPED_DUPLICATE"]
 
 

@@ -71,7 +71,7 @@ def random_texts(pieces, count, seed):
 
 def test_email_equals_scan(evaluate):
     pieces = list("ab1._%+-@@@.,;: \n") + [
-        "Hello@Brand.com", "@example.com", "x@domain.com", ".co", "a@b.cc", "é", "_x@c.org", "..",
+        "Me@Shop.com", "@example.com", "x@domain.com", ".co", "a@b.cc", "é", "_x@c.org", "..",
     ]
     texts = random_texts(pieces, 3000, 1)
     assert evaluate(text.extract_email, texts) == [scanned_email(t) for t in texts]
@@ -80,8 +80,8 @@ def test_email_equals_scan(evaluate):
 
 
 def test_email_examples(evaluate):
-    texts = ["Business: Hello@Brand.com.", "no contact here", None, "me@example.com or y@b.org"]
-    assert evaluate(text.extract_email, texts) == ["hello@brand.com", None, None, "y@b.org"]
+    texts = ["Mail: Me@Shop.org;", "nothing to see", None, "me@example.com or y@b.org"]
+    assert evaluate(text.extract_email, texts) == ["me@shop.org", None, None, "y@b.org"]
 
 
 def test_valid_email(evaluate):
