@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from scoutline.functions import text, values
 from scoutline.operators import contact, discover, drafts, enrich, quality, score
 from scoutline.plans import views as V
 from scoutline.plans.flagship import AS_OF, TEST_SETTINGS, evaluated
-from scoutline.schemas import CREATORS, CONTACT_LOG, RAW_CHANNELS
+from scoutline.schemas import CONTACT_LOG, CREATORS, DM_QUEUE, RAW_CHANNELS
 from scoutline.session import configure, shared_dir
 from scoutline.sources import landing, tables
 from scoutline.streaming import jobs
@@ -399,7 +400,61 @@ def flat_file_creators(spark, sf_dir):
         f.name for f in CREATORS.fields if f.dataType == T.StringType()
     )
     tables.write_csv(_creators(spark, sf_dir), path, sentinel=text_columns)
-    return tables.read_csv(spark, path, CREATORS).select(
+    return _creator_columns(tables.read_csv(spark, path, CREATORS))
+
+
+@query
+def landed_creators(spark, sf_dir):
+    """Channels, playlists and videos landed as nested JSON responses, read back and joined."""
+    base = shared_dir(spark, "landing")
+    channels = V.channels(spark, sf_dir)
+    whole_country = F.when(F.col("invalid_field").isNull(), F.col("country"))
+    snippet = F.struct(
+        "title", "description", whole_country.alias("country"),
+        F.col("default_language").alias("defaultLanguage"),
+        F.col("default_audio_language").alias("defaultAudioLanguage"),
+    )
+    playlists = F.struct(F.struct(F.col("uploads_playlist").alias("uploads")).alias("relatedPlaylists"))
+    landed = channels.select(
+        "resp_pos", F.col("channel_id").alias("id"), snippet.alias("snippet"),
+        F.struct(F.col("subscriber_count").alias("subscriberCount")).alias("statistics"),
+        playlists.alias("contentDetails"),
+    )
+    # Nulls are written out, so an explicit null country breaks its record.
+    landed.write.option("ignoreNullFields", "false").json(f"{base}/channels")
+    recent = _uploads(spark, sf_dir).groupBy("playlist_id").agg(
+        F.array_sort(F.collect_list(F.struct("item_idx", "video_id"))).alias("items")
+    )
+    recent.select(
+        "playlist_id",
+        F.transform(
+            "items",
+            lambda i: F.struct(F.struct(i["video_id"].alias("videoId")).alias("contentDetails")),
+        ).alias("items"),
+    ).write.json(f"{base}/playlist_items")
+    V.videos(spark, sf_dir).select(
+        "resp_idx", F.col("video_id").alias("id"),
+        F.struct("title", "description", "tags", F.col("published_at").alias("publishedAt")).alias(
+            "snippet"
+        ),
+        F.struct(
+            F.col("view_count").alias("viewCount"), F.col("like_count").alias("likeCount"),
+            F.col("comment_count").alias("commentCount"),
+        ).alias("statistics"),
+    ).write.json(f"{base}/videos")
+    return _creator_columns(
+        enrich.creators(
+            V.raw_channels(spark, sf_dir),
+            landing.channels(spark, f"{base}/channels"),
+            landing.playlist_items(spark, f"{base}/playlist_items"),
+            landing.videos(spark, f"{base}/videos"),
+            TEST_SETTINGS,
+        )
+    )
+
+
+def _creator_columns(creators: DataFrame) -> DataFrame:
+    return creators.select(
         "id", "name", "followers", rounded("avg_views"), rounded("engagement_rate"), "niche",
         F.array_join("recent_titles", "|").alias("titles"), "email", "instagram_url", "website",
         "country", "language", clock(F.col("last_upload")).alias("last_upload"), "source",
@@ -407,6 +462,32 @@ def flat_file_creators(spark, sf_dir):
     )
 
 
+@query
+def stage_row_counts(spark, sf_dir):
+    """Every stage table written and read back; the queue is appended to twice."""
+    base = shared_dir(spark, "stages")
+    tables.write_raw_channels(V.raw_channels(spark, sf_dir), f"{base}/raw_channels")
+    judged = _evaluated(spark, sf_dir)
+    tables.write_creators(judged, f"{base}/creators")
+    stored = tables.read_table(spark, f"{base}/creators", judged.schema)
+    tables.write_shortlist(score.shortlist(stored), f"{base}/shortlist")
+    ready = _ready(spark, sf_dir)
+    found = drafts.first_valid(_checked(spark, sf_dir))
+    tables.write_messages(
+        drafts.messages(ready, found), drafts.run_summary(ready, found), f"{base}/messages"
+    )
+    for _ in range(2):
+        queue = tables.read_optional(spark, f"{base}/dm_queue", DM_QUEUE)
+        tables.append_dms(V.messages(spark, sf_dir), queue, f"{base}/dm_queue")
+    counted = [
+        spark.read.parquet(f"{base}/{name}").agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("rows")
+        )
+        for name in ("raw_channels", "creators", "shortlist", "messages", "dm_queue")
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 # Rules --------------------------------------------------------------------------------------
 
 

@@ -309,6 +309,10 @@ def oracle_sql() -> dict[str, str]:
         from listed where value >= 1"""
     chain = """not exists (select 1 from listed e where e.failed
         and e.k = listed.k and e.y = listed.y and e.pg <= listed.pg)"""
+    creator_rows = f"""select id, name, followers, round(avg_views, 6) as avg_views,
+        round(rate, 6) as engagement_rate, niche, titles, email, instagram as instagram_url,
+        website, country, lang as language, {_stamp("last_upload")} as last_upload, source,
+        '2001-08-01 00:00:00' as fetched_at from creators"""
     public = ("customer", "red", "bolt", "gear", "ECONOMY", "furniture")
     return {
         "flagship_shortlist": _over_creators(
@@ -447,12 +451,16 @@ def oracle_sql() -> dict[str, str]:
         ),
         "titles_json": f"""select doc_id, concat('["', {_escaped("text")}, '", "', {_escaped(
             "concat('\"', lang, '\" \\ ☃ ', chr(128512))")}, '"]') as titles_json from documents""",
-        "flat_file_creators": _over_creators(
-            f"""select id, name, followers, round(avg_views, 6) as avg_views,
-                round(rate, 6) as engagement_rate, niche, titles, email,
-                instagram as instagram_url, website, country, lang as language,
-                {_stamp("last_upload")} as last_upload, source,
-                '2001-08-01 00:00:00' as fetched_at from creators"""
+        "flat_file_creators": _over_creators(creator_rows),
+        "landed_creators": _over_creators(creator_rows),
+        "stage_row_counts": _with(
+            *_PARTS, _judged(None), _ATTEMPTS, _READY, _MESSAGES,
+            query="""select 'raw_channels' as table_name, count(*) as rows from customer
+                union all select 'creators', count(*) from creators
+                union all select 'shortlist', count(*) from judged where status <> 'FAIL'
+                union all select 'messages', count(*) from ready join drafted using (id)
+                union all select 'dm_queue', count(distinct influencer_id) from msgs
+                  where dm <> ''""",
         ),
         "rule_gates": _over_creators(
             """select id, coalesce(followers between 5000 and 100000, false) as followers_ok,

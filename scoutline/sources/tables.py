@@ -62,7 +62,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def _typed(text: Column, data_type: T.DataType) -> Column:
     value = missing_to_null(text)
     if isinstance(data_type, T.ArrayType):
-        return F.from_json(value, data_type)
+        # Text that is no list is kept as the only entry.
+        return F.coalesce(F.from_json(value, data_type), F.when(value.isNotNull(), F.array(value)))
     if isinstance(data_type, (T.LongType, T.IntegerType)):
         return to_count(value)
     if isinstance(data_type, T.DoubleType):
