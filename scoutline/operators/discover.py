@@ -94,6 +94,18 @@ def search_requests(
     )
 
 
+def channel_requests(raw_channels: DataFrame) -> DataFrame:
+    """One request per batch of channel ids."""
+    return enrich.id_batches(raw_channels).withColumn(
+        "request_key",
+        request_key(
+            endpoint=F.lit('"channels"'),
+            part=F.lit('"snippet,statistics,contentDetails"'),
+            id=json_string(F.col("id_list")),
+        ),
+    )
+
+
 def creator_requests(
     channels: DataFrame, playlist_items: DataFrame, enrichment: Enrichment
 ) -> DataFrame:

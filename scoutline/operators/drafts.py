@@ -261,8 +261,12 @@ def retry_schedule(attempts: DataFrame, limits: DraftLimits) -> DataFrame:
     """
     said = present(F.trim("retry_after"))
     seconds = said.try_cast("double")
-    http_date = F.regexp_replace(said, r"\A[A-Za-z]{3}, | (GMT|UTC)\z", "")
-    until = F.try_to_timestamp(http_date, F.lit("dd MMM yyyy HH:mm:ss"))
+    day = F.regexp_replace(said, r"\A[A-Za-z]{3}, ", "")
+    offset = F.regexp_replace(day, r" (GMT|UTC)\z", " +0000")
+    until = F.coalesce(
+        F.try_to_timestamp(offset, F.lit("d MMM yyyy HH:mm:ss xx")),
+        F.try_to_timestamp(day, F.lit("d MMM yyyy HH:mm:ss")),
+    )
     wait = F.unix_micros(until) / 1e6 - F.unix_micros("attempted_at") / 1e6
     asked = F.coalesce(seconds, wait)
     told = F.when(

@@ -240,7 +240,7 @@ def quota_daily(spark, sf_dir):
 
 @query
 def id_batches(spark, sf_dir):
-    return enrich.id_batches(V.raw_channels(spark, sf_dir))
+    return discover.channel_requests(V.raw_channels(spark, sf_dir))
 
 
 @query

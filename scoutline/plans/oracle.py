@@ -375,8 +375,12 @@ def oracle_sql() -> dict[str, str]:
         "id_batches": """with numbered as (
             select 'UC' || c_custkey as id, row_number() over (order by
               substring(sha256('UC' || c_custkey), 1, 3), 'UC' || c_custkey) - 1 as n from customer)
-            select n // 50 as batch, count(*) as ids, string_agg(id, ',' order by id) as id_list
-            from numbered group by n // 50""",
+            , batched as (
+              select n // 50 as batch, count(*) as ids, string_agg(id, ',' order by id) as id_list
+              from numbered group by n // 50)
+            select *, substring(sha256(concat('{"endpoint": "channels", "id": "', id_list,
+              '", "part": "snippet,statistics,contentDetails"}')), 1, 24) as request_key
+            from batched""",
         "channel_left_join": _with(
             _CHANNELS,
             query=f"""select 'UC' || ck as id,

@@ -135,18 +135,19 @@ def failures(spark):
         ("bad", 1, None, 400, None, "model", None), ("key", 1, None, 401, "AuthenticationError", None, None),
         ("paid", 1, None, 402, None, None, None), ("odd", 1, None, 418, None, None, None),
         ("junk", 1, None, 429, None, None, "later"),
+        ("zone", 1, None, 429, None, None, "1 Oct 2026 02:00:10 +0200"),
     ]
     return spark.createDataFrame([(*r, AT) for r in rows], DRAFT_ATTEMPTS)
 
 
 def test_failure_classes(spark):
     got = {r["failure"]: (r["attempts"], r["abort"]) for r in drafts.failure_classes(failures(spark)).collect()}
-    assert got == {"transient": (8, False), "row": (1, False), "fatal": (3, True), "other": (1, False)}
+    assert got == {"transient": (9, False), "row": (1, False), "fatal": (3, True), "other": (1, False)}
 
 
 def test_retry_schedule(spark):
     rows = drafts.retry_schedule(failures(spark), LIMITS).collect()
     assert {r["creator_id"]: r["delay_seconds"] for r in rows} == {
-        "rate": 0.25, "date": 30.0, "past": 0.0, "bare": 2.0, "server": 2.0, "slow": 1.0, "row": 1.0, "junk": 1.0}
+        "rate": 0.25, "date": 30.0, "past": 0.0, "bare": 2.0, "server": 2.0, "slow": 1.0, "row": 1.0, "junk": 1.0, "zone": 10.0}
     quarter = next(r for r in rows if r["creator_id"] == "rate")
     assert quarter["next_try_at"].microsecond == 250_000
