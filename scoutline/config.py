@@ -1,42 +1,15 @@
-"""Thresholds and word lists, as frozen dataclasses that become literals in the plan."""
+"""Settings as frozen dataclasses; their values become literals in the plan."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-# Fixed values -------------------------------------------------------------------------------
-NOT_FOUND = "Not Found"
-PLATFORM = "YouTube"
-DEFAULT_SOURCE = "YouTube Data API v3"
-PROFILE_URL_PREFIX = "https://www.youtube.com/channel/"
-EMAIL_SOURCE = "channel description"
-PLACEHOLDER_DOMAINS = ("domain.com", "email.com", "example.com")
-API_PAGE_LIMIT = 50
-API_BATCH_LIMIT = 50
-RESULT_TYPES = ("channel", "video")
-DAILY_QUOTA = 10_000
-SEARCH_COST = 100
-LIST_COST = 1
-REASONS = {
-    "followers": "followers outside configured range or unavailable",
-    "engagement": "engagement rate below threshold or unavailable",
-    "niche": "insufficient fashion/beauty keyword matches",
-    "activity": "last upload is older than configured activity window",
-    "upload_date": "last upload date unavailable",
-    "country": "country does not match configured region",
-    "language": "language does not match configured language",
-}
-# --------------------------------------------------------------------------------------------
+from scoutline import fixed
 
 
 @dataclass(frozen=True)
 class Discovery:
-    keywords: tuple[str, ...] = (
-        "Indian skincare routine", "budget skincare India", "Indian makeup tutorial",
-        "affordable makeup India", "Indian fashion haul", "budget outfit ideas India",
-        "GRWM India", "Indian beauty review", "hair care routine India",
-        "thrift fashion India", "small beauty creator India", "skincare for Indian skin",
-    )
+    keywords: tuple[str, ...] = fixed.SEARCH_KEYWORDS
     page_size: int = 50
     target: int = 500
     region_code: str | None = "IN"
@@ -65,10 +38,7 @@ class Rules:
     max_upload_age_days: int = 90
     engagement_score_cap: float = 0.05
     weights: ScoreWeights = field(default_factory=ScoreWeights)
-    niche_keywords: tuple[str, ...] = (
-        "skincare", "makeup", "beauty", "fashion", "outfit", "haul",
-        "hair", "style", "cosmetics", "grwm", "lookbook", "thrift",
-    )
+    niche_keywords: tuple[str, ...] = fixed.NICHE_KEYWORDS
 
 
 @dataclass(frozen=True)
@@ -77,10 +47,10 @@ class Angles:
     mid_engagement_rate: float = 0.02
     high_reach_followers: int = 50000
     high_reach_views: int = 10000
-    high_engagement: str = "user-generated content"
-    mid_engagement: str = "affiliate partnership"
-    high_reach: str = "paid placement"
-    default: str = "product seeding"
+    high_engagement: str = fixed.HIGH_ENGAGEMENT_ANGLE
+    mid_engagement: str = fixed.MID_ENGAGEMENT_ANGLE
+    high_reach: str = fixed.HIGH_REACH_ANGLE
+    default: str = fixed.DEFAULT_ANGLE
 
 
 @dataclass(frozen=True)
@@ -94,10 +64,10 @@ class DraftLimits:
 
 @dataclass(frozen=True)
 class Brand:
-    name: str = "YOUR_BRAND"
-    product: str = "YOUR_PRODUCT"
-    value_prop: str = "Free products plus a paid content partnership"
-    placeholders: tuple[str, ...] = ("YOUR_BRAND", "YOUR_PRODUCT")
+    name: str = fixed.BRAND_NAME
+    product: str = fixed.BRAND_PRODUCT
+    value_prop: str = fixed.VALUE_PROPOSITION
+    placeholders: tuple[str, ...] = (fixed.BRAND_NAME, fixed.BRAND_PRODUCT)
 
 
 @dataclass(frozen=True)

@@ -8,7 +8,16 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scoutline.config import PLACEHOLDER_DOMAINS
+from scoutline.fixed import (
+    EMAIL_DOMAIN,
+    EMAIL_LOCAL,
+    EMAIL_TRIM,
+    INSTAGRAM_HOST,
+    PLACEHOLDER_DOMAINS,
+    URL,
+    URL_TRIM,
+    VIDEO_HOSTS,
+)
 from scoutline.functions.values import bound
 
 # Unicode blanks. Java's \s knows only the ASCII ones, so the set is spelled out.
@@ -19,14 +28,11 @@ _RARE_BLANKS = (
 )
 _RARE_RANGE = r"[\x1c-\x1f\x80-\xa0\u1680-\u3000]"
 BLANK_CHARS = "\t\n\x0b\x0c\r " + _RARE_BLANKS
-_LOCAL_PART = r"[A-Za-z0-9._%+\-]"
-_DOMAIN = r"[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 # A run of local-part characters without an @ behind it can hold no address at any later start,
 # so a search may begin only at the start of a run or where the last match ended. The possessive
 # quantifier and this guard keep long runs linear.
-EMAIL_SEARCH = rf"(?:\G|(?<!{_LOCAL_PART})){_LOCAL_PART}++@{_DOMAIN}"
-EMAIL_WHOLE = rf"\A{_LOCAL_PART}+@{_DOMAIN}\z"
-URL_SEARCH = r"https?://[^\s<>\]\[()]+"
+EMAIL_SEARCH = rf"(?:\G|(?<!{EMAIL_LOCAL})){EMAIL_LOCAL}++@{EMAIL_DOMAIN}"
+EMAIL_WHOLE = rf"\A{EMAIL_LOCAL}+@{EMAIL_DOMAIN}\z"
 
 MASK_BITS = 62
 
@@ -44,17 +50,14 @@ def present(text: Column) -> Column:
 def plain_blanks(text: Column) -> Column:
     """Rare blanks as ordinary ones, so that plain ASCII classes can match afterwards.
 
-    A regex class with many ranges is several times slower than the ASCII one. Most texts hold no
-    rare blank: a coarse class rules them out, exact searches the rest.
+    A regex class with all blanks is several times slower than the ASCII one. A coarse class
+    rules out most texts; only the others are translated.
     """
-
-    def ordinary(t: Column) -> Column:
-        holds_rare = t.rlike(_RARE_RANGE) & reduce(
-            Column.__or__, [F.contains(t, F.lit(blank)) for blank in _RARE_BLANKS]
-        )
-        return F.when(holds_rare, F.regexp_replace(t, f"[{_RARE_BLANKS}]", " ")).otherwise(t)
-
-    return bound(text, ordinary)
+    spaces = " " * len(_RARE_BLANKS)
+    return bound(
+        text,
+        lambda t: F.when(t.rlike(_RARE_RANGE), F.translate(t, _RARE_BLANKS, spaces)).otherwise(t),
+    )
 
 
 def word_count(text: Column) -> Column:
@@ -76,7 +79,7 @@ def is_valid_email(value: Column) -> Column:
 def extract_email(text: Column) -> Column:
     """First valid address in the text, lower-cased, or NULL."""
     found = F.regexp_extract_all(text, F.lit(EMAIL_SEARCH), 0)
-    cleaned = F.transform(found, lambda x: F.btrim(x, F.lit(".,;:")))
+    cleaned = F.transform(found, lambda x: F.btrim(x, F.lit(EMAIL_TRIM)))
     first = F.lower(F.get(F.filter(cleaned, is_valid_email), F.lit(0)))
     return F.when(F.contains(text, F.lit("@")), first)
 
@@ -85,9 +88,9 @@ def extract_urls(text: Column) -> Column:
     """All web addresses in order, without trailing punctuation, as structs of url and host."""
     found = F.when(
         F.contains(text, F.lit("http")),
-        F.regexp_extract_all(plain_blanks(text), F.lit(URL_SEARCH), 0),
+        F.regexp_extract_all(plain_blanks(text), F.lit(URL), 0),
     ).otherwise(F.array().cast("array<string>"))
-    cleaned = F.transform(found, lambda x: F.rtrim(x, F.lit(".,;:)")))
+    cleaned = F.transform(found, lambda x: F.rtrim(x, F.lit(URL_TRIM)))
     return F.transform(cleaned, lambda u: F.struct(u.alias("url"), url_host(u).alias("host")))
 
 
@@ -106,13 +109,15 @@ def profile_links(text: Column) -> Column:
     """
     outside = F.filter(
         extract_urls(text),
-        lambda u: (u["host"] != "")
-        & ~F.endswith(u["host"], F.lit("youtube.com"))
-        & ~F.endswith(u["host"], F.lit("youtu.be")),
+        lambda u: reduce(
+            Column.__and__,
+            [~F.endswith(u["host"], F.lit(video)) for video in VIDEO_HOSTS],
+            u["host"] != "",
+        ),
     )
 
     def choose(urls: Column) -> Column:
-        on_instagram = lambda u: u["host"] == "instagram.com"
+        on_instagram = lambda u: u["host"] == INSTAGRAM_HOST
         first, second = F.get(urls, F.lit(0)), F.get(urls, F.lit(1))
         return F.struct(
             F.get(F.filter(urls, on_instagram), F.lit(0))["url"].alias("instagram"),

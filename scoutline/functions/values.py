@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scoutline.config import NOT_FOUND
+from scoutline.fixed import APPROVAL_WORDS, NOT_FOUND
 
 _NUMBER = r"(?i)\A[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?\z|\A[+-]?inf(inity)?\z"
 _ISO = r"\A\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?\z"
@@ -35,7 +35,7 @@ def to_number(text: Column) -> Column:
 
 def to_flag(text: Column) -> Column:
     """Approval text: only these three words count."""
-    return F.coalesce(F.lower(F.trim(text.cast("string"))).isin("1", "true", "yes"), F.lit(False))
+    return F.coalesce(F.lower(F.trim(text.cast("string"))).isin(*APPROVAL_WORDS), F.lit(False))
 
 
 def to_timestamp(text: Column) -> Column:

@@ -7,18 +7,18 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scoutline.fixed import (
+    DUPLICATE,
+    FAILED,
+    PENDING_APPROVAL,
+    PENDING_MANUAL,
+    SENT,
+    SIMULATED,
+)
 from scoutline.functions.text import is_valid_email, present, strip
 from scoutline.functions.values import moment_literal, to_flag
-from scoutline.operators.drafts import PENDING_APPROVAL
 from scoutline.schemas import DM_QUEUE, CONTACT_LOG
 
-# Fixed values -------------------------------------------------------------------------------
-SIMULATED = "SIMULATED"
-SENT = "SENT_TO_TEST_INBOX"
-FAILED = "FAILED"
-DUPLICATE = "SKIPPED_DUPLICATE"
-PENDING_MANUAL = "PENDING_MANUAL"
-# --------------------------------------------------------------------------------------------
 # Our own: a live attempt whose delivery outcome is not known yet.
 PLANNED = "PLANNED"
 

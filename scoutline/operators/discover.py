@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoutline.config import (
+from scoutline.config import Discovery, Enrichment
+from scoutline.fixed import (
     API_PAGE_LIMIT,
     DAILY_QUOTA,
+    KEY_DIGITS,
     LIST_COST,
     RESULT_TYPES,
     SEARCH_COST,
-    Discovery,
-    Enrichment,
 )
 from scoutline.functions.text import present
 from scoutline.functions.values import json_string
@@ -52,7 +52,7 @@ def request_key(**params: Column) -> Column:
         F.concat(F.lit(f'"{name}": '), params[name]) for name in sorted(params)
     ]
     text = F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
-    return F.substring(F.sha2(text, 256), 1, 24)
+    return F.substring(F.sha2(text, 256), 1, KEY_DIGITS)
 
 
 def search_requests(

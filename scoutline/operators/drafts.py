@@ -8,25 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoutline.config import Angles, Brand, DraftLimits
+from scoutline.fixed import (
+    FATAL_ERRORS,
+    FATAL_STATUS,
+    PASS,
+    PASS_NO_EMAIL,
+    PENDING_APPROVAL,
+    RATE_LIMITED,
+    ROW_ERROR_STATUS,
+    ROW_ERROR_TEXT,
+    SERVER_ERROR,
+    TRANSIENT_ERRORS,
+)
 from scoutline.functions.text import present, strip, within_words, word_count
 from scoutline.functions.values import bound, or_sentinel
 from scoutline.schemas import MESSAGE_COLUMNS
 
-# Fixed values -------------------------------------------------------------------------------
-ELIGIBLE = ("PASS", "PASS_NO_EMAIL")
-PENDING_APPROVAL = "PENDING_APPROVAL"
-FATAL_ERRORS = (
-    "AuthenticationError", "BadRequestError", "NotFoundError", "PermissionDeniedError",
-)
-FATAL_STATUS = (400, 401, 402, 403, 404)
-TRANSIENT_ERRORS = (
-    "APIConnectionError", "APITimeoutError", "InternalServerError", "RateLimitError",
-)
-ROW_ERROR_STATUS = 400
-ROW_ERROR_TEXT = "json_validate_failed"
-RATE_LIMITED = 429
-SERVER_ERROR = 500
-# --------------------------------------------------------------------------------------------
+ELIGIBLE = (PASS, PASS_NO_EMAIL)
 
 _RESPONSE = "subject string, email string, dm string"
 _STRICT = {"allowSingleQuotes": "false"}

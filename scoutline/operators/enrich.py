@@ -6,15 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from scoutline.config import (
+from scoutline.config import Enrichment, Settings
+from scoutline.fixed import (
     API_BATCH_LIMIT,
     API_PAGE_LIMIT,
     DEFAULT_SOURCE,
     EMAIL_SOURCE,
     PLATFORM,
     PROFILE_URL_PREFIX,
-    Enrichment,
-    Settings,
+    UNFILTERED,
 )
 from scoutline.functions.text import (
     MASK_BITS,
@@ -281,7 +281,7 @@ def _record(joined: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
         "audience_geo": no_text,
         "last_upload": F.when(valid, to_timestamp(F.col("published_at"))),
         "brand_fit_score": F.lit(None).cast("double"),
-        "status": F.lit("UNFILTERED"),
+        "status": F.lit(UNFILTERED),
         "fail_reasons": no_list,
         "source": F.coalesce(present(F.col("source_keyword")), F.lit(DEFAULT_SOURCE)),
         "fetched_at": F.col("fetched_at"),

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoutline.config import Brand, DraftLimits
+from scoutline.fixed import FAIL, SENT, UNFILTERED
 from scoutline.functions.text import present, within_words, word_count
-from scoutline.operators.contact import SENT, email_key
+from scoutline.operators.contact import email_key
 
 MIN_RECORDS = 50
 MIN_RAW_RECORDS = 80
@@ -42,12 +43,12 @@ def record_checks(raw_channels: DataFrame, creators: DataFrame) -> DataFrame:
             )
         },
     )
-    unexplained = (F.col("status") == "FAIL") & (F.size("fail_reasons") == 0)
+    unexplained = (F.col("status") == FAIL) & (F.size("fail_reasons") == 0)
     counted = creators.agg(
         F.count("*").alias("total"),
         F.count_if(present(F.col("source")).isNull() | F.col("fetched_at").isNull()).alias("q2"),
         F.count_if(
-            F.col("status").isNull() | (F.col("status") == "UNFILTERED") | unexplained
+            F.col("status").isNull() | (F.col("status") == UNFILTERED) | unexplained
         ).alias("q3"),
     )
     return raw_report.unionByName(

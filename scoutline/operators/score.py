@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoutline.config import REASONS, Discovery, Rules, Settings
+from scoutline.config import Discovery, Rules, Settings
+from scoutline.fixed import FAIL, PASS, PASS_NO_EMAIL, REASONS
 from scoutline.functions.text import keyword_hits, present
 from scoutline.functions.values import days_since
 from scoutline.operators.ordering import position
@@ -95,9 +96,9 @@ def evaluate(creators: DataFrame, settings: Settings, as_of: datetime) -> DataFr
         }
     ).withColumn("fail_reasons", fail_reasons(settings))
     status = (
-        F.when(F.size("fail_reasons") > 0, F.lit("FAIL"))
-        .when(present(F.col("email")).isNull(), F.lit("PASS_NO_EMAIL"))
-        .otherwise(F.lit("PASS"))
+        F.when(F.size("fail_reasons") > 0, F.lit(FAIL))
+        .when(present(F.col("email")).isNull(), F.lit(PASS_NO_EMAIL))
+        .otherwise(F.lit(PASS))
     )
     return measured.withColumns(
         {"status": status, "brand_fit_score": brand_fit(settings.rules)}
@@ -110,7 +111,7 @@ def shortlist(evaluated: DataFrame) -> DataFrame:
     Scores have two decimals, so there are at most some ten thousand of them; within one score
     the rows are numbered in blocks of positions, so a common score is spread over tasks.
     """
-    kept = evaluated.where(F.col("status") != "FAIL").withColumn(
+    kept = evaluated.where(F.col("status") != FAIL).withColumn(
         "block", F.floor(F.col("pos") / RANK_BLOCK)
     )
     ranked = position(kept, "brand_fit_score", ["pos"], "block", descending=True)

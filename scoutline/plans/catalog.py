@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scoutline.config import EMAIL_SOURCE, Settings
+from scoutline.config import Settings
+from scoutline.fixed import EMAIL_SOURCE
 from scoutline.functions import text, values
 from scoutline.operators import contact, discover, drafts, enrich, quality, score
 from scoutline.plans import views as V

@@ -16,7 +16,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoutline.config import RESULT_TYPES, Settings
+from scoutline.config import Settings
+from scoutline.fixed import RESULT_TYPES
 from scoutline.operators import contact, discover, drafts, enrich, score
 from scoutline.schemas import (
     CONTACT_LOG,

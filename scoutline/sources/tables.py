@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scoutline.config import NOT_FOUND
+from scoutline.fixed import NOT_FOUND
 from scoutline.functions.values import json_list, missing_to_null, to_count, to_flag, to_number
 from scoutline.functions.values import to_timestamp
 from scoutline.operators.contact import log_rows, new_dms

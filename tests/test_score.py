@@ -3,7 +3,8 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
-from scoutline.config import REASONS, Discovery, Rules, Settings
+from scoutline.config import Discovery, Rules, Settings
+from scoutline.fixed import REASONS
 from scoutline.operators import score
 from scoutline.schemas import CREATORS
 
