@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
-
-PARTITIONS_PER_CORE = 4
+from pyspark.sql import DataFrame, SparkSession
 
 # Skew handling is left to AQE for joins: with forceOptimizeSkewedJoin a hot join key is split
 # even where the split costs one more exchange for a later aggregate.
@@ -27,27 +24,28 @@ _SQL_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the run-time SQL options that every operator relies on.
-
-    On a cluster AQE starts from several small partitions per core and merges what stays small;
-    a larger ``spark.sql.shuffle.partitions`` of the session is respected.
-    """
+    """Set the run-time SQL options that every operator relies on; partition counts stay the session's."""
     for key, value in _SQL_CONF.items():
         spark.conf.set(key, value)
-    if not spark.sparkContext.master.startswith("local"):
-        wanted = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
-        asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, asked))
-        )
     return spark
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's checkpoint folder; local scratch only on a local master."""
+    """A fresh folder that all executors share: below ``spark.checkpoint.dir``, else below the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="scoutline-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a written table in a fresh shared folder, so that later plans start from it."""
+    path = shared_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def drop_dir(spark: SparkSession, path: str) -> bool:
+    """Delete a folder made by :func:`shared_dir` once nothing reads it any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,13 +10,16 @@ from scoutline.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", f"file://{shared}/checkpoints")
+        .config("spark.sql.warehouse.dir", f"file://{shared}/warehouse")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, rows
+from scoutline.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,13 +19,14 @@ def con():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, SF)
-    cursor = con.execute(entry.oracle_sql()[name])
+    df = catalog.queries()[name](spark, SF)
+    cursor = con.execute(oracle.oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     assert rows(df.columns, df.collect()) == rows(columns, cursor.fetchall())

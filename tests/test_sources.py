@@ -7,7 +7,7 @@ import pytest
 from scoutline.operators import discover, enrich
 from scoutline.config import Rules, Settings
 from scoutline.schemas import CREATORS, MESSAGES, RAW_CHANNELS
-from scoutline.session import shared_dir
+from scoutline.session import drop_dir, shared_dir, stored
 from scoutline.sources import landing, tables
 
 
@@ -116,14 +116,20 @@ def test_stage_tables(spark, tmp_path):
 class Session:
     """Only what shared_dir asks of a session."""
 
-    def __init__(self, master, **conf):
-        self.sparkContext = SimpleNamespace(master=master)
-        self.conf = SimpleNamespace(get=lambda key, default: conf.get(key.replace(".", "_"), default))
+    def __init__(self, **conf):
+        self.conf = SimpleNamespace(get=lambda key, *default: conf.get(key, *default))
 
 
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
-    cluster = Session("yarn", spark_checkpoint_dir="hdfs://shared/tmp/")
+    cluster = Session(**{"spark.checkpoint.dir": "hdfs://shared/tmp/", "spark.sql.warehouse.dir": "hdfs://w"})
     assert shared_dir(cluster, "x").startswith("hdfs://shared/tmp/x-")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(Session("yarn"), "x")
+    unset = Session(**{"spark.sql.warehouse.dir": "hdfs://shared/warehouse/"})
+    assert shared_dir(unset, "x").startswith("hdfs://shared/warehouse/_scratch/x-")
+
+
+def test_stored_rows_can_be_dropped(spark):
+    kept = stored(spark.range(3), "kept")
+    assert kept.count() == 3
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    assert drop_dir(spark, path) and not drop_dir(spark, path)
