@@ -137,6 +137,7 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
     )
     rows = assign(rows, F.col("doc_id"), shards)
     rows = assign(rows, F.col("doc_id"), shards + 1, name="grown_shard")
-    rows = rows.withColumn("law", F.lit("key"))
+    # Written before it is dealt: finding the ranges reads its input twice, and texts are long.
+    rows = stored(rows.withColumn("law", F.lit("key")), "shards")
     slotted = with_slots(rows, ["doc_id", "text_crc32", "size"])
     return slotted.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
