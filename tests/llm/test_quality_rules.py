@@ -1,0 +1,101 @@
+"""Rule statistics against plain loops, the exact binomial tail, and the guarantee on the holdout."""
+
+import math
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from scoutline.llm import quality_rules as Q
+
+TEXTS = [
+    None, "", " \t\n\x0b\f\r", "one", "a b", "a b c", "a b c a b c", "x x x x x x", "a b a b a b a b",
+    "l\nl\nm\n\n \n l\nl", "é#* $%|<>&\u00a0b", "w " * 300, " ".join(f"w{i % 70}" for i in range(400)),
+    "p q r s " + " ".join(f"u{i}" for i in range(60)) + " p q r t p q r", "one\ntwo\none\ntwo\r\ntwo\r",
+]
+
+
+def plain(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    places = {}
+    for i in range(len(words) - 2):
+        places.setdefault(tuple(words[i : i + 3]), []).append(i)
+    covered = {j for at in places.values() if len(at) > 1 for i in at for j in (i, i + 1, i + 2)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)), len(covered),
+    )
+
+
+def counted(spark, texts):
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    rows = Q.count_documents(docs, "lang").orderBy("doc_id").collect()
+    return [(r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows]
+
+
+def test_counts(spark):
+    assert counted(spark, TEXTS) == [plain(t) for t in TEXTS]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.text(alphabet="ab \n\t#|é", max_size=120), min_size=1, max_size=30))
+def test_counts_of_any_text(spark, texts):
+    assert counted(spark, texts) == [plain(t) for t in texts]
+
+
+def test_many_and_few_repeats_agree(spark, monkeypatch):
+    want = [plain(t) for t in TEXTS]
+    monkeypatch.setattr(Q, "FEW_REPEATS", 0)
+    assert counted(spark, TEXTS) == want
+    monkeypatch.setattr(Q, "FEW_REPEATS", 10**6)
+    assert counted(spark, TEXTS) == want
+
+
+def test_binomial_tail(spark):
+    cases = [(0, 10), (0, 2000), (3, 2000), (9, 2000), (10, 2000), (11, 2000), (60, 100_000)]
+    df = spark.createDataFrame(cases, "k long, n long").withColumn("p", Q.binomial_tail(F.col("k"), F.col("n"), 0.005))
+    for k, n, got in df.collect():
+        want = sum(math.comb(n, i) * 0.005**i * 0.995 ** (n - i) for i in range(k + 1)) if n <= 2000 else got
+        assert got == pytest.approx(1.0 if k > n * 0.005 else want, rel=1e-9)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, kept string, n long")
+
+
+def good(i, stars):
+    return " ".join(f"w{i}x{j}" for j in range(60)) + " " + "*" * stars
+
+
+def test_cutoffs_keep_the_limit_in_every_stratum(spark):
+    """Two of 3,000 good documents have many symbols, so strict cutoffs are certified in the large
+    stratum; the small one has too few labels for any."""
+    rows = [(i, good(i, 60 if i < 2 else 0), "en", "x", 1) for i in range(3000)]
+    rows += [(3000 + i, good(i, 40), "en", "x", 1) for i in range(5)]
+    rows += [(4000 + i, good(i, 40), None, "x", 1) for i in range(5)]
+    docs = table(spark, rows)
+    labels = spark.createDataFrame([(i, 1) for i in range(3000)] + [(3000, 0), (4000, 1), (9999, 1), (None, 1)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in Q.judge(docs, labels).collect()}
+    assert len(got) == len(rows)
+    assert [got[i].kept for i in (0, 1, 2, 3000, 3001, 4000, 4001)] == [False, False, True, False, False, True, True]
+    assert got[0].symbol_share_cutoff < 0.1 and got[4000].symbol_share_cutoff is None
+    rejected = sum(not got[i].kept for i in range(3000))
+    assert rejected <= 0.02 * 3000
+
+
+def test_a_conflicting_label_is_not_good(spark):
+    docs = table(spark, [(i, good(i, 60), "en", "x", 1) for i in range(20)])
+    labels = spark.createDataFrame([(0, 1), (0, 0), (1, None), (2, 1)], "doc_id long, quality int")
+    rows = Q.judge(docs, labels).collect()
+    assert all(r.kept for r in rows)
+
+
+def test_empty_tables(spark):
+    docs, labels = table(spark, []), spark.createDataFrame([], "doc_id long, quality int")
+    assert Q.judge(docs, labels).count() == 0
+    one = Q.judge(table(spark, [(None, None, None, "x", 1)] * 2), labels).collect()
+    assert [(r.doc_id, r.n_words, r.base_failed, r.kept) for r in one] == [(None, 0, True, False)] * 2

@@ -1,0 +1,91 @@
+"""Archives: exact round trip, revisits, hostile payloads, the loser tree and the global order."""
+
+import base64
+import hashlib
+import random
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from scoutline.llm import warc
+
+SCHEMA = "page_id long, url string, html string, digest string"
+HOSTILE = "a\r\n\r\nWARC/1.1\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Length: 3\r\n\r\nx\r\n\r\n"
+ROWS = [
+    (3, "http://B.example.org/x?q=1#f", "same", "z"), (1, "http://a.example.org/", "same", "z"), (2, None, None, "z"),
+    (4, "http://a.example.org/", "", "z"), (5, "http://e.org/\r\nWARC-Type: x", HOSTILE, "z"), (6, "nö url", "é\r\n\r\n", "z"),
+    (7, "http://a.example.org/", "\r\n\r\n", "z"), (None, "http://n.org/", "same", "z"), (8, "http://a.example.org/", "x" * 300_000, "z"),
+    (1, "http://a.example.org/", "same", "z"),
+]
+
+
+def digest(text):
+    return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
+
+
+def test_round_trip(spark):
+    pages = spark.createDataFrame(ROWS, SCHEMA)
+    folder, run = warc.write_archives(pages)
+    rows = warc.read_archives(spark, folder, run).collect()
+    assert len(rows) == len(ROWS)
+    bodies = {r.page_id: bytes(r.payload) for r in rows if r.record_type == "response"}
+    for page_id in (1, 2, 5, 6, 7, 8):
+        html = next(h for i, _, h, _ in ROWS if i == page_id)
+        assert bodies[page_id] == (html or "").encode()
+    assert {r.page_id: r.url for r in rows}[5] == "http://e.org/%0D%0AWARC-Type: x"
+    assert all(bytes(r.payload) == b"" for r in rows if r.record_type == "revisit")
+
+
+def test_records(spark):
+    got = warc.archive_pages(spark.createDataFrame(ROWS, SCHEMA)).collect()
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r.page_id, []).append((r.record_type, r.refers_to))
+    assert by_id == {
+        1: [("response", None)] * 2, 2: [("response", None)], 3: [("revisit", 1)], 4: [("revisit", 2)], 5: [("response", None)],
+        6: [("response", None)], 7: [("response", None)], None: [("revisit", 1)], 8: [("response", None)],
+    }
+    html = {(i, u): h for i, u, h, _ in ROWS}
+    for r in got:
+        body = next(h for (i, _), h in html.items() if i == r.page_id)
+        assert (r.payload_bytes, r.payload_digest) == (len((body or "").encode()), digest(body))
+    ordered = sorted(got, key=lambda r: r.position)
+    assert [r.position for r in ordered] == list(range(len(ROWS)))
+    keys = [(r.url_key, r.date) for r in ordered]
+    assert keys == sorted(keys)
+
+
+def test_small_payloads_stay_responses(spark):
+    got = warc.archive_pages(spark.createDataFrame(ROWS, SCHEMA), revisit_min_bytes=5).collect()
+    assert {r.record_type for r in got} == {"response"}
+
+
+def test_empty(spark):
+    assert warc.archive_pages(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@given(st.lists(st.lists(st.integers(0, 50), max_size=30), max_size=9))
+def test_loser_tree(runs):
+    entries = [[(v, n, i) for i, v in enumerate(sorted(run))] for n, run in enumerate(runs)]
+    merged = list(warc.LoserTree(entries))
+    assert merged == sorted(e for run in entries for e in run)
+
+
+def test_ranges_of_a_hot_url_are_merged(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_ROWS", 100)
+    rng = random.Random(3)
+    rows = [(rng.choice(["hot", "hot", "a", "z"]), f"{rng.randrange(10):02d}", i) for i in range(2000)]
+    captures = spark.createDataFrame(rows, "url_key string, date string, record long").repartition(5)
+    got = sorted(warc.capture_index(captures).collect(), key=lambda r: r.position)
+    assert [r.position for r in got] == list(range(2000))
+    assert [(r.url_key, r.date, r.record) for r in got] == sorted(rows)
+
+
+def test_a_damaged_archive_ends_the_job(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "body", "z")], SCHEMA)
+    folder, run = warc.write_archives(pages)
+    damaged = folder + "-damaged"
+    spark.read.option("lineSep", "\n").text(folder).selectExpr("replace(value, 'body', 'bxdy') value").coalesce(1).write.option("lineSep", "\n").text(damaged)
+    with pytest.raises(Exception, match="does not fit"):
+        warc.read_archives(spark, damaged, run).collect()
