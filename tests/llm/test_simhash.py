@@ -1,0 +1,120 @@
+"""Fingerprints, links and components against plain loops over all pairs."""
+
+import random
+
+import numpy as np
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from scoutline.llm import graph, queries, simhash
+from tests.llm.conftest import SF
+
+
+def plain_print(text, shingle=3):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in "".join(" " if c in "\t\n\x0b\f\r" else c for c in low).split(" ") if w]
+    if not words:
+        return 0
+    size = min(shingle, len(words))
+    parts = [" ".join(words[i : i + size]) for i in range(len(words) - size + 1)]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(rows, k=3):
+    """{doc_id: smallest id reachable}, by comparing all pairs."""
+    prints = sorted({f for _, f in rows})
+    group = {f: f for f in prints}
+
+    def root(f):
+        while group[f] != f:
+            f = group[f]
+        return f
+
+    for i, a in enumerate(prints):
+        for b in prints[i + 1 :]:
+            if bin(a ^ b).count("1") <= k:
+                group[max(root(a), root(b))] = min(root(a), root(b))
+    least = {}
+    for doc_id, f in rows:
+        if doc_id is not None:
+            least[root(f)] = min(doc_id, least.get(root(f), doc_id))
+    return [(doc_id, f"{f:016x}", least.get(root(f))) for doc_id, f in rows]
+
+
+def key(row):
+    return tuple((v is None, v) for v in row)
+
+
+def check(got, docs):
+    want = plain_components([(i, plain_print(t)) for i, t in docs])
+    rows = [(r.doc_id, r.fingerprint, r.component_id) for r in got]
+    assert sorted(rows, key=key) == sorted(want, key=key)
+
+
+def test_query(spark, tables):
+    got = queries.op3_simhash(spark, SF).collect()
+    check(got, [(d["doc_id"], d["text"]) for d in tables("documents")])
+
+
+def test_edge_cases(spark):
+    text = " ".join(f"Word{i}" for i in range(400))
+    docs = [(5, None), (3, ""), (4, " \t\n"), (9, "One"), (8, "one"), (7, "one two"), (None, text), (20, text + " x"), (21, text), (21, text), (None, "lonely words")]
+    df = spark.createDataFrame([(*d, "f") for d in docs], "doc_id long, text string, fp string")
+    check(simhash.near_duplicates(df).collect(), docs)
+    assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_a_text_in_chunks(monkeypatch):
+    text = " ".join(random.Random(1).choices("abcdefgh", k=5000))
+    whole = simhash.fingerprint(text, 3)
+    monkeypatch.setattr(simhash, "CHUNK", 64)
+    assert simhash.fingerprint(text, 3) == whole
+    assert whole % 2**64 == plain_print(text)
+
+
+def test_links_of_dense_and_distant_fingerprints(spark):
+    rng = random.Random(5)
+    prints = set()
+    for _ in range(12):
+        centre = rng.getrandbits(64)
+        for _ in range(25):
+            flipped = centre
+            for bit in rng.sample(range(64), rng.randint(0, 6)):
+                flipped ^= 1 << bit
+            prints.add(flipped)
+    prints |= {0, 1, (1 << 64) - 1, 1 << 63}
+    signed = [f - (1 << 64) if f >> 63 else f for f in sorted(prints)]
+    for k in (1, 3):
+        got = [tuple(r) for r in simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), k).collect()]
+        want = {(a, b) for a in signed for b in signed if a < b and bin((a ^ b) % 2**64).count("1") <= k}
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_keep_one(spark):
+    text = " ".join(f"Word{i}" for i in range(400))
+    rows = [(4, text, "a"), (2, text + " x", "b"), (2, text + " x", "b"), (9, "other words here", "c"), (None, text, "d")]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, fp string"))
+    assert got.columns == ["doc_id", "text", "fp"]
+    assert sorted(((r.doc_id, r.fp) for r in got.collect()), key=key) == [(2, "b"), (9, "c"), (None, "d")]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(-5, 30), st.integers(-5, 30)), max_size=40))
+def test_components(spark, edges):
+    df = spark.createDataFrame(edges, "a long, b long")
+    group = {n: n for e in edges for n in e if e[0] != e[1]}
+    for _ in edges:
+        for a, b in edges:
+            if a != b:
+                group[a] = group[b] = min(group[a], group[b])
+    got = {r.node: r.component for r in graph.components(df).collect()}
+    assert got == group
+
+
+def test_a_long_path_is_one_component(spark):
+    rng = np.random.default_rng(2)
+    names = rng.permutation(600).tolist()
+    df = spark.createDataFrame(list(zip(names, names[1:])), "a long, b long")
+    assert {r.component for r in graph.components(df).collect()} == {0}

@@ -1,0 +1,62 @@
+"""Counts against the tokenizer library, and the proof of whole tokens."""
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from scoutline.llm import queries, token_counts
+from tests.llm.conftest import SF
+
+PATH = public_tokenizers.path(queries.TOKENIZER)
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return token_counts.Counter(token_counts.prove(PATH))
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    return lambda text: len(tokenizer.encode(text or "", add_special_tokens=False).ids)
+
+
+def test_query(spark, tables, library):
+    got = {r.doc_id: r for r in queries.op6_token_counts(spark, SF).collect()}
+    docs = tables("documents")
+    assert len(got) == len(docs)
+    for d in docs:
+        r = got[d["doc_id"]]
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(d["text"].encode()), library(d["text"]), library(d["text"]) > 2048)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60) | st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "'s", "can't", " ", "\n", "á", "ΣΑΣ", "12", "é", "\x85", " "]), max_size=9).map("".join))
+def test_any_text(counter, library, text):
+    assert counter.of_text(text) == library(text)
+
+
+def test_whole_tokens_are_proved(counter, library):
+    whole = sorted(counter.whole)
+    assert 30_000 < len(whole) < 49_408
+    for text in whole[::97]:
+        assert len(counter.tokenizer.model.tokenize(text)) == 1
+    for text in ("the", "world", "!"):
+        assert text in counter.whole and library(text) == 1
+
+
+def test_forgetting_changes_nothing(counter, library, monkeypatch):
+    monkeypatch.setattr(token_counts, "REMEMBERED", 2)
+    text = "one two three one two three four " * 5 + "x" * 5000
+    assert counter.of_text(text) == library(text)
+
+
+def test_nulls_repeats_and_clashing_columns(spark, library):
+    rows = [(1, None, 5), (1, None, 5), (2, "", 6), (None, "a b" * 3000, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens long")
+    got = sorted(((r.doc_id or 0, r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts.count_tokens(df, PATH).collect()))
+    n = library("a b" * 3000)
+    assert got == [(0, 9000, n, n > 2048), (1, 0, 0, False), (1, 0, 0, False), (2, 0, 0, False)]
+    assert token_counts.count_tokens(df.limit(0), PATH).count() == 0
