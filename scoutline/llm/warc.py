@@ -1,12 +1,12 @@
 """WARC archives of pages, read back into a globally ordered index of captures.
 
 Writing: payloads are digested first, so that a payload met before is written as a ``revisit`` of its
-first capture. Every row becomes one record of an uncompressed archive; Spark's text writer puts the
+first capture. Every row becomes one record of a gzip archive; Spark's text writer puts the
 record separator after each, and its commit protocol keeps lost tasks from leaving half archives.
 
-Reading: Spark's text reader splits archives of any size at a separator that starts with the random
-id of the run, so no payload can contain it; the block of each record is then cut by its
-Content-Length in bytes.
+Reading: Spark's text reader streams through archives of any size, splitting them at a separator that
+starts with the random id of the run, so no payload can contain it; the block of each record is then
+cut by its Content-Length in bytes.
 
 Indexing: each task's records form a run sorted by (URL key, time, record). Ranges of the key space
 are dealt to tasks, and each merges its parts of all runs with a loser tree.
@@ -140,7 +140,7 @@ def write_archives(
         ),
     )
     folder = shared_dir(spark, "warc")
-    known.select(record.alias("value")).write.option("lineSep", END + END).text(folder)
+    known.select(record.alias("value")).write.option("lineSep", END + END).option("compression", "gzip").text(folder)
     return folder, run
 
 
