@@ -11,7 +11,7 @@ from scoutline import fixed
 class Discovery:
     keywords: tuple[str, ...] = fixed.SEARCH_KEYWORDS
     page_size: int = 50
-    target: int = 500
+    target: int | None = None
     region_code: str | None = "IN"
     language: str | None = "en"
 
@@ -59,6 +59,7 @@ class DraftLimits:
     email_words: tuple[int, int] = (60, 90)
     dm_words: tuple[int, int] = (15, 30)
     max_attempts: int = 3
+    max_calls: int = 3
     retry_base_delay: float = 1.0
 
 

@@ -37,12 +37,21 @@ def approved(messages: DataFrame) -> DataFrame:
 
 
 def known_contacts(log: DataFrame, live: bool) -> DataFrame:
-    """Distinct keys that block a contact; a live run ignores simulated and skipped rows."""
-    counted = log.where(~F.col("status").isin(SIMULATED, DUPLICATE)) if live else log
+    """Distinct keys that block a contact; a live run ignores simulated and skipped rows.
+
+    A row without a status blocks: it may have been sent.
+    """
+    status = F.coalesce("status", F.lit(""))
+    counted = log.where(~status.isin(SIMULATED, DUPLICATE)) if live else log
     keys = counted.select(present(email_key(F.col("email"))).alias("email_key"))
     return keys.where(F.col("email_key").isNotNull()).distinct()
 
 
+def placed() -> Column:
+    """The message order; a message without one would silently lose its place, so it ends the job."""
+    return F.coalesce("pos", F.raise_error(F.lit("a message has no pos")).cast("bigint"))
+
+
 def plan_contacts(messages: DataFrame, log: DataFrame, live: bool = False) -> DataFrame:
     """Status of every approved message; ``pos`` must be unique and give the message order.
 
@@ -51,7 +60,7 @@ def plan_contacts(messages: DataFrame, log: DataFrame, live: bool = False) -> Da
     ``pos`` before the shuffle, the log check runs on one row per address, and the verdict
     returns by ``pos``. No task ever gathers the messages of one address.
     """
-    ready = approved(messages)
+    ready = approved(messages).withColumn("pos", placed())
     firsts = ready.groupBy("email_key").agg(F.min("pos").alias("pos"))
     fresh = firsts.join(known_contacts(log, live), "email_key", "left_anti").select(
         "pos", F.lit(True).alias("attempted")
@@ -65,11 +74,14 @@ def plan_contacts(messages: DataFrame, log: DataFrame, live: bool = False) -> Da
 
 
 def merge_outcomes(plan: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Settle planned rows with delivery outcomes (pos, error); an error fails that row only.
+    """Settle planned rows with delivery outcomes (pos, error, told_at); an error fails that row only.
 
-    Rows without an outcome stay planned.
+    Of several outcomes for one row the newest counts, and of equally new ones a failure. Rows without
+    an outcome stay planned; outcomes of other rows are ignored.
     """
-    told = outcomes.select("pos", F.col("error"), F.lit(True).alias("told"))
+    when = F.col("told_at") if "told_at" in outcomes.columns else F.lit(None).cast("timestamp")
+    rank = F.struct(when.alias("told_at"), present(F.col("error")).isNotNull(), "error")
+    told = outcomes.groupBy("pos").agg(F.max_by("error", rank).alias("error"), F.lit(True).alias("told"))
     planned = F.col("status") == PLANNED
     return (
         plan.join(told, "pos", "left")
@@ -107,7 +119,7 @@ def log_rows(plan: DataFrame, run_at: datetime) -> DataFrame:
 def new_dms(messages: DataFrame, queue: DataFrame) -> DataFrame:
     """Queue rows to add: the first non-blank DM of each creator that is not queued yet."""
     named = messages.select(
-        "pos", "influencer_id", "influencer", strip(F.col("dm")).alias("dm")
+        placed().alias("pos"), "influencer_id", "influencer", strip(F.col("dm")).alias("dm")
     ).where(
         present(F.col("influencer_id")).isNotNull() & present(F.col("dm")).isNotNull()
     )
@@ -126,9 +138,13 @@ def dm_queue(messages: DataFrame, queue: DataFrame) -> DataFrame:
 
 
 def tracking(log: DataFrame) -> DataFrame:
-    """Attempts and distinct addresses by day and status, with subtotals."""
+    """Attempts and distinct addresses by day and status, with subtotals.
+
+    ``level`` tells them apart: status, day or all. A status may be NULL in the log.
+    """
+    level = F.element_at(F.array(F.lit("status"), F.lit("day"), F.lit("all"), F.lit("all")), F.grouping_id().cast("int") + 1)
     return (
         log.select(F.to_date("date").alias("day"), "status", email_key(F.col("email")).alias("key"))
         .rollup("day", "status")
-        .agg(F.count("*").alias("attempts"), F.countDistinct("key").alias("contacts"))
+        .agg(level.alias("level"), F.count("*").alias("attempts"), F.countDistinct("key").alias("contacts"))
     )

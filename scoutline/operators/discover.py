@@ -20,12 +20,12 @@ from scoutline.operators import enrich
 from scoutline.operators.ordering import running_before
 
 # A hit's place in discovery order is packed into one bigint, so that "first" is a plain min:
-# chain (keyword, type) | page | item.
+# chain (keyword, type) | page | item. A value that does not fit ends the job.
 ITEM_BITS = 10
 PAGE_BITS = 30
+CHAIN_BITS = 63 - PAGE_BITS - ITEM_BITS
 # Pages per block when looking for the page that reaches the target.
 BLOCK_BITS = 14
-MAX_BROADCAST_CHAINS = 100_000
 
 
 def chain_key() -> Column:
@@ -38,7 +38,12 @@ def page_key() -> Column:
 
 def hit_position() -> Column:
     item = F.col("item_idx").cast("bigint")
-    fits = (item < (1 << ITEM_BITS)) & (F.col("page_idx") < (1 << PAGE_BITS))
+    fits = (
+        item.between(0, (1 << ITEM_BITS) - 1)
+        & F.col("page_idx").between(0, (1 << PAGE_BITS) - 1)
+        & F.col("type_idx").between(0, len(RESULT_TYPES) - 1)
+        & F.col("keyword_idx").between(0, (1 << CHAIN_BITS) // len(RESULT_TYPES) - 1)
+    )
     packed = F.shiftleft(page_key(), ITEM_BITS).bitwiseOR(item)
     return F.when(fits, packed).otherwise(F.raise_error(F.lit("hit position out of range")))
 
@@ -71,10 +76,8 @@ def search_requests(
     )
     plan = first.withColumn("page_token", F.lit(None).cast("string"))
     if page_tokens is not None:
-        chains = len(discovery.keywords) * len(RESULT_TYPES)
-        names = F.broadcast(first) if chains <= MAX_BROADCAST_CHAINS else first
         plan = plan.unionByName(
-            page_tokens.join(names, ["keyword_idx", "type_idx"]).select(*plan.columns)
+            page_tokens.join(first, ["keyword_idx", "type_idx"]).select(*plan.columns)
         )
 
     def text(value: str | None) -> Column:
@@ -94,8 +97,14 @@ def search_requests(
     )
 
 
-def channel_requests(raw_channels: DataFrame) -> DataFrame:
-    """One request per batch of channel ids."""
+def channel_requests(raw_channels: DataFrame, landed: DataFrame | None = None) -> DataFrame:
+    """One request per batch of channel ids.
+
+    Channels with a record in ``landed`` are left out before the rest is batched, so a new id never
+    changes requests that were answered.
+    """
+    if landed is not None:
+        raw_channels = raw_channels.join(landed.select("channel_id").distinct(), "channel_id", "left_anti")
     return enrich.id_batches(raw_channels).withColumn(
         "request_key",
         request_key(
@@ -109,8 +118,13 @@ def channel_requests(raw_channels: DataFrame) -> DataFrame:
 def creator_requests(
     channels: DataFrame, playlist_items: DataFrame, enrichment: Enrichment
 ) -> DataFrame:
-    """The uploads request of each creator, and the video request once its uploads are known."""
-    per_request = min(enrichment.recent_videos, API_PAGE_LIMIT)
+    """The uploads request of each creator, and the video request once its uploads are known.
+
+    Repeated channel records are one creator. Neither request can name more than a page of videos.
+    """
+    per_request = enrichment.recent_videos
+    if per_request > API_PAGE_LIMIT:
+        raise ValueError(f"one request returns at most {API_PAGE_LIMIT} videos")
     known = (
         enrich.recent_uploads(playlist_items, enrichment)
         .groupBy("playlist_id")
@@ -120,7 +134,7 @@ def creator_requests(
             F.array_join(F.transform("items", lambda x: x["video_id"]), ",").alias("video_ids"),
         )
     )
-    uploads = channels.where(present(F.col("uploads_playlist")).isNotNull()).select(
+    uploads = enrich.latest_records(channels).where(present(F.col("uploads_playlist")).isNotNull()).select(
         "channel_id", F.col("uploads_playlist").alias("playlist_id")
     )
     plan = uploads.join(known, "playlist_id", "left").select(
@@ -162,20 +176,13 @@ def pending(plan: DataFrame, landed: DataFrame) -> DataFrame:
     return plan.join(done.select("request_key"), "request_key", "left_anti")
 
 
-def readable_pages(pages: DataFrame, chains: int | None = None) -> DataFrame:
-    """Drop a failed page and everything after it in its chain; other chains go on.
-
-    ``chains`` is the configured number of (keyword, type) pairs, if known. The table of first
-    errors has at most that many rows, so a small number lets it be broadcast; otherwise its
-    measured size decides.
-    """
+def readable_pages(pages: DataFrame) -> DataFrame:
+    """Drop a failed page and everything after it in its chain; other chains go on."""
     first_error = (
         pages.where(F.col("status") == "error")
         .groupBy("keyword_idx", "type_idx")
         .agg(F.min("page_idx").alias("error_page"))
     )
-    if chains is not None and chains <= MAX_BROADCAST_CHAINS:
-        first_error = F.broadcast(first_error)
     return (
         pages.join(first_error, ["keyword_idx", "type_idx"], "left")
         .where(F.col("error_page").isNull() | (F.col("page_idx") < F.col("error_page")))

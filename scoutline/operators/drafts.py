@@ -6,6 +6,7 @@ from string import Formatter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from scoutline.config import Angles, Brand, DraftLimits
 from scoutline.fixed import (
@@ -27,6 +28,8 @@ from scoutline.schemas import MESSAGE_COLUMNS
 ELIGIBLE = (PASS, PASS_NO_EMAIL)
 
 _RESPONSE = "subject string, email string, dm string"
+#: Seconds beyond which a told delay is no usable one: ten years.
+LONGEST_WAIT = 315_360_000.0
 _STRICT = {"allowSingleQuotes": "false"}
 
 
@@ -71,7 +74,9 @@ def titles_text(titles: Column) -> Column:
 def render(template: str, values: dict[str, Column]) -> Column:
     """Fill the named slots of a template in one pass, so inserted text is never rescanned."""
     parts: list[Column] = []
-    for literal, slot, _, _ in Formatter().parse(template):
+    for literal, slot, form, conversion in Formatter().parse(template):
+        if form or conversion:
+            raise ValueError(f"slot {{{slot}}}: conversions and formats are not supported")
         if literal:
             parts.append(F.lit(literal))
         if slot is not None:
@@ -131,10 +136,30 @@ def draft_problems(draft: Column, limits: DraftLimits) -> Column:
     )
 
 
+def numbered_calls(attempts: DataFrame) -> DataFrame:
+    """Add ``failure``, ``draft_no`` and ``call_no`` to every call of a creator, in order of ``attempt``.
+
+    A call that failed gives no draft, whatever text came with it: it is one of the calls (``call_no``)
+    made for the draft that the next answer gives (``draft_no``).
+    """
+    order = Window.partitionBy("creator_id").orderBy("attempt")
+    answered = F.col("failure").isNull().cast("int")
+    before = F.coalesce(
+        F.sum(answered).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")
+    )
+    calls = Window.partitionBy("creator_id", "draft_no").orderBy("attempt")
+    return (
+        attempts.withColumn("failure", failure_class())
+        .withColumn("draft_no", before + 1)
+        .withColumn("call_no", F.row_number().over(calls))
+    )
+
+
 def check_attempts(attempts: DataFrame, limits: DraftLimits) -> DataFrame:
-    """Add the parsed draft, its problems and ``valid`` to every attempt within the limit."""
+    """Answered calls up to the limit of drafts, with the parsed draft, its problems and ``valid``."""
     return (
-        attempts.where(F.col("attempt") <= limits.max_attempts)
+        numbered_calls(attempts)
+        .where(F.col("failure").isNull() & (F.col("draft_no") <= limits.max_attempts))
         .withColumn("draft", parse_response(F.coalesce("response", F.lit(""))))
         .withColumn("problems", draft_problems(F.col("draft"), limits))
         .withColumn("valid", F.size("problems") == 0)
@@ -199,7 +224,7 @@ def retry_prompts(
 ) -> DataFrame:
     """Next prompt for creators with no valid attempt and tries left.
 
-    Every failed attempt has added its own observed word counts to the prompt.
+    Every invalid draft has added its own observed word counts to the prompt; failed calls have not.
     """
     feedback = render(
         suffix,
@@ -252,30 +277,35 @@ def failure_classes(attempts: DataFrame) -> DataFrame:
 
 
 def retry_schedule(attempts: DataFrame, limits: DraftLimits) -> DataFrame:
-    """Delay and time of the next try for attempts that may be repeated.
+    """Delay and time of the next try for failed calls that may be repeated.
 
-    A rate-limited attempt waits as long as the server says (seconds or an HTTP date); all others
-    back off exponentially.
+    A rate-limited call waits as long as the server says (seconds or an HTTP date, with a year of two
+    or four digits); all others, and calls whose header is no usable delay, back off exponentially
+    with the number of calls made for the same draft.
     """
     said = present(F.trim("retry_after"))
     seconds = said.try_cast("double")
-    day = F.regexp_replace(said, r"\A[A-Za-z]{3}, ", "")
+    day = F.regexp_replace(F.regexp_replace(said, r"\A[A-Za-z]{3,9}, ", ""), "(?<=[A-Za-z0-9])-(?=[A-Za-z0-9])", " ")
     offset = F.regexp_replace(day, r" (GMT|UTC)\z", " +0000")
     until = F.coalesce(
-        F.try_to_timestamp(offset, F.lit("d MMM yyyy HH:mm:ss xx")),
-        F.try_to_timestamp(day, F.lit("d MMM yyyy HH:mm:ss")),
+        *[
+            F.try_to_timestamp(value, F.lit(f"d MMM {year} HH:mm:ss{zone}"))
+            for year in ("yyyy", "yy")
+            for value, zone in ((offset, " xx"), (day, ""))
+        ]
     )
     wait = F.unix_micros(until) / 1e6 - F.unix_micros("attempted_at") / 1e6
     asked = F.coalesce(seconds, wait)
+    # Not a number sorts above infinity, so the bound takes out both.
     told = F.when(
-        (F.col("status_code") == RATE_LIMITED) & asked.isNotNull(), F.greatest(F.lit(0.0), asked)
+        (F.col("status_code") == RATE_LIMITED) & (asked <= LONGEST_WAIT), F.greatest(F.lit(0.0), asked)
     )
-    backoff = F.lit(limits.retry_base_delay) * F.pow(F.lit(2.0), F.col("attempt") - 1)
+    backoff = F.lit(limits.retry_base_delay) * F.pow(F.lit(2.0), F.col("call_no") - 1)
     delay = F.coalesce(told, backoff)
     return (
-        attempts.withColumn("failure", failure_class())
+        numbered_calls(attempts)
         .where(F.col("failure").isin("transient", "row"))
-        .where(F.col("attempt") < limits.max_attempts)
+        .where(F.col("call_no") < limits.max_calls)
         .select(
             "creator_id",
             "attempt",

@@ -9,7 +9,6 @@ from pyspark.sql import Window
 from scoutline.config import Enrichment, Settings
 from scoutline.fixed import (
     API_BATCH_LIMIT,
-    API_PAGE_LIMIT,
     DEFAULT_SOURCE,
     EMAIL_SOURCE,
     PLATFORM,
@@ -67,6 +66,7 @@ def channel_facts(channels: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
     ).select(
         "channel_id",
         "resp_pos",
+        "fetched_at",
         F.coalesce("title", F.lit("")).alias("name"),
         to_count(F.col("subscriber_count")).alias("followers"),
         "email",
@@ -83,34 +83,48 @@ def channel_facts(channels: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
 
 
 def latest_records(channels: DataFrame) -> DataFrame:
-    """One record per channel id; of repeated ones the last in response order."""
-    fields = [c for c in channels.columns if c not in ("channel_id", "resp_pos")]
+    """One record per channel id: of the newest landing the last in response order.
+
+    A missing time or place counts as the oldest; what is still equal is decided by the content.
+    """
+    order = ("fetched_at", "resp_pos")
+    fields = [c for c in channels.columns if c not in ("channel_id", *order)]
+    rank = F.struct(*order, F.xxhash64(*fields))
     return (
         channels.groupBy("channel_id")
-        .agg(F.max_by(F.struct(*fields), "resp_pos").alias("record"))
+        .agg(F.max_by(F.struct(*fields), rank).alias("record"))
         .select("channel_id", "record.*")
     )
 
 
 def recent_uploads(playlist_items: DataFrame, enrichment: Enrichment) -> DataFrame:
-    """The first N entries of each uploads playlist, in playlist order.
+    """The first N entries of each uploads playlist as it was landed last, in playlist order.
 
     The rank filter reaches below the shuffle as a partial group limit, so each input task
-    passes on at most N rows per playlist, however long it is.
+    passes on at most N places per playlist, however long it is. An entry landed twice at one time
+    counts once.
     """
-    limit = min(enrichment.recent_videos, API_PAGE_LIMIT)
-    newest = Window.partitionBy("playlist_id").orderBy("item_idx")
+    newest = Window.partitionBy("playlist_id").orderBy(F.col("fetched_at").desc_nulls_last(), "item_idx")
     return (
-        playlist_items.withColumn("place", F.row_number().over(newest))
-        .where(F.col("place") <= limit)
+        playlist_items.withColumn("place", F.dense_rank().over(newest))
+        .where(F.col("place") <= enrichment.recent_videos)
+        .withColumn("newest_at", F.max("fetched_at").over(Window.partitionBy("playlist_id")))
+        .where(F.col("fetched_at").eqNullSafe(F.col("newest_at")))
+        .groupBy("playlist_id", "item_idx")
+        .agg(F.min("video_id").alias("video_id"))
         .where(present(F.col("video_id")).isNotNull())
         .select("playlist_id", "item_idx", "video_id")
     )
 
 
 def uploaded_videos(uploads: DataFrame, videos: DataFrame) -> DataFrame:
-    """Video records of the uploads; ids without a record disappear."""
-    return uploads.select("playlist_id", "video_id").join(videos, "video_id")
+    """Video records of the uploads, each as it was landed last for its playlist; ids without a record
+    disappear, and a playlist that names a video twice counts it once."""
+    keys = ["playlist_id", "video_id"]
+    fields = [c for c in videos.columns if c not in (*keys, "fetched_at")]
+    rank = F.struct("fetched_at", F.xxhash64(*fields))
+    newest = videos.groupBy(*keys).agg(F.max_by(F.struct(*fields), rank).alias("record"))
+    return uploads.select(*keys).distinct().join(newest, keys).select(*keys, "record.*")
 
 
 def engagement() -> Column:
@@ -136,7 +150,9 @@ def video_facts(videos: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
     """
     masks = keyword_masks(F.col("text"), keywords)
     return videos.withColumn("text", video_text()).select(
+        "playlist_id",
         "video_id",
+        "fetched_at",
         "invalid_field",
         to_count(F.col("view_count")).alias("views"),
         F.struct(
@@ -155,7 +171,7 @@ def video_metrics(
 ) -> DataFrame:
     """One row per playlist: average views, engagement, titles, latest upload, keyword masks.
 
-    At most 50 small structs are gathered per playlist. They are folded in response order, which
+    Of each playlist one small struct per recent upload is gathered. They are folded in response order, which
     keeps the mean of ratios the same on every run.
     """
     facts = uploaded_videos(uploads, video_facts(videos, keywords))

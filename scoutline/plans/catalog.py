@@ -17,7 +17,7 @@ from scoutline.functions import text, values
 from scoutline.operators import contact, discover, drafts, enrich, quality, score
 from scoutline.plans import views as V
 from scoutline.plans.flagship import AS_OF, TEST_SETTINGS, evaluated
-from scoutline.schemas import CONTACT_LOG, CREATORS, DM_QUEUE, RAW_CHANNELS
+from scoutline.schemas import CONTACT_LOG, CREATORS, DM_QUEUE, MESSAGES, RAW_CHANNELS
 from scoutline.session import configure, shared_dir
 from scoutline.sources import landing, tables
 from scoutline.streaming import jobs
@@ -166,7 +166,7 @@ def request_pending(spark, sf_dir):
 
 @query
 def page_chain(spark, sf_dir):
-    kept = discover.readable_pages(V.pages(spark, sf_dir), V.CHAINS)
+    kept = discover.readable_pages(V.pages(spark, sf_dir))
     return kept.select(
         whole("keyword_idx"), whole("type_idx"), whole("page_idx"),
         F.size("items").cast("bigint").alias("items"),
@@ -204,7 +204,7 @@ def landed_hits(spark, sf_dir):
         "keyword_idx", "keyword", "type_idx", "result_type", "page_idx", "status", "fetched_at",
         F.struct(item.alias("items")).alias("response"),
     ).write.json(path)
-    pages = discover.readable_pages(landing.search_pages(spark, path), V.CHAINS)
+    pages = discover.readable_pages(landing.search_pages(spark, path))
     return _hit_columns(discover.explode_hits(pages))
 
 
@@ -224,6 +224,15 @@ def page_cap(spark, sf_dir):
     )
 
 
+@query
+def page_cap_open(spark, sf_dir):
+    """Discovery without a target keeps every creator."""
+    found = discover.first_seen(V.hits(spark, sf_dir))
+    target = Settings().discovery.target
+    kept = found if target is None else discover.cap_pages(found, target)
+    return kept.select("channel_id", "source_keyword", "pos")
+
+
 @query
 def keyword_yield(spark, sf_dir):
     return discover.keyword_yield(V.hits(spark, sf_dir))
@@ -244,6 +253,12 @@ def id_batches(spark, sf_dir):
     return discover.channel_requests(V.raw_channels(spark, sf_dir))
 
 
+@query
+def channel_pending(spark, sf_dir):
+    """Requests for the channels that have no landed record yet."""
+    return discover.channel_requests(V.raw_channels(spark, sf_dir), V.channel_responses(spark, sf_dir))
+
+
 @query
 def channel_left_join(spark, sf_dir):
     facts = enrich.channel_facts(V.channel_responses(spark, sf_dir), ())
@@ -404,6 +419,15 @@ def flat_file_creators(spark, sf_dir):
     return _creator_columns(tables.read_csv(spark, path, CREATORS))
 
 
+@query
+def flat_file_contacts(spark, sf_dir):
+    """Messages exported without a position, imported in file order, and planned."""
+    path = shared_dir(spark, "messages-csv")
+    tables.write_csv(V.messages(spark, sf_dir).orderBy("pos").drop("pos"), path)
+    plan = contact.plan_contacts(tables.read_csv(spark, path, MESSAGES), V.contact_log(spark, sf_dir))
+    return plan.select("pos", "influencer", "email_key", "status")
+
+
 @query
 def landed_creators(spark, sf_dir):
     """Channels, playlists and videos landed as nested JSON responses, read back and joined."""
@@ -423,18 +447,19 @@ def landed_creators(spark, sf_dir):
     )
     # Nulls are written out, so an explicit null country breaks its record.
     landed.write.option("ignoreNullFields", "false").json(f"{base}/channels")
-    recent = _uploads(spark, sf_dir).groupBy("playlist_id").agg(
+    listed = V.playlist_items(spark, sf_dir).groupBy("playlist_id", "fetched_at").agg(
         F.array_sort(F.collect_list(F.struct("item_idx", "video_id"))).alias("items")
     )
-    recent.select(
+    listed.select(
         "playlist_id",
+        "fetched_at",
         F.transform(
             "items",
             lambda i: F.struct(F.struct(i["video_id"].alias("videoId")).alias("contentDetails")),
         ).alias("items"),
     ).write.json(f"{base}/playlist_items")
     V.videos(spark, sf_dir).select(
-        "resp_idx", F.col("video_id").alias("id"),
+        "resp_idx", F.col("video_id").alias("id"), "playlist_id", "fetched_at",
         F.struct("title", "description", "tags", F.col("published_at").alias("publishedAt")).alias(
             "snippet"
         ),
@@ -705,7 +730,7 @@ def tracking(spark, sf_dir):
     old = V.contact_log(spark, sf_dir).select("date", "status", "email")
     report = contact.tracking(old.unionByName(rows.select("date", "status", "email")))
     return report.select(
-        F.date_format("day", "yyyy-MM-dd").alias("day"), "status", "attempts", "contacts"
+        F.date_format("day", "yyyy-MM-dd").alias("day"), "status", "level", "attempts", "contacts"
     )
 
 
@@ -762,5 +787,13 @@ def stream_quota(spark, sf_dir):
     out, checkpoint = shared_dir(spark, "stream-quota"), shared_dir(spark, "stream-state")
     requests = V.requests(_stream(spark, sf_dir, "events"))
     jobs.daily_quota(requests, out, checkpoint).awaitTermination()
-    days = spark.read.schema("day timestamp, requests bigint, units bigint").parquet(out)
+    days = jobs.quota_totals(spark, out)
     return days.select(clock(F.col("day")).alias("day"), "requests", "units")
+
+
+@query
+def stream_dm_queue(spark, sf_dir):
+    out, checkpoint = shared_dir(spark, "stream-queue"), shared_dir(spark, "stream-state")
+    messages = V.customer_messages(_stream(spark, sf_dir, "customer"))
+    jobs.dm_queue(messages, V.old_queue(spark, sf_dir), out, checkpoint).awaitTermination()
+    return tables.read_table(spark, out, DM_QUEUE).select(*DM_QUEUE.fieldNames())

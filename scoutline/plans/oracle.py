@@ -79,11 +79,13 @@ _URLS = """urls as (
              and not ends_with(host, 'youtube.com') and not ends_with(host, 'youtu.be')
            group by u.ck)"""
 
-_UPLOADS = """uploads as (
-  select * from (select o_custkey as ck, o_orderkey as ok, o_orderdate as od,
-                        row_number() over (partition by o_custkey
-                                           order by o_orderdate desc, o_orderkey desc) as place
-                 from orders) o where place <= 10)"""
+_UPLOADS = """listed_orders as (
+  select o_custkey as ck, o_orderkey as ok, o_orderdate as od from orders
+  union all select o_custkey + 1, o_orderkey, o_orderdate from orders where o_orderkey % 50 = 0),
+ uploads as (
+  select * from (select ck, ok, od,
+                        row_number() over (partition by ck order by od desc, ok desc) as place
+                 from listed_orders) o where place <= 10)"""
 
 _VIDEOS = """vids as (
   select ok, views, likes, comments, a.p_name as title,
@@ -187,7 +189,8 @@ def _judged(country: str | None) -> str:
 
 
 _ATTEMPTS = f"""attempts as (
-  select conv_id, attempt,
+  select conv_id, attempt, (conv_id + attempt) % 23 between 1 and 9 as failed,
+         (conv_id + attempt) % 23 as e,
          case when conv_id % 5 = 0 then '' else {{trim}}(subject) end as subject,
          case when conv_id % 5 = 0 then '' else {{trim}}(email) end as email,
          case when conv_id % 5 = 0 then '' else {{trim}}(coalesce(dm, '')) end as dm
@@ -201,7 +204,8 @@ _ATTEMPTS = f"""attempts as (
       case when {_words("subject")} > 8 then 'subject too long' end,
       case when {_words("email")} not between 60 and 200 then 'email length' end,
       case when {_words("dm")} not between 15 and 50 then 'dm length' end) as problems
-  from attempts where attempt <= 3)""".replace("{trim}", "trim")
+  from (select *, row_number() over (partition by conv_id order by attempt) as draft_no
+        from attempts where not failed) a where draft_no <= 3)""".replace("{trim}", "trim")
 
 _ERRORS = """errors as (
   select conv_id, (turn + 1) // 2 as attempt, (conv_id + (turn + 1) // 2) % 23 as e
@@ -210,7 +214,12 @@ _ERRORS = """errors as (
   select *, case e when 1 then 'transient' when 2 then 'transient' when 3 then 'row'
                    when 4 then 'fatal' when 5 then 'other' when 6 then 'transient'
                    when 7 then 'fatal' when 8 then 'transient' when 9 then 'transient' end as failure
-  from errors)"""
+  from errors),
+ called as (
+  select *, row_number() over (partition by conv_id, answers order by attempt) as call_no
+  from (select *, coalesce(sum(case when failure is null then 1 else 0 end) over (
+          partition by conv_id order by attempt rows between unbounded preceding and 1 preceding), 0)
+          as answers from classed) c)"""
 
 _READY = """ready as (
   select cast(c_custkey as varchar) as id, c_custkey as pos, c_name as name,
@@ -239,18 +248,20 @@ _MESSAGES = f"""msgs as (
     and lower(split_part(trim(email), '@', -1)) not in {_BAD}),
  oldlog as (
   select concat('u', s_suppkey, '@mail.test') as email_key,
-         case s_suppkey % 4 when 0 then 'SIMULATED' when 1 then 'SKIPPED_DUPLICATE'
-                            when 2 then 'SENT_TO_TEST_INBOX' else 'FAILED' end as status
+         case when s_suppkey % 7 = 0 then null when s_suppkey % 4 = 0 then 'SIMULATED'
+              when s_suppkey % 4 = 1 then 'SKIPPED_DUPLICATE'
+              when s_suppkey % 4 = 2 then 'SENT_TO_TEST_INBOX' else 'FAILED' end as status
   from supplier),
  plan as (
   select *, row_number() over (partition by email_key order by pos) as nth,
          email_key in (select email_key from oldlog) as seen,
          email_key in (select email_key from oldlog
-                       where status in ('SENT_TO_TEST_INBOX', 'FAILED')) as seen_live
+                       where status is null or status not in ('SIMULATED', 'SKIPPED_DUPLICATE'))
+           as seen_live
   from good),
  settled as (
   select *, case when nth > 1 or seen_live then 'SKIPPED_DUPLICATE'
-                 when pos % 13 = 0 then 'FAILED' else 'SENT_TO_TEST_INBOX' end as final
+                 when pos % 11 = 0 then 'PLANNED' when pos % 13 = 0 then 'FAILED' else 'SENT_TO_TEST_INBOX' end as final
   from plan)"""
 
 
@@ -288,7 +299,7 @@ _REQUESTS = f"""asked as (
   select 'UC' || ck, 'videos', ck,
          {_sha('''concat('{"endpoint": "videos", "id": "',
             string_agg('V' || ok, ',' order by place), '", "part": "snippet,statistics"}')''')}
-  from uploads group by ck)"""
+  from uploads where ck in (select c_custkey from customer) group by ck)"""
 
 _SEARCH_KEY = _sha(
     """concat('{"maxResults": 50, ',
@@ -361,6 +372,10 @@ def oracle_sql() -> dict[str, str]:
             query="""select 'UC' || n as channel_id, keyword as source_keyword, pos
                 from firsts join ahead using (k, y, pg) where before < 200""",
         ),
+        "page_cap_open": _with(
+            _HITS, _FIRST,
+            query="select 'UC' || n as channel_id, keyword as source_keyword, pos from firsts",
+        ),
         "keyword_yield": _with(
             _HITS, _FIRST,
             query="""select keyword, case when y = 0 then 'channel' else 'video' end as result_type,
@@ -381,6 +396,15 @@ def oracle_sql() -> dict[str, str]:
             select *, substring(sha256(concat('{"endpoint": "channels", "id": "', id_list,
               '", "part": "snippet,statistics,contentDetails"}')), 1, 24) as request_key
             from batched""",
+        "channel_pending": """with numbered as (
+            select 'UC' || c_custkey as id, row_number() over (order by
+              substring(sha256('UC' || c_custkey), 1, 3), 'UC' || c_custkey) - 1 as n from customer where c_acctbal < 0)
+            , batched as (
+              select n // 50 as batch, count(*) as ids, string_agg(id, ',' order by id) as id_list
+              from numbered group by n // 50)
+            select *, substring(sha256(concat('{"endpoint": "channels", "id": "', id_list,
+              '", "part": "snippet,statistics,contentDetails"}')), 1, 24) as request_key
+            from batched""",
         "channel_left_join": _with(
             _CHANNELS,
             query=f"""select 'UC' || ck as id,
@@ -457,6 +481,12 @@ def oracle_sql() -> dict[str, str]:
             "concat('\"', lang, '\" \\ ☃ ', chr(128512))")}, '"]') as titles_json from documents""",
         "flat_file_creators": _over_creators(creator_rows),
         "landed_creators": _over_creators(creator_rows),
+        "flat_file_contacts": _with(
+            _MESSAGES,
+            query="""select (select count(*) from customer c where c.c_custkey < plan.pos) as pos, influencer, email_key,
+                case when nth > 1 or seen then 'SKIPPED_DUPLICATE' else 'SIMULATED' end as status
+                from plan""",
+        ),
         "stage_row_counts": _with(
             *_PARTS, _judged(None), _ATTEMPTS, _READY, _MESSAGES,
             query="""select 'raw_channels' as table_name, count(*) as rows from customer
@@ -523,8 +553,10 @@ def oracle_sql() -> dict[str, str]:
         "word_counts": f"select doc_id, {_words('text')} as words from documents",
         "draft_parse": _with(
             _ATTEMPTS,
-            query="""select cast(conv_id as varchar) as creator_id, attempt, subject, email, dm
-                from attempts""",
+            query="""select cast(conv_id as varchar) as creator_id, attempt,
+                case when failed and e <> 4 then '' else subject end as subject,
+                case when failed and e <> 4 then '' else email end as email,
+                case when failed and e <> 4 then '' else dm end as dm from attempts""",
         ),
         "draft_validity": _with(
             _ATTEMPTS,
@@ -573,8 +605,8 @@ def oracle_sql() -> dict[str, str]:
                 cast(epoch_ms(timestamp '2024-01-01 00:00:00') + delay * 1000 as bigint)
                   as next_try_ms
                 from (select *, case e when 1 then 2.5::double when 6 then 90::double
-                                else pow(2.0::double, attempt - 1) end as delay from classed
-                      where failure in ('transient', 'row') and attempt < 3) c""",
+                                else pow(2.0::double, call_no - 1) end as delay from called
+                      where failure in ('transient', 'row') and call_no < 3) c""",
         ),
         "contact_plan_dry": _with(
             _MESSAGES,
@@ -618,8 +650,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "tracking": _with(
             _MESSAGES,
-            query="""select day, status, count(*) as attempts,
-                count(distinct email_key) as contacts
+            query="""select day, status, case grouping(day, status) when 0 then 'status' when 1 then 'day'
+                else 'all' end as level, count(*) as attempts, count(distinct email_key) as contacts
                 from (select '2024-01-01' as day, status, email_key from oldlog
                       union all select '2024-02-01', final, email_key from settled) l
                 group by rollup (day, status)""",
@@ -658,9 +690,13 @@ def oracle_sql() -> dict[str, str]:
                 case when nth > 1 or seen then 'SKIPPED_DUPLICATE' else 'SIMULATED' end as status
                 from plan""",
         ),
-        "stream_quota": f"""select {_stamp("d")} as day, count(*) as requests,
+        "stream_quota": f"""select {_stamp("date_trunc('day', ts)")} as day, count(*) as requests,
             cast(sum(case when event_id % 2 = 0 then 100 else 1 end) as bigint) as units
-            from (select *, date_trunc('day', ts) as d from events) e
-            where d + interval 1 day <= (select max(ts) - interval 1 day from events)
-            group by d""",
+            from events group by date_trunc('day', ts)""",
+        "stream_dm_queue": _with(
+            _MESSAGES,
+            query="""select influencer_id, arg_min(influencer, pos) as influencer, arg_min(dm, pos) as dm,
+                'PENDING_MANUAL' as status from msgs where dm <> '' and influencer_id not in
+                  (select cast(s_suppkey as varchar) from supplier) group by influencer_id""",
+        ),
     }

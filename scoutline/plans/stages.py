@@ -4,9 +4,11 @@
     raw_channels  creators_enriched  creators  shortlist    written by discover, enrich, judge
     draft_attempts                                          responses of the text generator
     messages  approvals                                     drafts, and the ids a person approved
-    contact_log  dm_queue                                  appended by contact
+    contact_runs/<run>  contact_log/run=<run>  dm_queue     the plans, what came of them, and DMs
 
-Every stage may run again: tables of a run are replaced, the log and the queue only grow.
+Every stage may run again: its tables are replaced, a contact run replaces its own plan and log
+partition, and the queue takes only creators that it does not hold yet. Settle a live run before the
+next one is planned.
 """
 
 from __future__ import annotations
@@ -15,9 +17,9 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scoutline.config import Settings
-from scoutline.fixed import RESULT_TYPES
 from scoutline.operators import contact, discover, drafts, enrich, score
 from scoutline.schemas import (
     CONTACT_LOG,
@@ -29,17 +31,20 @@ from scoutline.schemas import (
     TEXT,
     table_schema,
 )
+from scoutline.session import stored
 from scoutline.sources import landing, tables
 
 APPROVALS = table_schema(draft_key=TEXT)
 
 
 def find(spark: SparkSession, base: str, settings: Settings) -> DataFrame:
-    """Landed search pages to raw channels, up to the page that reaches the target."""
+    """Landed search pages to raw channels; with a target, up to the page that reaches it."""
     pages = landing.search_pages(spark, f"{base}/landing/search_pages")
-    chains = len(settings.discovery.keywords) * len(RESULT_TYPES)
-    hits = discover.explode_hits(discover.readable_pages(pages, chains))
-    found = discover.cap_pages(discover.first_seen(hits), settings.discovery.target)
+    hits = discover.explode_hits(discover.readable_pages(pages))
+    # Stored once, so that neither the cap nor a later stage parses the landed pages again.
+    found = stored(discover.first_seen(hits), "first-seen")
+    if settings.discovery.target is not None:
+        found = discover.cap_pages(found, settings.discovery.target)
     tables.write_raw_channels(found, f"{base}/raw_channels")
     return tables.read_table(spark, f"{base}/raw_channels", RAW_CHANNELS)
 
@@ -81,7 +86,7 @@ def drafted(spark: SparkSession, base: str, settings: Settings) -> DataFrame:
     ready = drafts.eligible(tables.read_table(spark, f"{base}/shortlist", CREATORS)).withColumn(
         "collab_angle", drafts.collaboration_angle(settings.angles)
     )
-    found = drafts.first_valid(drafts.check_attempts(attempts, settings.drafts))
+    found = stored(drafts.first_valid(drafts.check_attempts(attempts, settings.drafts)), "drafts")
     written = drafts.messages(ready, found)
     tables.write_messages(written, drafts.run_summary(ready, found), f"{base}/messages")
     return tables.read_table(spark, f"{base}/messages", MESSAGES)
@@ -98,32 +103,45 @@ def approvable(messages: DataFrame) -> DataFrame:
     return messages.withColumn("draft_key", draft_key())
 
 
-def contacted(
-    spark: SparkSession,
-    base: str,
-    run_at: datetime,
-    live: bool = False,
-    outcomes: DataFrame | None = None,
-) -> DataFrame:
-    """Plan approved messages against the log, queue DMs, append both; returns this run's plan.
-
-    Approvals are a table of draft keys. ``outcomes`` (pos, error) settles a live plan.
-    """
+def _approved_messages(spark: SparkSession, base: str) -> DataFrame:
     approvals = tables.read_optional(spark, f"{base}/approvals", APPROVALS)
     known = approvals.distinct().withColumn("given", F.lit(True))
-    messages = (
+    return (
         approvable(tables.read_table(spark, f"{base}/messages", MESSAGES))
         .join(known, "draft_key", "left")
         .withColumn("approved", F.coalesce(F.col("approved") | F.col("given"), F.lit(False)))
         .drop("given")
     )
-    log = tables.read_optional(spark, f"{base}/contact_log", CONTACT_LOG)
-    plan = contact.plan_contacts(messages, log, live)
-    if outcomes is not None:
-        plan = contact.merge_outcomes(plan, outcomes)
-    run = f"{base}/contact_runs/{run_at:%Y%m%dT%H%M%S}"
-    plan = tables.store(plan, run)
-    tables.append_log(plan, run_at, f"{base}/contact_log")
+
+
+def _log(spark: SparkSession, base: str, without: str | None = None) -> DataFrame:
+    """The contact log of all runs, each in a partition of its own."""
+    with_run = T.StructType([*CONTACT_LOG.fields, T.StructField("run", T.StringType())])
+    log = tables.read_optional(spark, f"{base}/contact_log", with_run)
+    return log.where(F.col("run") != without) if without else log
+
+
+def planned(spark: SparkSession, base: str, run: str, live: bool = False) -> DataFrame:
+    """Plan approved messages against the log of all other runs, and queue DMs; returns the plan.
+
+    The plan is stored under the run id and logged nowhere; a repeat replaces it. Approvals are a
+    table of draft keys.
+    """
+    messages = _approved_messages(spark, base)
+    plan = contact.plan_contacts(messages, _log(spark, base, without=run), live)
+    plan = tables.store(plan, f"{base}/contact_runs/{run}")
     queue = tables.read_optional(spark, f"{base}/dm_queue", DM_QUEUE)
     tables.append_dms(messages, queue, f"{base}/dm_queue")
     return plan
+
+
+def settled(
+    spark: SparkSession, base: str, run: str, run_at: datetime, outcomes: DataFrame | None = None
+) -> DataFrame:
+    """The run's log rows: its stored plan with the newest outcome of each row, written as the log
+    partition of the run. A repeat, with more outcomes or the same, replaces that partition."""
+    plan = spark.read.parquet(f"{base}/contact_runs/{run}")
+    if outcomes is not None:
+        plan = contact.merge_outcomes(plan, outcomes)
+    contact.log_rows(plan, run_at).write.mode("overwrite").parquet(f"{base}/contact_log/run={run}")
+    return _log(spark, base).where(F.col("run") == run)

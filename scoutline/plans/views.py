@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEYWORDS = ("click", "error", "purchase", "signup", "view")
-CHAINS = 2 * len(KEYWORDS)
+OLD_LANDING, NEW_LANDING = "2001-07-01 00:00:00", "2001-08-01 00:00:00"
 
 
 @lru_cache(maxsize=None)
@@ -165,12 +165,14 @@ def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("subscriber_count"),
             text_id("UU", key).alias("uploads_playlist"),
             F.when(key % 37 == 0, "country").alias("invalid_field"),
+            F.lit(NEW_LANDING).cast("timestamp").alias("fetched_at"),
         )
     )
 
 
 def channel_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Channel records as returned: none for overdrawn customers, a renamed repeat for builders."""
+    """Channel records as returned: none for overdrawn customers, a renamed repeat for builders, and an
+    older landing of every thirteenth, which has other values and no place."""
     base = channels(spark, sf_dir)
     balances = table(spark, sf_dir, "customer").select(
         text_id("UC", F.col("c_custkey")).alias("channel_id"), "c_acctbal", "c_mktsegment"
@@ -182,12 +184,22 @@ def channel_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = F.when(F.col("resp_pos") == 1, F.concat("title", F.lit(" v2"))).otherwise(
         F.col("title")
     )
-    return (
+    fresh = (
         returned.withColumn("resp_pos", F.explode(versions))
         .withColumn("resp_pos", F.col("resp_pos").cast("bigint"))
         .withColumn("title", renamed)
         .select(*base.columns)
     )
+    number = F.substring("channel_id", 3, 20).cast("bigint")
+    old = returned.where(number % 13 == 0).withColumns(
+        {
+            "title": F.lit("old name"),
+            "subscriber_count": F.lit("1"),
+            "resp_pos": F.lit(None).cast("bigint"),
+            "fetched_at": F.lit(OLD_LANDING).cast("timestamp"),
+        }
+    )
+    return fresh.unionByName(old.select(*base.columns))
 
 
 def raw_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,16 +220,35 @@ def newest_first() -> Column:
     return F.shiftleft(days_left.cast("bigint"), 40) - F.col("o_orderkey")
 
 
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the creators that list them: their own, and of every fiftieth also the next one."""
+    own = F.col("o_custkey")
+    listed = F.when(F.col("o_orderkey") % 50 == 0, F.array(own, own + 1)).otherwise(F.array(own))
+    return table(spark, sf_dir, "orders").withColumn("creator", F.explode(listed))
+
+
 def playlist_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
-        text_id("UU", F.col("o_custkey")).alias("playlist_id"),
+    """Uploads playlists. Of every thirteenth an older landing exists, with other videos in front."""
+    rows = listings(spark, sf_dir).select(
+        "creator",
+        text_id("UU", F.col("creator")).alias("playlist_id"),
         newest_first().alias("item_idx"),
         text_id("V", F.col("o_orderkey")).alias("video_id"),
+        F.lit(NEW_LANDING).cast("timestamp").alias("fetched_at"),
     )
+    old = rows.where(F.col("creator") % 13 == 0).withColumns(
+        {
+            "item_idx": F.col("item_idx") - 1000,
+            "video_id": F.concat(F.lit("gone"), "video_id"),
+            "fetched_at": F.lit(OLD_LANDING).cast("timestamp"),
+        }
+    )
+    return rows.unionByName(old).drop("creator")
 
 
 def videos(spark: SparkSession, sf_dir: str, resp_idx: Column | None = None) -> DataFrame:
-    """One video per order with line items; counts are text and some are unusable.
+    """One video per listed order with line items; counts are text and some are unusable. Every eleventh
+    was landed before with other counts.
 
     Title and tags come from the part with the lowest key, the description from the highest. The
     aggregate holds only fixed-width values, so it can be a hash aggregate.
@@ -244,9 +275,10 @@ def videos(spark: SparkSession, sf_dir: str, resp_idx: Column | None = None) ->
         .join(first, "first_part")
         .join(last, "last_part")
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    orders = listings(spark, sf_dir).select("creator", "o_orderkey", "o_orderdate")
     views = (F.col("quantity") * 10).cast("bigint").cast("string")
-    return counted.join(orders, F.col("l_orderkey") == key).select(
+    new = counted.join(orders, F.col("l_orderkey") == key).select(
+        text_id("UU", F.col("creator")).alias("playlist_id"),
         text_id("V", key).alias("video_id"),
         (newest_first() if resp_idx is None else resp_idx).alias("resp_idx"),
         F.col("first_name").alias("title"),
@@ -257,7 +289,12 @@ def videos(spark: SparkSession, sf_dir: str, resp_idx: Column | None = None) ->
         F.col("lines").cast("string").alias("like_count"),
         F.when(key % 19 != 0, F.col("returns").cast("string")).alias("comment_count"),
         F.lit(None).cast("string").alias("invalid_field"),
+        F.lit(NEW_LANDING).cast("timestamp").alias("fetched_at"),
+    )
+    old = new.where(F.substring("video_id", 2, 20).cast("bigint") % 11 == 0).withColumns(
+        {"view_count": F.lit("7"), "title": F.lit("old title"), "fetched_at": F.lit(OLD_LANDING).cast("timestamp")}
     )
+    return new.unionByName(old)
 
 
 # Draft attempts -----------------------------------------------------------------------------
@@ -299,7 +336,8 @@ def draft_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("conv_id").cast("string").alias("creator_id"),
             "attempt",
-            "response",
+            # Failed calls answer nothing; one kind of error comes with a text all the same.
+            F.when(~key.between(1, 9) | (key == 4), F.col("response")).alias("response"),
             F.when(key == 1, 429).when(key == 2, 500).when(key == 3, 400).when(key == 4, 401)
             .when(key == 5, 418).when(key == 6, 429).when(key == 7, 400).when(key == 8, 429)
             .alias("status_code"),
@@ -309,8 +347,12 @@ def draft_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("error_type"),
             F.when(key == 3, "json_validate_failed: bad output").when(key == 7, "bad model")
             .alias("error_message"),
-            F.when(key == 1, "2.5").when(key == 6, "Mon, 01 Jan 2024 00:01:30 GMT")
+            F.when(key == 1, "2.5")
+            .when((key == 6) & (F.col("conv_id") % 2 == 0), "Mon, 01 Jan 2024 00:01:30 GMT")
+            .when(key == 6, "Monday, 01-Jan-24 00:01:30 GMT")
             .when(key == 2, "9")
+            .when((key == 8) & (F.col("conv_id") % 2 == 0), "inf")
+            .when(key == 8, "1e30")
             .alias("retry_after"),
             F.lit("2024-01-01 00:00:00").cast("timestamp").alias("attempted_at"),
         )
@@ -374,7 +416,8 @@ def contact_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         key.cast("string").alias("influencer_id"),
         F.concat(F.lit("U"), key.cast("string"), F.lit("@mail.test")).alias("email"),
-        F.when(key % 4 == 0, "SIMULATED").when(key % 4 == 1, "SKIPPED_DUPLICATE")
+        F.when(key % 7 == 0, F.lit(None).cast("string"))
+        .when(key % 4 == 0, "SIMULATED").when(key % 4 == 1, "SKIPPED_DUPLICATE")
         .when(key % 4 == 2, "SENT_TO_TEST_INBOX").otherwise("FAILED")
         .alias("status"),
         F.lit("2024-01-01 00:00:00").cast("timestamp").alias("date"),
@@ -393,7 +436,18 @@ def old_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcomes(plan: DataFrame) -> DataFrame:
-    """Delivery outcomes of a live plan; every thirteenth position bounces."""
-    return plan.where(F.col("status") == "PLANNED").select(
-        "pos", F.when(F.col("pos") % 13 == 0, "mailbox full").alias("error")
+    """Delivery outcomes of a live plan: every thirteenth position bounces, every eleventh is not known
+    yet, and every fifth was told twice, first with another end."""
+    known = plan.where((F.col("status") == "PLANNED") & (F.col("pos") % 11 != 0))
+    final = F.when(F.col("pos") % 13 == 0, "mailbox full")
+    at = lambda text: F.lit(text).cast("timestamp")
+    told = F.array(
+        F.struct(final.alias("error"), at("2024-02-01 10:00:00").alias("told_at")),
+        F.when(
+            F.col("pos") % 5 == 0,
+            F.struct(
+                F.when(F.col("pos") % 13 != 0, "busy").alias("error"), at("2024-02-01 09:00:00").alias("told_at")
+            ),
+        ),
     )
+    return known.select("pos", F.inline(F.array_compact(told)))

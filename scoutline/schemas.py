@@ -25,12 +25,14 @@ RAW_CHANNELS = table_schema(
 CHANNELS = table_schema(
     channel_id=TEXT, resp_pos=WHOLE, title=TEXT, description=TEXT, country=TEXT,
     default_language=TEXT, default_audio_language=TEXT, subscriber_count=TEXT,
-    uploads_playlist=TEXT, invalid_field=TEXT,
+    uploads_playlist=TEXT, invalid_field=TEXT, fetched_at=TIME,
 )
-PLAYLIST_ITEMS = table_schema(playlist_id=TEXT, item_idx=WHOLE, video_id=TEXT)
+PLAYLIST_ITEMS = table_schema(playlist_id=TEXT, item_idx=WHOLE, video_id=TEXT, fetched_at=TIME)
+# A video is landed for a playlist: the same video asked for by two creators is two records.
 VIDEOS = table_schema(
-    video_id=TEXT, resp_idx=WHOLE, title=TEXT, description=TEXT, tags=TEXTS,
+    playlist_id=TEXT, video_id=TEXT, resp_idx=WHOLE, title=TEXT, description=TEXT, tags=TEXTS,
     published_at=TEXT, view_count=TEXT, like_count=TEXT, comment_count=TEXT, invalid_field=TEXT,
+    fetched_at=TIME,
 )
 # The 25 fields of a creator record, in order, then the two columns that only we keep.
 CREATORS = table_schema(

@@ -17,16 +17,16 @@ _PAGES = (
     "nextPageToken string>"
 )
 _CHANNELS = (
-    "resp_pos bigint, id string, snippet variant, "
+    "resp_pos bigint, id string, fetched_at timestamp, snippet variant, "
     "statistics struct<subscriberCount string>, "
     "contentDetails struct<relatedPlaylists struct<uploads string>>"
 )
 _PLAYLISTS = (
-    "playlist_id string, "
+    "playlist_id string, fetched_at timestamp, "
     "items array<struct<contentDetails struct<videoId string>>>"
 )
 _VIDEOS = (
-    "resp_idx bigint, id string, snippet variant, "
+    "resp_idx bigint, id string, playlist_id string, fetched_at timestamp, snippet variant, "
     "statistics struct<viewCount string, likeCount string, commentCount string>"
 )
 
@@ -74,6 +74,7 @@ def channels(spark: SparkSession, path: str) -> DataFrame:
                 _broken("title", "name"), _broken("description"), _broken("country"),
                 _broken("defaultLanguage", "language", null_ok=True),
             ).alias("invalid_field"),
+            "fetched_at",
         )
     )
 
@@ -83,22 +84,24 @@ def playlist_items(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(_PLAYLISTS)
         .json(path)
-        .select("playlist_id", F.posexplode("items").alias("item_idx", "item"))
+        .select("playlist_id", "fetched_at", F.posexplode("items").alias("item_idx", "item"))
         .select(
             "playlist_id",
             F.col("item_idx").cast("bigint").alias("item_idx"),
             F.col("item.contentDetails.videoId").alias("video_id"),
+            "fetched_at",
         )
     )
 
 
 def videos(spark: SparkSession, path: str) -> DataFrame:
-    """Video records with counts as text."""
+    """Video records with counts as text, each under the playlist it was asked for."""
     tags = F.try_variant_get("snippet", "$.tags", "array<string>")
     return (
         spark.read.schema(_VIDEOS)
         .json(path)
         .select(
+            "playlist_id",
             F.col("id").alias("video_id"),
             "resp_idx",
             _text("title").alias("title"),
@@ -109,6 +112,7 @@ def videos(spark: SparkSession, path: str) -> DataFrame:
             F.col("statistics.likeCount").alias("like_count"),
             F.col("statistics.commentCount").alias("comment_count"),
             F.coalesce(_broken("title"), _broken("description")).alias("invalid_field"),
+            "fetched_at",
         )
     )
 

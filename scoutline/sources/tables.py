@@ -11,6 +11,7 @@ from scoutline.fixed import NOT_FOUND
 from scoutline.functions.values import json_list, missing_to_null, to_count, to_flag, to_number
 from scoutline.functions.values import to_timestamp
 from scoutline.operators.contact import log_rows, new_dms
+from scoutline.operators.ordering import position
 from scoutline.schemas import DM_QUEUE, MESSAGE_COLUMNS, RAW_CHANNEL_COLUMNS
 
 # Python-style text: quotes doubled, blanks kept, line breaks inside quotes allowed.
@@ -46,9 +47,20 @@ def store(df: DataFrame, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Import a flat file by column name; empty and sentinel values become NULL."""
+    """Import a flat file by column name; empty and sentinel values become NULL.
+
+    Line breaks inside quotes keep a file from being split: each file is one task, so flat files are
+    for the edges. Where the schema has a ``pos`` that the files lack, it is made from the order of
+    files by name and of rows in them.
+    """
     raw = spark.read.options(**_CSV).csv(path)
     present = set(raw.columns)
+    if "pos" in schema.fieldNames() and "pos" not in present:
+        named = raw.withColumn("_file", F.col("_metadata.file_path"))
+        ordered = named.withColumn("_row", F.monotonically_increasing_id())
+        raw = position(ordered, "_file", ["_row"], name="pos").drop("_file", "_row")
+        raw = raw.withColumn("pos", F.col("pos").cast("string"))
+        present.add("pos")
     return raw.select(
         *[
             (_typed(F.col(f"`{f.name}`"), f.dataType) if f.name in present else F.lit(None))

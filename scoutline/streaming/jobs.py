@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from scoutline.operators.contact import log_rows, plan_contacts
-from scoutline.operators.discover import first_seen, request_cost
-from scoutline.schemas import CONTACT_LOG, RAW_CHANNELS
+from scoutline.operators.contact import log_rows, new_dms, plan_contacts
+from scoutline.operators.discover import first_seen, quota_use
+from scoutline.schemas import CONTACT_LOG, DM_QUEUE, RAW_CHANNELS, TIME, WHOLE, table_schema
 from scoutline.sources.tables import read_optional
 
 
@@ -82,20 +82,34 @@ def contact_log(
     return _run(messages, checkpoint, write)
 
 
-def daily_quota(
-    requests: DataFrame, table: str, checkpoint: str, lateness: str = "1 day"
+def dm_queue(
+    messages: DataFrame, base_queue: DataFrame, table: str, checkpoint: str
 ) -> StreamingQuery:
-    """Units used per day; a day is written once the watermark has passed its end."""
-    days = (
-        requests.withWatermark("requested_at", lateness)
-        .groupBy(F.window("requested_at", "1 day"))
-        .agg(F.count("*").alias("requests"), F.sum(request_cost()).alias("units"))
-        .select(F.col("window.start").alias("day"), "requests", "units")
-    )
-    return (
-        days.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(table)
-    )
+    """Queue the first direct message of creators that neither the old queue nor an earlier batch has."""
+    columns = [f.name for f in DM_QUEUE.fields]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        earlier = _earlier_batches(batch.sparkSession, table, DM_QUEUE, batch_id)
+        queue = base_queue.select(*columns).unionByName(earlier.select(*columns))
+        new_dms(batch, queue).select(*columns).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+
+    return _run(messages, checkpoint, write)
+
+
+def daily_quota(requests: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Units used per day and batch; :func:`quota_totals` adds them up.
+
+    No row is too late: a batch adds its own sums to whatever days it holds.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        days = quota_use(batch).select("day", "requests", "units")
+        days.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+
+    return _run(requests, checkpoint, write)
+
+
+def quota_totals(spark: SparkSession, table: str) -> DataFrame:
+    """Requests and units of every day over all batches."""
+    days = read_optional(spark, table, table_schema(day=TIME, requests=WHOLE, units=WHOLE))
+    return days.groupBy("day").agg(F.sum("requests").alias("requests"), F.sum("units").alias("units"))

@@ -116,7 +116,32 @@ def test_dm_queue_is_first_wins_and_keeps_old_rows(spark, tmp_path):
     assert tables.read_table(spark, path, DM_QUEUE).count() == 2
 
 
+def test_a_row_without_a_status_blocks_a_live_send(spark):
+    known = log(spark, ("u0@b.co", None), ("u1@b.co", ""))
+    rows = [message(i, email=f"u{i}@b.co") for i in range(3)]
+    got = statuses(contact.plan_contacts(batch(spark, *rows), known, live=True))
+    assert got == {0: "SKIPPED_DUPLICATE", 1: "SKIPPED_DUPLICATE", 2: "PLANNED"}
+
+
+def test_a_message_without_a_place_ends_the_job(spark):
+    rows = batch(spark, message(None), message(1))
+    for plan in (contact.plan_contacts(rows, log(spark)), contact.new_dms(rows, spark.createDataFrame([], DM_QUEUE))):
+        with pytest.raises(Exception, match="no pos"):
+            plan.collect()
+
+
+def test_newest_outcome_counts_once(spark):
+    plan = contact.plan_contacts(batch(spark, message(0, email="a@b.co"), message(1, email="c@b.co")), log(spark), live=True)
+    rows = [(0, "busy", AT), (0, None, AT.replace(hour=2)), (1, None, AT), (1, "full", AT), (9, None, AT)]
+    told = spark.createDataFrame(rows, "pos bigint, error string, told_at timestamp")
+    got = [(r["pos"], r["status"], r["error"]) for r in contact.merge_outcomes(plan, told).collect()]
+    assert sorted(got) == [(0, "SENT_TO_TEST_INBOX", ""), (1, "FAILED", "full")]
+
+
 def test_tracking(spark):
-    rows = contact.tracking(log(spark, ("a@b.co", "SIMULATED"), ("A@b.co", "SIMULATED"), ("c@b.co", "FAILED")))
-    got = {(str(r["day"]), r["status"]): (r["attempts"], r["contacts"]) for r in rows.collect()}
-    assert got[("2026-10-01", "SIMULATED")] == (2, 1) and got[("None", None)] == (3, 2)
+    rows = contact.tracking(log(spark, ("a@b.co", "SIMULATED"), ("A@b.co", "SIMULATED"), ("c@b.co", "FAILED"), ("d@b.co", None)))
+    got = {(r["level"], str(r["day"]), r["status"]): (r["attempts"], r["contacts"]) for r in rows.collect()}
+    assert got == {
+        ("status", "2026-10-01", "SIMULATED"): (2, 1), ("status", "2026-10-01", "FAILED"): (1, 1),
+        ("status", "2026-10-01", None): (1, 1), ("day", "2026-10-01", None): (4, 3), ("all", "None", None): (4, 3),
+    }

@@ -20,30 +20,37 @@ def page(keyword, type_idx, number, items, status="ok"):
     return (keyword, f"kw{keyword}", type_idx, kind, number, status, None, items)
 
 
-def test_paging_dedupe_and_title_source(spark):
+def test_titles_and_first_hits_equal_a_loop(spark):
+    """Random pages with repeated, missing and blank ids in both kinds of results."""
+    rng = random.Random(21)
+    rows = []
+    for k in range(2):
+        for y in range(2):
+            for p in range(4):
+                items = [
+                    tuple(rng.choice([None, "", f"C{rng.randint(0, 9)}"]) for _ in range(2))
+                    + (rng.choice([None, f"t{k}{y}{p}{i}"]), rng.choice([None, f"c{k}{y}{p}{i}"]))
+                    for i in range(rng.randint(0, 5))
+                ]
+                rows.append(page(k, y, p, items))
+    want = {}
+    for row in rows:
+        for own, of_snippet, title, channel_title in row[7]:
+            key, name = (own, title or "") if row[2] == 0 else (of_snippet, channel_title)
+            if key and key not in want:
+                want[key] = (name, row[1])
+    found = discover.first_seen(discover.explode_hits(spark.createDataFrame(rng.sample(rows, len(rows)), SEARCH_PAGES)))
+    assert {r["channel_id"]: (r["title"], r["source_keyword"]) for r in found.collect()} == want
+
+
+def test_error_ends_its_chain_only(spark):
+    some = [("C7", None, "t", None)]
     pages = spark.createDataFrame(
-        [
-            page(0, 0, 0, [("UC1", None, "One", None)]),
-            page(0, 0, 1, [("UC2", None, "Two", None), (None, None, "lost", None), ("", None, "x", None)]),
-            page(0, 1, 0, [("no", "UC1", "video", "One"), (None, "UC3", "video", "Three")]),
-        ],
-        SEARCH_PAGES,
-    )
-    found = discover.first_seen(discover.explode_hits(discover.readable_pages(pages)))
-    rows = found.orderBy("pos").collect()
-    assert [(r["channel_id"], r["title"]) for r in rows] == [("UC1", "One"), ("UC2", "Two"), ("UC3", "Three")]
-    assert discover.cap_pages(found, 3).count() == 3
-
-
-@pytest.mark.parametrize("chains", [None, 4])
-def test_error_ends_its_chain_only(spark, chains):
-    item = [("UC1", None, "One", None)]
-    pages = spark.createDataFrame(
-        [page(0, 0, 0, item), page(0, 0, 1, item, "error"), page(0, 0, 2, item), page(1, 0, 5, item)],
+        [page(2, 1, n, some, "error" if n in (3, 6) else "ok") for n in range(8)] + [page(2, 0, n, some) for n in (3, 9)],
         SEARCH_PAGES,
     )
-    kept = discover.readable_pages(pages, chains).collect()
-    assert sorted((r["keyword_idx"], r["page_idx"]) for r in kept) == [(0, 0), (1, 5)]
+    kept = discover.readable_pages(pages).collect()
+    assert sorted((r["type_idx"], r["page_idx"]) for r in kept) == [(0, 3), (0, 9), (1, 0), (1, 1), (1, 2)]
 
 
 def loop_cap(hits, target):
@@ -94,10 +101,15 @@ def test_search_keys_equal_python_json(spark):
 
 def test_creator_requests_and_pending(spark):
     channels = spark.createDataFrame(
-        [("UC1", 0, *[None] * 6, "UU1", None), ("UC2", 0, *[None] * 6, "", None)], CHANNELS
+        [
+            ("UC1", 0, *[None] * 6, "UU1", None, None), ("UC2", 0, *[None] * 6, "", None, None),
+            ("UC1", 1, "renamed", *[None] * 5, "UU1", None, None),
+        ],
+        CHANNELS,
     )
-    items = spark.createDataFrame([("UU1", 1, "V2"), ("UU1", 0, "V1"), ("UU1", 2, "V3")], PLAYLIST_ITEMS)
+    items = spark.createDataFrame([("UU1", i, v, None) for i, v in ((1, "V2"), (0, "V1"), (2, "V3"))], PLAYLIST_ITEMS)
     plan = discover.creator_requests(channels, items, Enrichment(recent_videos=2))
+    assert plan.count() == 2  # a repeated record asks for nothing twice
     keys = {r["endpoint"]: r["request_key"] for r in plan.collect()}
     text = json.dumps({"endpoint": "videos", "part": "snippet,statistics", "id": "V1,V2"}, sort_keys=True)
     assert keys["videos"] == hashlib.sha256(text.encode()).hexdigest()[:24]
@@ -116,6 +128,21 @@ def test_channel_requests(spark):
     assert row["request_key"] == hashlib.sha256(text.encode()).hexdigest()[:24]
 
 
+def test_landed_channels_keep_their_requests(spark):
+    """One new id that sorts first makes one new request and leaves what has landed alone."""
+    raw = spark.createDataFrame([(f"UC{i:03d}",) for i in range(120)], "channel_id string")
+    known = raw.where("channel_id <> 'UC000'")
+    rows = discover.channel_requests(raw, known).collect()
+    assert [(r["id_list"], r["ids"]) for r in rows] == [("UC000", 1)]
+    assert discover.channel_requests(raw, raw).count() == 0
+
+
+def test_more_videos_than_a_request_returns_are_refused(spark):
+    channels, items = spark.createDataFrame([], CHANNELS), spark.createDataFrame([], PLAYLIST_ITEMS)
+    with pytest.raises(ValueError, match="at most 50"):
+        discover.creator_requests(channels, items, Enrichment(recent_videos=60))
+
+
 def test_yield_credits_first_hit(spark):
     df = spark.createDataFrame(
         [

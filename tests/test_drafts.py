@@ -77,9 +77,12 @@ def test_parse(evaluate, raw, wanted):
 def test_limits(spark):
     df = attempts(
         spark, ("a", 1, response()), ("b", 1, response(90, 30, words(8))), ("c", 1, response(91, 31, words(9))),
-        ("d", 1, response(59, 14, "")), ("e", 4, response()), ("f", 1, None),
+        ("d", 1, response(59, 14, "")), ("f", 1, None),
+        *[("e", n, response() if n == 4 else "{}") for n in (1, 2, 3, 4)],
     )
-    got = {r["creator_id"]: (r["valid"], r["problems"]) for r in drafts.check_attempts(df, LIMITS).collect()}
+    rows = drafts.check_attempts(df, LIMITS).collect()
+    assert sorted(r["attempt"] for r in rows if r["creator_id"] == "e") == [1, 2, 3]
+    got = {r["creator_id"]: (r["valid"], r["problems"]) for r in rows if r["creator_id"] != "e"}
     assert got == {
         "a": (True, []), "b": (True, []), "c": (False, ["subject too long", "email length", "dm length"]),
         "d": (False, ["subject missing", "email length", "dm length"]),
@@ -90,7 +93,7 @@ def test_limits(spark):
 def test_first_valid_attempt_becomes_the_message(spark):
     df = attempts(
         spark, ("a", 2, response(subject="second")), ("a", 1, response(5)), ("a", 3, response(subject="third")),
-        ("b", 1, "{}"), ("c", 4, response()),
+        ("b", 1, "{}"), *[("c", n, response() if n == 4 else "{}") for n in (1, 2, 3, 4)],
     )
     found = drafts.first_valid(drafts.check_attempts(df, LIMITS))
     base = ready(spark, "a", "b", "c")
@@ -136,18 +139,44 @@ def failures(spark):
         ("paid", 1, None, 402, None, None, None), ("odd", 1, None, 418, None, None, None),
         ("junk", 1, None, 429, None, None, "later"),
         ("zone", 1, None, 429, None, None, "1 Oct 2026 02:00:10 +0200"),
+        ("short year", 1, None, 429, None, None, "Thursday, 01-Oct-26 00:00:30 GMT"),
+        ("endless", 1, None, 429, None, None, "inf"), ("huge", 1, None, 429, None, None, "1e30"),
+        ("nothing", 1, None, 429, None, None, "nan"),
     ]
     return spark.createDataFrame([(*r, AT) for r in rows], DRAFT_ATTEMPTS)
 
 
 def test_failure_classes(spark):
     got = {r["failure"]: (r["attempts"], r["abort"]) for r in drafts.failure_classes(failures(spark)).collect()}
-    assert got == {"transient": (9, False), "row": (1, False), "fatal": (3, True), "other": (1, False)}
+    assert got == {"transient": (13, False), "row": (1, False), "fatal": (3, True), "other": (1, False)}
 
 
 def test_retry_schedule(spark):
     rows = drafts.retry_schedule(failures(spark), LIMITS).collect()
     assert {r["creator_id"]: r["delay_seconds"] for r in rows} == {
-        "rate": 0.25, "date": 30.0, "past": 0.0, "bare": 2.0, "server": 2.0, "slow": 1.0, "row": 1.0, "junk": 1.0, "zone": 10.0}
+        "rate": 0.25, "date": 30.0, "past": 0.0, "bare": 1.0, "server": 1.0, "slow": 1.0, "last": 1.0, "row": 1.0, "junk": 1.0,
+        "zone": 10.0, "short year": 30.0, "endless": 1.0, "huge": 1.0, "nothing": 1.0}
     quarter = next(r for r in rows if r["creator_id"] == "rate")
     assert quarter["next_try_at"].microsecond == 250_000
+
+
+def test_failed_calls_are_no_drafts(spark):
+    """Three failed calls and then an answer: the answer is the first draft. A text that came with an
+    error is no draft either."""
+    rows = [
+        ("a", 1, None, 429), ("a", 2, None, 500), ("a", 3, None, 429), ("a", 4, response(), None),
+        ("b", 1, response(), 401), ("b", 2, response(3, 2), None), ("b", 3, None, 500),
+    ]
+    df = spark.createDataFrame([(c, n, r, s, None, None, None, AT) for c, n, r, s in rows], DRAFT_ATTEMPTS)
+    checked = drafts.check_attempts(df, LIMITS)
+    assert [(r["creator_id"], r["attempt"]) for r in drafts.first_valid(checked).collect()] == [("a", 4)]
+    again = drafts.retry_prompts(ready(spark, "a", "b"), checked, "{email_words}/{dm_words}", LIMITS).collect()
+    assert [tuple(r) for r in again] == [("b", 2, "write b\n3/2")]
+    waits = {(r["creator_id"], r["attempt"]): r["delay_seconds"] for r in drafts.retry_schedule(df, LIMITS).collect()}
+    assert waits == {("a", 1): 1.0, ("a", 2): 2.0, ("b", 3): 1.0}
+
+
+def test_formats_in_templates_are_refused():
+    for template in ("{name!r}", "{name:>9}"):
+        with pytest.raises(ValueError, match="not supported"):
+            drafts.render(template, {})

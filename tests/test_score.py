@@ -9,10 +9,10 @@ from scoutline.operators import score
 from scoutline.schemas import CREATORS
 
 AS_OF = datetime(2026, 10, 1, 12, tzinfo=timezone.utc)
-SETTINGS = Settings(rules=Rules(niche_keywords=("fashion", "skincare", "beauty")))
+SETTINGS = Settings(rules=Rules(niche_keywords=("origami", "pottery", "weaving")))
 GOOD = dict(
-    id="a", followers=20000, engagement_rate=0.03, niche="fashion, skincare", content_themes="beauty",
-    recent_titles=[], last_upload=AS_OF, country="IN", language="en", pos=0,
+    id="a", followers=64000, engagement_rate=0.017, niche="pottery", content_themes="slow craft",
+    recent_titles=["Weaving a basket"], last_upload=AS_OF - timedelta(days=40), country="IN", language="en", pos=0,
 )
 
 
@@ -35,7 +35,7 @@ def test_passes_without_email(spark):
 
 
 def test_poor_row_keeps_ordered_reasons(spark):
-    row = judge(spark, {"followers": 100}).first()
+    row = judge(spark, {"id": "b", "followers": 4999, "engagement_rate": 0.0099, "niche": "origami"}).first()
     assert row["status"] == "FAIL"
     wanted = ("followers", "engagement", "niche", "upload_date")
     assert row["fail_reasons"] == [REASONS[k] for k in wanted]
@@ -51,8 +51,8 @@ def test_poor_row_keeps_ordered_reasons(spark):
         ({"last_upload": AS_OF - timedelta(days=91)}, ["activity"]),
         ({"last_upload": None}, ["upload_date"]), ({"country": None, "language": ""}, []),
         ({"country": "in"}, ["country"]), ({"language": "en-US"}, ["language"]),
-        ({"niche": "fashionable", "content_themes": None}, ["niche"]),
-        ({"niche": None, "content_themes": None, "recent_titles": ["FASHION", "My skincare"]}, []),
+        ({"niche": "potterypottery", "recent_titles": []}, ["niche"]),
+        ({"niche": None, "content_themes": None, "recent_titles": ["ORIGAMI", "on weaving"]}, []),
     ],
 )
 def test_each_rule_at_its_edge(spark, changes, broken):
@@ -71,11 +71,11 @@ def test_blank_email_is_missing(spark):
 
 
 def test_score_parts(spark):
-    half = {**GOOD, "engagement_rate": 0.025, "last_upload": AS_OF - timedelta(days=45)}
-    assert judge(spark, half).first()["brand_fit_score"] == 72.5  # 20 + 17.5 + 25 + 10
+    half = {**GOOD, "engagement_rate": 0.02, "last_upload": AS_OF - timedelta(days=18)}
+    assert judge(spark, half).first()["brand_fit_score"] == 75.0  # 20 + 14 + 25 + 16
     nothing = {"id": "b", "recent_titles": []}
     assert judge(spark, nothing).first()["brand_fit_score"] == 0.0
-    rich = {**GOOD, "engagement_rate": 9.0}
+    rich = {**GOOD, "engagement_rate": 9.0, "last_upload": AS_OF}
     assert judge(spark, rich).first()["brand_fit_score"] == 100.0
 
 

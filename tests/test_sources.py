@@ -62,17 +62,17 @@ def test_landed_records_become_a_creator(spark, tmp_path):
         {"contentDetails": {"videoId": "V1"}}, {"contentDetails": {}}, {"contentDetails": {"videoId": "V2"}}]})
     videos = lines(
         tmp_path / "v",
-        {"resp_idx": 1, "id": "V2", "snippet": {"title": "x", "tags": ["makeup", "b"], "publishedAt": "2026-09-02"},
+        {"resp_idx": 1, "id": "V2", "playlist_id": "UU-UC1", "snippet": {"title": "x", "tags": ["makeup", "b"], "publishedAt": "2026-09-02"},
          "statistics": {"viewCount": "10"}},
-        {"resp_idx": 0, "id": "V1", "snippet": {"title": "y", "publishedAt": "2026-09-01T00:00:00Z"},
-         "statistics": {"viewCount": "1000", "likeCount": "40", "commentCount": "10"}},
+        {"resp_idx": 0, "id": "V1", "playlist_id": "UU-UC1", "snippet": {"title": "y", "publishedAt": "2026-09-01T00:00:00Z"},
+         "statistics": {"viewCount": "600", "likeCount": "12", "commentCount": "3"}},
     )
     raw = spark.createDataFrame([("UC1", "raw", "kw", datetime(2026, 10, 1), 0)], RAW_CHANNELS)
     row = enrich.creators(
         raw, landing.channels(spark, channels), landing.playlist_items(spark, playlists),
         landing.videos(spark, videos), Settings(rules=Rules(niche_keywords=("makeup",))),
     ).first()
-    assert (row["email"], row["engagement_rate"], row["avg_views"]) == ("a@b.co", 0.05, 505.0)
+    assert (row["email"], row["engagement_rate"], row["avg_views"]) == ("a@b.co", 15 / 600, 305.0)
     assert row["recent_titles"] == ["y", "x"] and row["niche"] == "makeup"
 
 
@@ -88,6 +88,14 @@ def test_flat_files_keep_text_exactly(spark, tmp_path):
     assert [r["approved"] for r in back] == [True, False] * 3
 
 
+def test_file_and_row_order_become_the_message_order(spark, tmp_path):
+    rows = [(f"I{i}", f"N{i}", f"a{i}@b.co", "s", "m", "d", "a", "PENDING_APPROVAL", True, i) for i in range(40)]
+    df = spark.createDataFrame(rows, MESSAGES).repartitionByRange(4, "pos").sortWithinPartitions("pos")
+    tables.write_csv(df.drop("pos"), str(tmp_path / "m"))
+    back = tables.read_csv(spark, str(tmp_path / "m"), MESSAGES).orderBy("pos").collect()
+    assert [(r["pos"], r["influencer_id"]) for r in back] == [(i, f"I{i}") for i in range(40)]
+
+
 def test_flat_lists_are_ascii_json(spark):
     data = [("a",) + (None,) * 8 + (['é "x"'],) + (None,) * 17]
     flat = tables.flat(spark.createDataFrame(data, CREATORS), sentinel=("name",)).first()

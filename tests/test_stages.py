@@ -37,14 +37,14 @@ def landed(base):
     land(base, "channels", [
         {"resp_pos": 0, "id": f"UC{i}", "snippet": {
             "title": f"Name {i}", "description": "ask both@desk.test" if i < 2 else "makeup", "country": "IN"},
-         "statistics": {"subscriberCount": "20000" if i < 3 else "10"},
+         "statistics": {"subscriberCount": "7300" if i < 3 else "12"},
          "contentDetails": {"relatedPlaylists": {"uploads": f"UU{i}"}}} for i in range(4)
     ])
     land(base, "playlist_items", [
         {"playlist_id": f"UU{i}", "items": [{"contentDetails": {"videoId": f"V{i}"}}]} for i in range(4)])
     land(base, "videos", [
-        {"resp_idx": 0, "id": f"V{i}", "snippet": {"title": "makeup and hair", "publishedAt": "2026-09-20T00:00:00Z"},
-         "statistics": {"viewCount": "1000", "likeCount": str(40 - 10 * i), "commentCount": "10"}} for i in range(4)])
+        {"resp_idx": 0, "id": f"V{i}", "playlist_id": f"UU{i}", "snippet": {"title": "makeup and hair", "publishedAt": "2026-09-20T00:00:00Z"},
+         "statistics": {"viewCount": "800", "likeCount": str(36 - 8 * i), "commentCount": "4"}} for i in range(4)])
 
 
 def draft(words=60):
@@ -69,19 +69,25 @@ def test_all_stages(spark, tmp_path):
     messages = stages.drafted(spark, base, SETTINGS)
     assert sorted(r["influencer_id"] for r in messages.collect()) == ["UC0", "UC1"]
 
-    assert stages.contacted(spark, base, AS_OF).count() == 0  # nothing is approved yet
+    assert stages.planned(spark, base, "r0").count() == 0  # nothing is approved yet
     stages.approvable(messages).select("draft_key").write.parquet(f"{base}/approvals")
     runs = []
-    for hour, live in ((1, False), (2, False), (3, True)):
-        at = AS_OF.replace(hour=hour)
-        told = messages.select("pos", F.lit(None).cast("string").alias("error")) if live else None
-        plan = stages.contacted(spark, base, at, live, told)
-        runs.append({r["influencer_id"]: r["status"] for r in plan.collect()})
+    for n, live in ((1, False), (2, False), (3, True), (3, True)):  # the last is the same run again
+        plan = stages.planned(spark, base, f"r{n}", live)
+        told = None
+        if live:  # the outcomes come after the plan, for the rows that were sent
+            told = plan.where(F.col("status") == "PLANNED").select("pos", F.lit(None).cast("string").alias("error"))
+        for _ in range(2):  # settling twice gives the same log
+            rows = stages.settled(spark, base, f"r{n}", AS_OF.replace(hour=n), told).collect()
+        runs.append({r["influencer_id"]: r["status"] for r in rows})
     assert runs == [
         {"UC0": "SIMULATED", "UC1": "SKIPPED_DUPLICATE"},
         {"UC0": "SKIPPED_DUPLICATE", "UC1": "SKIPPED_DUPLICATE"},
         {"UC0": "SENT_TO_TEST_INBOX", "UC1": "SKIPPED_DUPLICATE"},
+        {"UC0": "SENT_TO_TEST_INBOX", "UC1": "SKIPPED_DUPLICATE"},
     ]
+    # A run that comes after knows the address as sent.
+    assert {r["status"] for r in stages.planned(spark, base, "r4", live=True).collect()} == {"SKIPPED_DUPLICATE"}
     assert tables.read_table(spark, f"{base}/contact_log", CONTACT_LOG).count() == 6
     assert tables.read_table(spark, f"{base}/dm_queue", DM_QUEUE).count() == 2
 
@@ -97,5 +103,8 @@ def test_fatal_attempt_stops_the_stage(spark, tmp_path):
 
 def test_target_is_a_setting(spark, tmp_path):
     landed(tmp_path)
+    whole = replace(SETTINGS, discovery=replace(SETTINGS.discovery, target=None))
+    assert Discovery().target is None
+    assert stages.find(spark, str(tmp_path), whole).count() == 4
     small = replace(SETTINGS, discovery=replace(SETTINGS.discovery, target=1))
     assert stages.find(spark, str(tmp_path), small).count() == 4  # the page is kept whole

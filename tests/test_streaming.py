@@ -2,7 +2,7 @@ import random
 from datetime import datetime, timedelta, timezone
 
 from scoutline.operators import contact, discover
-from scoutline.schemas import MESSAGES, CONTACT_LOG
+from scoutline.schemas import CONTACT_LOG, DM_QUEUE, MESSAGES
 from scoutline.sources import tables
 from scoutline.streaming import jobs
 from tests.test_contact import message
@@ -59,7 +59,19 @@ def test_replayed_batch_replaces_its_own_rows(spark, tmp_path):
     assert sorted(r["status"] for r in rows) == ["SIMULATED", "SKIPPED_DUPLICATE"]
 
 
-def test_quota_drops_rows_behind_the_watermark(spark, tmp_path):
+def test_dm_queue_over_two_landings(spark, tmp_path):
+    source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    rows = [message(i, influencer_id=f"I{i % 7}", dm=f"dm {i}") for i in range(30)]
+    base = spark.createDataFrame([("I3", "n", "old", "DONE")], DM_QUEUE)
+    for part in (rows[:12], rows[12:]):
+        land(spark.createDataFrame(part, MESSAGES), source)
+        stream = spark.readStream.schema(MESSAGES).parquet(source)
+        jobs.dm_queue(stream, base, out, state).awaitTermination()
+    got = {r["influencer_id"]: r["dm"] for r in tables.read_table(spark, out, DM_QUEUE).collect()}
+    assert got == {f"I{i}": f"dm {i}" for i in (0, 1, 2, 4, 5, 6)}
+
+
+def test_quota_counts_late_rows(spark, tmp_path):
     source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
     schema = "endpoint string, requested_at timestamp"
     first = [("search", AT), ("list", AT + timedelta(hours=1)), ("search", AT + timedelta(days=3))]
@@ -68,5 +80,5 @@ def test_quota_drops_rows_behind_the_watermark(spark, tmp_path):
         land(spark.createDataFrame(part, schema), source)
         stream = spark.readStream.schema(schema).parquet(source)
         jobs.daily_quota(stream, out, state).awaitTermination()
-    rows = {str(r["day"])[:10]: r["units"] for r in spark.read.parquet(out).collect()}
-    assert rows == {"2026-10-01": 101, "2026-10-04": 100}
+    rows = {str(r["day"])[:10]: r["units"] for r in jobs.quota_totals(spark, out).collect()}
+    assert rows == {"2026-10-01": 201, "2026-10-04": 100, "2026-10-07": 1}

@@ -80,8 +80,12 @@ def test_email_equals_scan(evaluate):
 
 
 def test_email_examples(evaluate):
-    texts = ["Mail: Me@Shop.org;", "nothing to see", None, "me@example.com or y@b.org"]
-    assert evaluate(text.extract_email, texts) == ["me@shop.org", None, None, "y@b.org"]
+    texts = [
+        "x@domain.com,first@two.words.net,second@w.net", "<Kiln.Room+news@POTTERY.Museum>", "user@host", "a@@b.net", None, "",
+        "only@EMAIL.com", "..@.. then_9%@q-r.io!",
+    ]
+    assert evaluate(text.extract_email, texts) == [
+        "first@two.words.net", "kiln.room+news@pottery.museum", None, None, None, None, None, "then_9%@q-r.io"]
 
 
 def test_valid_email(evaluate):
