@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,16 +179,25 @@ def pending(plan: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def readable_pages(pages: DataFrame) -> DataFrame:
-    """Drop a failed page and everything after it in its chain; other chains go on."""
-    first_error = (
-        pages.where(F.col("status") == "error")
-        .groupBy("keyword_idx", "type_idx")
-        .agg(F.min("page_idx").alias("error_page"))
-    )
+    """Keep the pages of each chain up to its end; other chains go on.
+
+    A chain ends before a failed page, before a page whose predecessor is missing, and after a page
+    without a token for the next one.
+    """
+    chain = ["keyword_idx", "type_idx"]
+    places = pages.select(*chain, "page_idx")
+    followed = places.select(*chain, (F.col("page_idx") + 1).alias("page_idx"))
+    gaps = places.where("page_idx > 0").join(followed, [*chain, "page_idx"], "left_anti")
+    ends = [
+        pages.where(F.col("status") == "error").select(*chain, F.col("page_idx").alias("end")),
+        gaps.select(*chain, F.col("page_idx").alias("end")),
+        pages.where(present(F.col("next_page_token")).isNull()).select(*chain, (F.col("page_idx") + 1).alias("end")),
+    ]
+    first_end = reduce(DataFrame.unionByName, ends).groupBy(*chain).agg(F.min("end").alias("end"))
     return (
-        pages.join(first_error, ["keyword_idx", "type_idx"], "left")
-        .where(F.col("error_page").isNull() | (F.col("page_idx") < F.col("error_page")))
-        .drop("error_page")
+        pages.join(first_end, chain, "left")
+        .where(F.col("end").isNull() | (F.col("page_idx") < F.col("end")))
+        .drop("end")
     )
 
 

@@ -129,10 +129,8 @@ def flagship_shortlist(spark, sf_dir):
 
 @query
 def search_plan(spark, sf_dir):
-    pages = V.pages(spark, sf_dir).where(F.col("status") == "ok")
-    tokens = pages.select(
-        "keyword_idx", "type_idx", F.concat(F.lit("p"), F.col("page_idx") + 1).alias("page_token")
-    )
+    pages = V.pages(spark, sf_dir).where((F.col("status") == "ok") & F.col("next_page_token").isNotNull())
+    tokens = pages.select("keyword_idx", "type_idx", F.col("next_page_token").alias("page_token"))
     discovery = replace(TEST_SETTINGS.discovery, keywords=V.KEYWORDS, region_code="IN")
     return discover.search_requests(spark, discovery, tokens).select(
         "keyword", "result_type", F.coalesce("page_token", F.lit("")).alias("page_token"),
@@ -185,10 +183,18 @@ def hits_exploded(spark, sf_dir):
     return _hit_columns(discover.explode_hits(V.pages(spark, sf_dir)))
 
 
+def _line(torn: Column) -> Column:
+    """The row as a line of JSON; of torn ones only the first half."""
+    text = F.to_json(F.struct("*"))
+    half = F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int"))
+    return F.when(torn, half).otherwise(text).alias("value")
+
+
 @query
 def landed_hits(spark, sf_dir):
-    """Pages landed as nested JSON responses, read back, cut at errors and exploded."""
+    """Pages landed as nested JSON responses, one of them torn, read back, cut at errors and exploded."""
     path = shared_dir(spark, "search-pages")
+    torn = (F.col("keyword_idx") == 0) & (F.col("type_idx") == 1) & (F.col("page_idx") == 30)
     item = F.transform(
         "items",
         lambda i: F.struct(
@@ -202,8 +208,8 @@ def landed_hits(spark, sf_dir):
     )
     V.pages(spark, sf_dir).select(
         "keyword_idx", "keyword", "type_idx", "result_type", "page_idx", "status", "fetched_at",
-        F.struct(item.alias("items")).alias("response"),
-    ).write.json(path)
+        F.struct(item.alias("items"), F.col("next_page_token").alias("nextPageToken")).alias("response"),
+    ).select(_line(torn)).write.text(path)
     pages = discover.readable_pages(landing.search_pages(spark, path))
     return _hit_columns(discover.explode_hits(pages))
 

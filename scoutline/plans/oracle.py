@@ -47,8 +47,15 @@ _FIRST = """firsts as (
 
 _LISTED = """listed as (
   select *, row_number() over (partition by k, y, pg order by event_id) - 1 as place,
-         (k = 1 and y = 0 and pg = 7) or (k = 3 and y = 1 and pg = 40) as failed
-  from hits)"""
+         (k = 1 and y = 0 and pg = 7) or (k = 3 and y = 1 and pg = 40) as failed,
+         case when not (k = 4 and y = 1 and pg = 60) then 'p' || (pg + 1) end as token
+  from hits where not (k = 2 and y = 0 and pg = 20)),
+ places as (select distinct k, y, pg, failed, token from listed),
+ ends as (
+  select k, y, min(case when failed or (pg > 0 and before is distinct from pg - 1) then pg
+                        when token is null then pg + 1 end) as stop
+  from (select *, lag(pg) over (partition by k, y order by pg) as before from places) p
+  group by k, y)"""
 
 _TEXT = """texts as (
   select c_custkey as ck, concat('Biz: ', replace(c_name, '#', '.'), '@',
@@ -318,8 +325,8 @@ def oracle_sql() -> dict[str, str]:
         'UC' || n as channel_id,
         case when value >= 2 then 'Channel ' || n when y = 0 then '' end as title
         from listed where value >= 1"""
-    chain = """not exists (select 1 from listed e where e.failed
-        and e.k = listed.k and e.y = listed.y and e.pg <= listed.pg)"""
+    chain = """not exists (select 1 from ends e
+        where e.k = listed.k and e.y = listed.y and e.stop <= listed.pg)"""
     creator_rows = f"""select id, name, followers, round(avg_views, 6) as avg_views,
         round(rate, 6) as engagement_rate, niche, titles, email, instagram as instagram_url,
         website, country, lang as language, {_stamp("last_upload")} as last_upload, source,
@@ -334,8 +341,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "search_plan": _with(
             _HITS, _LISTED,
-            """asked as (select distinct k, y, keyword, 'p' || (pg + 1) as token
-                from listed where not failed
+            """asked as (select distinct k, y, keyword, token
+                from listed where not failed and token is not null
                 union all select distinct k, y, keyword, '' from
                 (select k, keyword from hits group by all) a, (values (0), (1)) t(y)),
              named as (select *, case when y = 0 then 'channel' else 'video' end as kind
@@ -358,7 +365,9 @@ def oracle_sql() -> dict[str, str]:
                 from listed where {chain} group by all""",
         ),
         "hits_exploded": _with(_HITS, _LISTED, query=hit_rows),
-        "landed_hits": _with(_HITS, _LISTED, query=f"{hit_rows} and {chain}"),
+        "landed_hits": _with(
+            _HITS, _LISTED, query=f"{hit_rows} and {chain} and not (k = 0 and y = 1 and pg >= 30)"
+        ),
         "first_seen": _with(
             _HITS, _FIRST,
             query=f"""select 'UC' || n as channel_id, 'Channel ' || n as title,

@@ -65,7 +65,8 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed result pages; small values stand for hits without an id or a title."""
+    """Landed result pages; small values stand for hits without an id or a title. One chain lacks a page,
+    one has stale pages after the page that names no next one."""
     is_channel = F.col("result_type") == "channel"
     id_or_null = F.when(F.col("value") >= 1, F.col("channel_id"))
     title_or_null = F.when(F.col("value") >= 2, F.col("title"))
@@ -79,8 +80,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = ((F.col("keyword_idx") == 1) & (F.col("type_idx") == 0) & (F.col("page_idx") == 7)) | (
         (F.col("keyword_idx") == 3) & (F.col("type_idx") == 1) & (F.col("page_idx") == 40)
     )
+    chain = F.col("keyword_idx") * 2 + F.col("type_idx")
     return (
         hits(spark, sf_dir)
+        .where(~((chain == 4) & (F.col("page_idx") == 20)))
         .groupBy("keyword_idx", "keyword", "type_idx", "result_type", "page_idx")
         .agg(
             F.min("fetched_at").alias("fetched_at"),
@@ -99,6 +102,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     x["channel_title"].alias("channel_title"),
                 ),
             ).alias("items"),
+            F.when(
+                ~((chain == 9) & (F.col("page_idx") == 60)),
+                F.concat(F.lit("p"), (F.col("page_idx") + 1).cast("string")),
+            ).alias("next_page_token"),
         )
     )
 

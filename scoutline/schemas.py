@@ -17,7 +17,7 @@ HIT_ITEM = table_schema(channel_id=TEXT, snippet_channel_id=TEXT, title=TEXT, ch
 
 SEARCH_PAGES = table_schema(
     keyword_idx=SMALL, keyword=TEXT, type_idx=SMALL, result_type=TEXT, page_idx=SMALL,
-    status=TEXT, fetched_at=TIME, items=T.ArrayType(HIT_ITEM),
+    status=TEXT, fetched_at=TIME, items=T.ArrayType(HIT_ITEM), next_page_token=TEXT,
 )
 RAW_CHANNELS = table_schema(
     channel_id=TEXT, title=TEXT, source_keyword=TEXT, fetched_at=TIME, pos=WHOLE

@@ -1,7 +1,9 @@
 """Landed API responses: JSON lines in, normalised tables out.
 
 Nested parts are read as VARIANT where an absent field (takes its default) and an explicit null
-or wrong type (makes the record invalid) must be told apart.
+or wrong type (makes the record invalid) must be told apart. A line that is no whole JSON value is
+torn: among search pages it counts as a failed page, elsewhere it holds no record, and
+:func:`torn_lines` counts it.
 """
 
 from __future__ import annotations
@@ -9,16 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoutline.functions.text import present
+
 _PAGES = (
     "keyword_idx int, keyword string, type_idx int, result_type string, page_idx int, "
     "status string, fetched_at timestamp, response struct<items array<struct<"
     "id struct<channelId string, videoId string>, "
     "snippet struct<title string, channelId string, channelTitle string>>>, "
-    "nextPageToken string>"
+    "nextPageToken string>, _corrupt_record string"
 )
 _CHANNELS = (
     "resp_pos bigint, id string, fetched_at timestamp, snippet variant, "
-    "statistics struct<subscriberCount string>, "
+    "statistics variant, "
     "contentDetails struct<relatedPlaylists struct<uploads string>>"
 )
 _PLAYLISTS = (
@@ -27,7 +31,7 @@ _PLAYLISTS = (
 )
 _VIDEOS = (
     "resp_idx bigint, id string, playlist_id string, fetched_at timestamp, snippet variant, "
-    "statistics struct<viewCount string, likeCount string, commentCount string>"
+    "statistics variant"
 )
 
 
@@ -47,7 +51,9 @@ def search_pages(spark: SparkSession, path: str) -> DataFrame:
         .json(path)
         .select(
             "keyword_idx", "keyword", "type_idx", "result_type", "page_idx",
-            F.coalesce("status", F.lit("ok")).alias("status"),
+            F.when(F.col("_corrupt_record").isNotNull(), "error")
+            .otherwise(F.coalesce("status", F.lit("ok")))
+            .alias("status"),
             "fetched_at",
             items.alias("items"),
             F.col("response.nextPageToken").alias("next_page_token"),
@@ -68,11 +74,15 @@ def channels(spark: SparkSession, path: str) -> DataFrame:
             _text("country").alias("country"),
             _text("defaultLanguage").alias("default_language"),
             _text("defaultAudioLanguage").alias("default_audio_language"),
-            F.col("statistics.subscriberCount").alias("subscriber_count"),
+            _text("subscriberCount", "statistics").alias("subscriber_count"),
             F.col("contentDetails.relatedPlaylists.uploads").alias("uploads_playlist"),
             F.coalesce(
-                _broken("title", "name"), _broken("description"), _broken("country"),
+                _no_object("snippet"), _no_object("statistics"), _broken("title", "name"), _broken("description"), _broken("country"),
                 _broken("defaultLanguage", "language", null_ok=True),
+                F.when(
+                    present(_text("defaultLanguage")).isNull(),
+                    _broken("defaultAudioLanguage", "language", null_ok=True),
+                ),
             ).alias("invalid_field"),
             "fetched_at",
         )
@@ -108,17 +118,41 @@ def videos(spark: SparkSession, path: str) -> DataFrame:
             _text("description").alias("description"),
             tags.alias("tags"),
             _text("publishedAt").alias("published_at"),
-            F.col("statistics.viewCount").alias("view_count"),
-            F.col("statistics.likeCount").alias("like_count"),
-            F.col("statistics.commentCount").alias("comment_count"),
-            F.coalesce(_broken("title"), _broken("description")).alias("invalid_field"),
+            _text("viewCount", "statistics").alias("view_count"),
+            _text("likeCount", "statistics").alias("like_count"),
+            _text("commentCount", "statistics").alias("comment_count"),
+            F.coalesce(
+                _no_object("snippet"), _no_object("statistics"), _broken("title"), _broken("description"),
+                _no_text_list("tags"),
+            ).alias("invalid_field"),
             "fetched_at",
         )
     )
 
 
-def _text(field: str) -> Column:
-    return F.try_variant_get("snippet", f"$.{field}", "string")
+def torn_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row: lines that are no whole JSON value, and all lines."""
+    lines = spark.read.text(path)
+    return lines.agg(
+        F.count_if(F.try_parse_json("value").isNull()).alias("torn"), F.count("*").alias("lines")
+    )
+
+
+def _text(field: str, part: str = "snippet") -> Column:
+    return F.try_variant_get(part, f"$.{field}", "string")
+
+
+def _no_object(part: str) -> Column:
+    """Name of a part that is present but an explicit null or no object."""
+    wrong = ~F.startswith(F.schema_of_variant(part), F.lit("OBJECT"))
+    return F.when(F.coalesce(wrong, F.lit(False)), F.lit(part))
+
+
+def _no_text_list(field: str) -> Column:
+    """Name of a field that is present but no list of text."""
+    value = F.try_variant_get("snippet", f"$.{field}", "variant")
+    wrong = value.isNotNull() & ~F.schema_of_variant(value).isin("ARRAY<STRING>", "ARRAY<VOID>")
+    return F.when(wrong, F.lit(field))
 
 
 def _broken(field: str, name: str | None = None, *, null_ok: bool = False) -> Column:

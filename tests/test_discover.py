@@ -15,9 +15,9 @@ HITS = (
 )
 
 
-def page(keyword, type_idx, number, items, status="ok"):
+def page(keyword, type_idx, number, items, status="ok", token="next"):
     kind = ("channel", "video")[type_idx]
-    return (keyword, f"kw{keyword}", type_idx, kind, number, status, None, items)
+    return (keyword, f"kw{keyword}", type_idx, kind, number, status, None, items, token)
 
 
 def test_titles_and_first_hits_equal_a_loop(spark):
@@ -43,14 +43,15 @@ def test_titles_and_first_hits_equal_a_loop(spark):
     assert {r["channel_id"]: (r["title"], r["source_keyword"]) for r in found.collect()} == want
 
 
-def test_error_ends_its_chain_only(spark):
+def test_ends_of_chains(spark):
+    """An error, a missing page and a page without a token each end their own chain only."""
     some = [("C7", None, "t", None)]
-    pages = spark.createDataFrame(
-        [page(2, 1, n, some, "error" if n in (3, 6) else "ok") for n in range(8)] + [page(2, 0, n, some) for n in (3, 9)],
-        SEARCH_PAGES,
-    )
-    kept = discover.readable_pages(pages).collect()
-    assert sorted((r["type_idx"], r["page_idx"]) for r in kept) == [(0, 3), (0, 9), (1, 0), (1, 1), (1, 2)]
+    rows = [page(2, 1, n, some, "error" if n in (3, 6) else "ok") for n in range(8)]
+    rows += [page(2, 0, n, some) for n in (0, 1, 3, 4)] + [page(1, 1, n, some, token=None if n == 2 else "t") for n in range(5)]
+    rows += [page(1, 0, n, some) for n in (1, 2)] + [page(0, 0, 0, None, token="")] + [page(0, 1, 0, some)] * 2
+    kept = discover.readable_pages(spark.createDataFrame(rows, SEARCH_PAGES)).collect()
+    assert sorted((r["keyword_idx"], r["type_idx"], r["page_idx"]) for r in kept) == [
+        (0, 0, 0), (0, 1, 0), (0, 1, 0), (1, 1, 0), (1, 1, 1), (1, 1, 2), (2, 0, 0), (2, 0, 1), (2, 1, 0), (2, 1, 1), (2, 1, 2)]
 
 
 def loop_cap(hits, target):

@@ -6,7 +6,7 @@ import pytest
 
 from scoutline.operators import discover, enrich
 from scoutline.config import Rules, Settings
-from scoutline.schemas import CREATORS, MESSAGES, RAW_CHANNELS
+from scoutline.schemas import CREATORS, MESSAGES, RAW_CHANNELS, SEARCH_PAGES
 from scoutline.session import drop_dir, shared_dir, stored
 from scoutline.sources import landing, tables
 
@@ -31,15 +31,53 @@ def test_landed_search_pages(spark, tmp_path):
     )
     pages = landing.search_pages(spark, path)
     assert {r["next_page_token"] for r in pages.collect()} == {"next", None}
+    assert pages.columns == SEARCH_PAGES.fieldNames()
     hits = discover.explode_hits(discover.readable_pages(pages)).orderBy("channel_id").collect()
     assert [(r["channel_id"], r["title"]) for r in hits] == [("UC1", ""), ("UC2", None)]
 
 
 def channel(key, **snippet):
-    return {"resp_pos": 0, "id": key, "snippet": snippet, "statistics": {"subscriberCount": "20000"},
+    return {"resp_pos": 0, "id": key, "snippet": snippet, "statistics": {"subscriberCount": "5511"},
             "contentDetails": {"relatedPlaylists": {"uploads": f"UU-{key}"}}}
 
 
+def test_torn_lines_are_failed_pages_and_counted(spark, tmp_path):
+    base = {"keyword": "k", "type_idx": 0, "result_type": "channel", "keyword_idx": 0}
+    path = lines(
+        tmp_path / "pages",
+        *[{**base, "page_idx": n, "response": {"items": [{"id": {"channelId": f"UC{n}"}}], "nextPageToken": "t"}} for n in range(4)],
+    )
+    file = tmp_path / "pages" / "part.json"
+    text = file.read_text(encoding="utf-8").split("\n")
+    file.write_text("\n".join([text[0], text[1], text[2][:40], text[3]]), encoding="utf-8")
+    pages = landing.search_pages(spark, path)
+    assert sorted(r["status"] for r in pages.collect()) == ["error", "ok", "ok", "ok"]
+    kept = discover.readable_pages(pages.where("page_idx is not null")).collect()
+    assert sorted(r["page_idx"] for r in kept) == [0, 1]
+    assert sorted(r["channel_id"] for r in discover.explode_hits(discover.readable_pages(pages)).collect()) == ["UC0", "UC1"]
+    assert tuple(landing.torn_lines(spark, path).first()) == (1, 4)
+
+
+def test_null_parts_and_wrong_types_break_a_record(spark, tmp_path):
+    path = lines(
+        tmp_path / "v",
+        {"id": "ok", "snippet": {"tags": [], "title": "t"}, "statistics": {"viewCount": 5}}, {"id": "bare"},
+        {"id": "tags", "snippet": {"tags": None}}, {"id": "mixed", "snippet": {"tags": ["a", 3]}}, {"id": "text", "snippet": {"tags": "a"}},
+        {"id": "snippet", "snippet": None}, {"id": "list", "snippet": [1]}, {"id": "counts", "snippet": {}, "statistics": None},
+    )
+    rows = {r["video_id"]: r for r in landing.videos(spark, path).collect()}
+    assert {k: r["invalid_field"] for k, r in rows.items()} == {
+        "ok": None, "bare": None, "tags": "tags", "mixed": "tags", "text": "tags", "snippet": "snippet", "list": "snippet",
+        "counts": "statistics"}
+    assert rows["ok"]["view_count"] == "5"
+    path = lines(
+        tmp_path / "c", {"id": "none", "snippet": {}, "statistics": None}, channel("sound", defaultLanguage="", defaultAudioLanguage=3),
+        channel("unused", defaultLanguage="en", defaultAudioLanguage=3),
+    )
+    rows = {r["channel_id"]: r["invalid_field"] for r in landing.channels(spark, path).collect()}
+    assert rows == {"none": "statistics", "sound": "language", "unused": None}
+
+
 def test_absent_fields_take_defaults_and_wrong_ones_break_the_record(spark, tmp_path):
     path = lines(
         tmp_path / "channels",
@@ -52,7 +90,7 @@ def test_absent_fields_take_defaults_and_wrong_ones_break_the_record(spark, tmp_
     assert {k: r["invalid_field"] for k, r in rows.items()} == {
         "ok": None, "bare": None, "name": "name", "number": "name", "country": "country",
         "text": "description", "tongue": "language"}
-    assert rows["ok"]["subscriber_count"] == "20000" and rows["ok"]["uploads_playlist"] == "UU-ok"
+    assert rows["ok"]["subscriber_count"] == "5511" and rows["ok"]["uploads_playlist"] == "UU-ok"
     assert rows["bare"]["title"] is None
 
 
