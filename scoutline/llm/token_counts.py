@@ -100,11 +100,12 @@ class Counter:
 def token_counter(spark: SparkSession, path: str):
     """A column function text -> number of tokens. The file is read on the driver and broadcast
     (a few MB), so executors need no copy of it."""
-    shared = spark.sparkContext.broadcast(prove(path))
+    proven = prove(path)
+    shared = spark.sparkContext.broadcast((proven.definition, proven.whole, proven.special))
 
     @F.pandas_udf("bigint")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = Counter(shared.value)
+        counter = Counter(Proven(*shared.value))
         for texts in batches:
             yield pd.Series([counter.of_text(t) for t in texts.tolist()], dtype="int64")
 
