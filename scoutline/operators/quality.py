@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scoutline.config import Brand, DraftLimits
 from scoutline.fixed import FAIL, SENT, UNFILTERED
-from scoutline.functions.text import present, within_words, word_count
+from scoutline.functions.text import EMAIL_SEARCH, present, within_words, word_count
 from scoutline.operators.contact import email_key
 
 MIN_RECORDS = 50
@@ -108,13 +108,14 @@ def log_checks(log: DataFrame) -> DataFrame:
 def email_checks(creators: DataFrame, channels: DataFrame) -> DataFrame:
     """Every stored address occurs in a stored description of its channel.
 
-    Descriptions without an @ cannot hold one and stay behind.
+    Descriptions are reduced to the addresses in them before the shuffle.
     """
     stored = creators.where(F.col("email").isNotNull()).select("id", "email")
     texts = channels.where(F.contains("description", F.lit("@"))).select(
-        F.col("channel_id").alias("id"), F.lower("description").alias("text")
+        F.col("channel_id").alias("id"),
+        F.array_distinct(F.regexp_extract_all(F.lower("description"), F.lit(EMAIL_SEARCH), 0)).alias("written"),
     )
-    found = F.coalesce(F.contains(F.col("text"), F.col("email")), F.lit(False))
+    found = F.coalesce(F.exists("written", lambda a: F.contains(a, F.col("email"))), F.lit(False))
     per_creator = stored.join(texts, "id", "left").groupBy("id").agg(F.max(found).alias("found"))
     counted = per_creator.agg(
         F.count("*").alias("total"), F.count_if(~F.col("found")).alias("q6")

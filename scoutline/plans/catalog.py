@@ -745,19 +745,28 @@ def tracking(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
+    """All checks over stored tables in which some rows are wrong: a placeholder in messages, a repeated
+    send, a made-up address, lost creators."""
     raw = V.raw_channels(spark, sf_dir)
-    channels = V.channels(spark, sf_dir)
     judged = _stored(spark, _evaluated(spark, sf_dir), "creators")
+    number = F.substring("id", 3, 20).cast("bigint")
+    made_up = judged.withColumn(
+        "email", F.when(F.col("email").isNotNull() & (number % 97 == 0), "made@up.test").otherwise(F.col("email"))
+    )
     found = drafts.first_valid(_checked(spark, sf_dir))
-    written = drafts.messages(_ready(spark, sf_dir), found)
-    plan = _contact_plan(spark, sf_dir, live=True)
+    written = _stored(spark, drafts.messages(_ready(spark, sf_dir), found), "messages")
+    marked = written.withColumn(
+        "dm", F.when(F.col("pos") % 2 == 0, F.concat("dm", F.lit("YOUR_BRAND"))).otherwise(F.col("dm"))
+    )
+    plan = _stored(spark, _contact_plan(spark, sf_dir, live=True), "plan")
     log = contact.log_rows(contact.merge_outcomes(plan, V.outcomes(plan)), RUN_AT)
+    again = log.where(F.col("influencer_id").cast("bigint") % 17 == 0)
     return quality.quality_report(
         quality.record_checks(raw, judged),
-        quality.message_checks(written, TEST_SETTINGS.drafts, TEST_SETTINGS.brand),
-        quality.log_checks(log),
-        quality.email_checks(judged, channels),
-        quality.completeness_check(raw, judged, "channel_id", "id", "no creator lost"),
+        quality.message_checks(marked, TEST_SETTINGS.drafts, TEST_SETTINGS.brand),
+        quality.log_checks(log.unionByName(again)),
+        quality.email_checks(made_up, V.channels(spark, sf_dir)),
+        quality.completeness_check(raw, judged.where(number % 200 != 0), "channel_id", "id", "no creator lost"),
     )
 
 

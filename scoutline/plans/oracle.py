@@ -680,15 +680,23 @@ def oracle_sql() -> dict[str, str]:
                   from (select min(problems) as problems from checked
                         where problems = '' and cast(conv_id as varchar) in (select id from ready)
                         group by conv_id) d
-                union all select 'no placeholder in messages', 0, count(*)
-                  from ready join drafted using (id)
+                union all select 'no placeholder in messages',
+                  count(*) filter (contains(concat(subject, ' ', body, ' ', marked), 'YOUR_BRAND')
+                    or contains(concat(subject, ' ', body, ' ', marked), 'YOUR_PRODUCT')), count(*)
+                  from (select *, case when pos % 2 = 0 then dm || 'YOUR_BRAND' else dm end as marked
+                        from ready join drafted using (id)) w
                 union all select 'no duplicate send',
-                  count(*) filter (n > 1), count(*) from (select count(*) as n from settled
+                  count(*) filter (n > 1), count(*) from (select count(*) as n from
+                    (select * from settled
+                     union all select * from settled where cast(influencer_id as bigint) % 17 = 0) l
                   where final = 'SENT_TO_TEST_INBOX' group by email_key) s
                 union all select 'no invented address',
-                  count(*) filter (not contains(lower(txt), judged.email)), count(*)
-                  from judged join texts using (ck) where judged.email is not null
-                union all select 'no creator lost', 0, count(*) from judged) r""",
+                  count(*) filter (not contains(lower(txt), kept)), count(*)
+                  from (select *, case when ck % 97 = 0 then 'made@up.test' else judged.email end as kept
+                        from judged join texts using (ck) where judged.email is not null) e
+                union all select 'no creator lost',
+                  count(*) filter ('UC' || c_custkey not in (select id from judged where ck % 200 <> 0)),
+                  count(*) from customer) r""",
         ),
         "stream_first_seen": _with(
             _HITS, query="select distinct 'UC' || n as channel_id from hits"
