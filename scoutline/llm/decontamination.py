@@ -6,10 +6,10 @@ becomes Hamming distance between the symbols read. Each repetition samples a few
 walk as a key; keys of item and window meet in an equi-join, and every pair that met is verified by
 edit distance. The number of repetitions follows from the recall wanted.
 
-Windows start at every word where an item could begin: with at most ``k`` edits the first ``m`` words
-of an item leave at least ``m - 1 - 2k`` of its word pairs whole, so starts with fewer known pairs
-ahead are passed over. Pairs are looked up in a bit table of fixed size, which only errs towards more
-windows.
+Windows start at every word where an item could begin. With at most ``k`` edits the first ``m`` words
+of an item leave at least ``m - 1 - 2k`` of its word pairs whole, and the first word that is no edit is
+one of the item's first ``k + 1``; other starts are passed over. Pairs and first words are looked up in
+bit tables of fixed size, one pair for each class of item lengths, which only err towards more windows.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ class Settings:
     agreement: float = 0.6
     recall: float = 0.97
     class_ratio: float = 1.25
-    pair_bits: int = 22
+    table_bits: int = 20
 
     @property
     def repetitions(self) -> int:
@@ -107,6 +108,10 @@ def edit_distance(item: np.ndarray, window: np.ndarray, most: int) -> int:
     return min(best, most + 1)
 
 
+def _slots(hashes: np.ndarray, settings: Settings) -> np.ndarray:
+    return (hashes >> np.uint64(64 - settings.table_bits)).astype(np.int64)
+
+
 def _item_rows(settings: Settings):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -118,48 +123,91 @@ def _item_rows(settings: Settings):
                     continue
                 number = settings.class_of(len(own))
                 keys = _keys(own, np.zeros(1, dtype=np.int64), number, settings)[0]
-                slots = np.unique(_pairs(own) >> np.uint64(64 - settings.pair_bits)).astype(np.int64)
-                out.append((item_id, number, len(own), own.tobytes(), keys.tolist(), slots.tolist()))
+                heads = own[: math.floor(settings.edits * len(own)) + 1]
+                # One table after the other: the slots of pairs, then those of first words.
+                slots = np.append(_slots(_pairs(own), settings), _slots(heads, settings) + (1 << settings.table_bits))
+                out.append((item_id, number, len(own), own.tobytes(), keys.tolist(), np.unique(slots).tolist()))
             yield pd.DataFrame(out, columns=["item_id", "class_no", "n", "words", "keys", "slots"])
 
     return rows
 
 
-def _window_rows(settings: Settings, classes: list[int], table: np.ndarray):
-    def of_text(own: np.ndarray) -> Iterator[tuple]:
-        if len(own) < settings.min_words:
-            return
-        slots = (_pairs(own) >> np.uint64(64 - settings.pair_bits)).astype(np.int64)
-        known = (table[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1
+def _bit_tables(items: DataFrame, settings: Settings) -> dict[int, np.ndarray]:
+    """By class, the bits of its items' pairs and first words: 2^table_bits / 4 bytes each."""
+
+    def united(slots: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << (settings.table_bits + 1), dtype=bool)
+        bits[slots.slot.to_numpy()] = True
+        packed = np.packbits(bits, bitorder="little").tobytes()
+        return pd.DataFrame({"class_no": [int(slots.class_no.iloc[0])], "bits": [packed]})
+
+    slots = items.select("class_no", F.explode("slots").alias("slot")).distinct()
+    rows = slots.groupBy("class_no").applyInPandas(united, "class_no int, bits binary").collect()
+    return {r["class_no"]: np.frombuffer(r["bits"], dtype=np.uint8) for r in rows}
+
+
+def _has(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (table[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1
+
+
+#: Windows whose words a task remembers as sent; beyond that it starts anew.
+REMEMBERED = 50_000
+
+WINDOWS = "doc_id string, start int, content bigint, words binary, keys array<bigint>"
+
+
+def _window_rows(settings: Settings, tables: dict[int, np.ndarray]):
+    """Windows of every text. The words and keys of equal windows are sent once by a task."""
+
+    def starts_of(words, owner, last, slots, number: int) -> np.ndarray:
+        short, long = settings.shortest(number), settings.longest(number)
+        k, table = math.floor(settings.edits * long), tables[number]
+        known = _has(table, slots)
+        known[owner[1:] != owner[:-1]] = 0
         before = np.concatenate(([0], np.cumsum(known, dtype=np.int64)))
-        for number in classes:
-            short, long = settings.shortest(number), settings.longest(number)
-            k = math.floor(settings.edits * long)
-            ends = np.minimum(np.arange(len(own)) + short - 1 + k, len(own) - 1)
-            ahead = before[ends] - before[np.arange(len(own))]
-            starts = np.flatnonzero(ahead >= max(1, short - 1 - 2 * k))
-            if not len(starts):
-                continue
-            keys = _keys(own, starts, number, settings)
-            for start, row in zip(starts.tolist(), keys.tolist()):
-                yield start, number, own[start : start + long + k].tobytes(), row
+        at = np.arange(len(owner))
+        ahead = before[np.minimum(at + short - 1 + k, last)] - before[at]
+        found = np.flatnonzero(ahead >= max(1, short - 1 - 2 * k))
+        heads = _slots(words.hash[found], settings) + (1 << settings.table_bits)
+        return found[_has(table, heads).astype(bool)]
+
+    def of_block(words, ids, seen: set[int]) -> Iterator[tuple]:
+        owner = np.repeat(np.arange(len(ids)), np.diff(words.first))
+        last = words.first[owner + 1] - 1
+        slots = _slots(_pairs(words.hash), settings)
+        for number in sorted(tables):
+            starts = starts_of(words, owner, last, slots, number)
+            long = settings.longest(number)
+            size = long + math.floor(settings.edits * long)
+            for i in np.unique(owner[starts]).tolist():
+                first = int(words.first[i])
+                own = words.hash[first : words.first[i + 1]]
+                mine = starts[owner[starts] == i] - first
+                parts = [own[at : at + size].tobytes() for at in mine.tolist()]
+                names = [xxhash.xxh64_intdigest(p, number) - (1 << 63) for p in parts]
+                fresh = [n for n, name in enumerate(names) if name not in seen]
+                keys = dict(zip(fresh, _keys(own, mine[fresh], number, settings).tolist()))
+                for n, at in enumerate(mine.tolist()):
+                    yield ids[i], at, names[n], parts[n] if n in keys else None, keys.get(n)
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                seen.update(names)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["doc_id", "start", "class_no", "words", "keys"]
+        columns, seen = [c.split()[0] for c in WINDOWS.split(", ")], set()
         for batch in batches:
-            texts = batch.text.tolist()
+            texts, ids, out = batch.text.tolist(), batch.doc_id.tolist(), []
             for a, b in in_blocks(texts):
                 words = hashed_words(texts[a:b], fold=True)
-                out = []
-                for i in range(b - a):
-                    own = words.hash[words.first[i] : words.first[i + 1]]
-                    for row in of_text(own):
-                        out.append((batch.doc_id.iloc[a + i], *row))
-                        if len(out) == 2000:
-                            yield pd.DataFrame(out, columns=columns)
-                            out = []
-                if out:
-                    yield pd.DataFrame(out, columns=columns)
+                if len(words) < settings.min_words:
+                    continue
+                for row in of_block(words, ids[a:b], seen):
+                    out.append(row)
+                    if len(out) == 2000:
+                        yield pd.DataFrame(out, columns=columns)
+                        out = []
+            if out:
+                yield pd.DataFrame(out, columns=columns)
 
     return rows
 
@@ -187,26 +235,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     ``min_words`` words match nothing; items with equal texts are found alike; rows that share an id
     give one row per item. A NULL doc_id is a document of its own kind, all such rows together. Whole
     texts are searched. Equal windows, as of a passage that many documents share, are compared and
-    verified once. Of the benchmark only a bit table of fixed size is broadcast.
+    verified once. Of the benchmark only bit tables of fixed size travel to every task.
     """
     small_batches(docs.sparkSession)
-    item_schema = "item_id bigint, class_no int, n int, words binary, keys array<bigint>, slots array<bigint>"
+    # Ids travel as text: Pandas would turn whole numbers next to NULL into floating-point ones.
+    item_schema = "item_id string, class_no int, n int, words binary, keys array<bigint>, slots array<bigint>"
     items = stored(
-        benchmark.select("item_id", "text").mapInPandas(_item_rows(settings), item_schema), "benchmark-items"
+        benchmark.select(F.col("item_id").cast("string"), "text").mapInPandas(_item_rows(settings), item_schema),
+        "benchmark-items",
     )
-    # At most 2^pair_bits numbers and a handful of classes come to the driver.
-    slots = items.select(F.explode("slots").alias("slot")).distinct().toPandas()["slot"].to_numpy(dtype=np.int64)
-    table = np.zeros((1 << settings.pair_bits) // 8, dtype=np.uint8)
-    np.bitwise_or.at(table, slots >> 3, np.left_shift(1, slots & 7).astype(np.uint8))
-    classes = sorted(r["class_no"] for r in items.select("class_no").distinct().collect())
-    window_schema = "doc_id bigint, start int, class_no int, words binary, keys array<bigint>"
+    tables = _bit_tables(items, settings)
     windows = stored(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-        .mapInPandas(_window_rows(settings, classes, table), window_schema)
-        .withColumn("content", F.xxhash64("class_no", "words")),
+        docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
+            _window_rows(settings, tables), WINDOWS
+        ),
         "windows",
     )
-    kinds = windows.groupBy("content").agg(F.min(F.struct("words", "keys")).alias("w"))
+    kinds = windows.filter("words is not null").groupBy("content").agg(F.min(F.struct("words", "keys")).alias("w"))
     kinds = stored(kinds.select("content", "w.words", "w.keys"), "window-kinds")
     met = (
         kinds.select("content", F.explode("keys").alias("key"))
@@ -218,13 +263,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
         items.select(F.col("item_id").alias("of"), F.col("words").alias("item")), F.col("item_id").eqNullSafe(F.col("of"))
     )
     verified = pairs.select("content", "item_id", "item", "words").mapInPandas(
-        _verify(settings), "content bigint, item_id bigint, item_words int, distance int"
+        _verify(settings), "content bigint, item_id string, item_words int, distance int"
     )
     verified = stored(verified.distinct(), "verified-windows")
     best = F.min(F.struct("distance", "start", "item_words")).alias("best")
     found = windows.select("content", "doc_id", "start").join(verified, "content")
     return found.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", "best.distance", "best.start", "best.item_words"
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("item_id").cast("bigint").alias("item_id"),
+        "best.distance",
+        "best.start",
+        "best.item_words",
     )
 
 
