@@ -78,7 +78,7 @@ def pack(sizes: list[int], lengths: Lengths) -> tuple[list[int], list[int], floa
 GROUP_PIECES = 20_000
 
 PACKED = (
-    "doc_id bigint, piece int, first_unit bigint, n_units bigint, "
+    "doc_id string, piece int, first_unit bigint, n_units bigint, "
     "bin_group int, bin_no int, bin_capacity int, bin_offset int"
 )
 
@@ -114,6 +114,8 @@ def pack_documents(docs: DataFrame, length: Column, lengths: Lengths = Lengths()
     cut = pieces(docs, length, lengths).withColumn("_row", F.monotonically_increasing_id())
     cut = stored(cut, "pieces")
     groups = max(1, math.ceil(cut.count() / GROUP_PIECES))
+    # Ids travel as text: Pandas would turn whole numbers next to NULL into floating-point ones.
+    cut = cut.withColumn("doc_id", F.col("doc_id").cast("string"))
     dealt = cut.withColumn("bin_group", F.pmod(F.xxhash64("doc_id", "piece", "_row"), F.lit(groups)).cast("int"))
 
     def pack_group(rows: pd.DataFrame) -> pd.DataFrame:
@@ -132,4 +134,5 @@ def pack_documents(docs: DataFrame, length: Column, lengths: Lengths = Lengths()
         rows["bin_offset"] = offsets + [0] * rest
         return rows.drop(columns="_row")[[c.split()[0] for c in PACKED.split(", ")]]
 
-    return dealt.groupBy("bin_group").applyInPandas(pack_group, PACKED)
+    packed = dealt.groupBy("bin_group").applyInPandas(pack_group, PACKED)
+    return packed.withColumn("doc_id", F.col("doc_id").cast("bigint"))
