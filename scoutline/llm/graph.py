@@ -17,8 +17,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Rounds of large-star and small-star: first every node links its greater neighbours to the
     smallest node it knows, then its smaller ones. Both are a minimum with map-side combine and a
-    join, so a node with very many links is spread, and no more links are made than there were.
-    Each round is a written table. Ends when a round changes nothing. NULL ends are left out.
+    join that reads the links of a node, two numbers each, one after the other; no more links are made
+    than there were. Each round is a written table. Ends when a round changes nothing. NULL ends are left out.
     """
     edges = (
         links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))

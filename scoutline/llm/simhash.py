@@ -149,6 +149,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, k: int = 3) -> DataFra
     of_print = distinct.join(reached, "fp", "left").select(
         "fp", F.coalesce("reached", "first_id").alias("component_id")
     )
+    # Written, as adaptive execution splits a hot fingerprint only where both sides of the join are dealt for it.
+    of_print = stored(of_print, "components")
     return rows.join(of_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -74,7 +74,7 @@ def write_archives(
     URL leaves the header out, control characters in URLs are percent-encoded, and a NULL page_id
     never is the smallest. The default capture time is 2024-01-01 plus page_id seconds. Other columns
     are not read. The payloads are shuffled once, by digest, to meet the digests that occur more than
-    once; a frequent digest is split by adaptive execution.
+    once; adaptive execution splits a frequent digest.
     """
     run = str(uuid.uuid4())
     spark = pages.sparkSession
@@ -100,6 +100,8 @@ def write_archives(
         .filter("n > 1 and first_id is not null")
         .select("digest", "first_id")
     )
+    # Written, as adaptive execution splits a hot digest only where both sides of the join are dealt for it.
+    copied = stored(copied, "repeated-digests")
     known = rows.join(copied, "digest", "left").withColumn(
         "revisits",
         F.coalesce(
