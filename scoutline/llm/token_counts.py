@@ -20,8 +20,11 @@ from tokenizers import Tokenizer
 
 from scoutline.llm.words import small_batches
 
-#: Words whose counts a worker remembers; beyond that it starts anew.
+#: Words whose counts a worker remembers; beyond that it starts anew, but keeps those it had.
 REMEMBERED = 200_000
+#: Bytes of the longest word that is remembered, and words that are split in one call.
+LONGEST = 64
+TOGETHER = 2_000
 
 
 @dataclass(frozen=True)
@@ -65,6 +68,7 @@ class Counter:
         longest = sorted(proven.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.known: dict[bytes, int] = {}
+        self.before: dict[bytes, int] = {}
 
     def of_piece(self, text: str) -> int:
         """Tokens of text without special strings."""
@@ -73,29 +77,57 @@ class Counter:
         pieces = split.pre_tokenize_str(normal)
         return sum(1 if p in self.whole else len(model.tokenize(p)) for p, _ in pieces)
 
-    def of_word(self, word: bytes) -> int:
-        text = word.decode("utf-8")
+    def of_word(self, text: str) -> int:
         if self.special is None or not self.special.search(text):
             return self.of_piece(text)
         # Every second part is a special string, which is one token wherever it stands.
         parts = self.special.split(text)
         return len(parts) // 2 + sum(self.of_piece(p) for p in parts[0::2] if p)
 
+    def of_words(self, texts: list[str]) -> list[int]:
+        """Counts of words, split together in one call; one by one if a word holds a special string or
+        white space of its own."""
+        joined = " ".join(texts)
+        normalizer = self.tokenizer.normalizer
+        normal = normalizer.normalize_str(joined) if normalizer else joined
+        parts = normal.split(" ")
+        if len(parts) != len(texts) or self.special is not None and self.special.search(joined):
+            return [self.of_word(t) for t in texts]
+        counts, at, end = [0] * len(parts), 0, len(parts[0])
+        whole, model = self.whole, self.tokenizer.model
+        for piece, (start, _) in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal):
+            while start > end:
+                at += 1
+                end += 1 + len(parts[at])
+            counts[at] += 1 if piece in whole else len(model.tokenize(piece))
+        return counts
+
     def of_text(self, text: str | None) -> int:
         if not text:
             return 0
-        known, total = self.known, 0
+        known, total, unseen = self.known, 0, []
         for word in text.encode("utf-8").split():
             n = known.get(word)
             if n is None:
-                n = self.of_word(word)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(word) <= 64:
-                    known[word] = n
-            total += n
+                unseen.append(word)
+            else:
+                total += n
+        for begin in range(0, len(unseen), TOGETHER):
+            total += self.of_unseen(unseen[begin : begin + TOGETHER])
         return total
 
+    def of_unseen(self, words: list[bytes]) -> int:
+        """Count words that were not met lately, and remember them. What was remembered before the last
+        new start is looked up first."""
+        counts = {w: self.before[w] for w in words if w in self.before}
+        fresh = [w for w in dict.fromkeys(words) if w not in counts]
+        if fresh:
+            counts.update(zip(fresh, self.of_words([w.decode("utf-8") for w in fresh])))
+        if len(self.known) >= REMEMBERED:
+            self.before, self.known = self.known, {}
+        self.known.update((w, n) for w, n in counts.items() if len(w) <= LONGEST)
+        return sum(counts[w] for w in words)
+
 
 def token_counter(spark: SparkSession, path: str):
     """A column function text -> number of tokens. The file is read on the driver and broadcast
