@@ -25,6 +25,8 @@ REMEMBERED = 200_000
 #: Bytes of the longest word that is remembered, and words that are split in one call.
 LONGEST = 64
 TOGETHER = 2_000
+#: White space that a normalizer or pre-tokenizer may see in a word: any but the ASCII kinds between words.
+OWN_SPACE = re.compile(r"[\s\u180e\u200b\ufeff]")
 
 
 @dataclass(frozen=True)
@@ -85,8 +87,12 @@ class Counter:
         return len(parts) // 2 + sum(self.of_piece(p) for p in parts[0::2] if p)
 
     def of_words(self, texts: list[str]) -> list[int]:
-        """Counts of words, split together in one call; one by one if a word holds a special string or
-        white space of its own."""
+        """Counts of words, split together in one call; those that hold white space of their own, which may
+        vanish or split them, one by one, and all if a word holds a special string."""
+        odd = {i for i, t in enumerate(texts) if OWN_SPACE.search(t)}
+        if odd:
+            plain = iter(self.of_words([t for i, t in enumerate(texts) if i not in odd]) if len(odd) < len(texts) else ())
+            return [self.of_word(t) if i in odd else next(plain) for i, t in enumerate(texts)]
         joined = " ".join(texts)
         normalizer = self.tokenizer.normalizer
         normal = normalizer.normalize_str(joined) if normalizer else joined

@@ -53,6 +53,16 @@ def test_forgetting_changes_nothing(counter, library, monkeypatch):
     assert counter.of_text(text) == library(text)
 
 
+def test_white_space_inside_words(library):
+    """Words of white space only, which vanish, next to words that split at it: as many parts as words."""
+    for space in "\u00a0\u3000\u2003\u2028\u0085\u1680\x1c\u200b":
+        fresh = token_counts.Counter(token_counts.prove(PATH))
+        for text in (f"hello {space} x{space}y", f"x{space}y", f"{space}", f"x{space}y hello {space} x{space}y", "hello x y"):
+            assert fresh.of_text(text) == library(text)
+        words = ["hello", space, f"x{space}y", "world"]
+        assert fresh.of_words(words) == [library(w) for w in words]
+
+
 def test_nulls_repeats_and_clashing_columns(spark, library):
     rows = [(1, None, 5), (1, None, 5), (2, "", 6), (None, "a b" * 3000, 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens long")
