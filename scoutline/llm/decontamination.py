@@ -1,10 +1,9 @@
-"""Benchmark decontamination: CGK embedding, bit-sampling LSH and exact edit verification, over words.
+"""Benchmark decontamination: whole pieces as keys and exact edit verification, over words.
 
-The CGK random walk reads a sequence step by step and moves on, or not, by a random function of the
-step and the symbol read; sequences a few edits apart fall into step again soon, so edit distance
-becomes Hamming distance between the symbols read. Each repetition samples a few steps of its own
-walk as a key; keys of item and window meet in an equi-join, and every pair that met is verified by
-edit distance. The number of repetitions follows from the recall wanted.
+An item in which ``e`` edits are allowed is cut into ``e + 1`` pieces of equal length, at least three
+words each; wherever the item is found, one piece is whole. The pieces of items and all stretches of a
+window that have their length meet in an equi-join, and every pair that met is verified by edit
+distance, so no item is missed, whatever its length and the kind of its edits.
 
 Windows start at every word where an item could begin. With at most ``k`` edits the first ``m`` words
 of an item leave at least ``m - 1 - 2k`` of its word pairs whole, and the first word that is no edit is
@@ -32,21 +31,24 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    """An item is found where at most ``edits`` of its words differ. ``agreement`` is the share of
-    walk steps that still agree at that distance; with ``sampled`` steps per key it gives the number
-    of repetitions for ``recall``. Items of fewer than ``min_words`` words are not searched."""
+    """An item is found where at most ``edits`` of its words differ. Items of fewer than ``min_words``
+    words are not searched."""
 
     edits: float = 0.2
     min_words: int = 8
-    sampled: int = 3
-    agreement: float = 0.6
-    recall: float = 0.97
     class_ratio: float = 1.25
     table_bits: int = 20
 
-    @property
-    def repetitions(self) -> int:
-        return math.ceil(math.log(1 - self.recall) / math.log(1 - self.agreement**self.sampled))
+    def allowed(self, words: int) -> int:
+        return math.floor(self.edits * words)
+
+    def piece(self, words: int) -> int:
+        """Words of a piece of an item: one more piece than edits."""
+        return words // (self.allowed(words) + 1)
+
+    def pieces(self, number: int) -> list[int]:
+        """All lengths of pieces in a class."""
+        return sorted({self.piece(n) for n in range(self.shortest(number), self.longest(number) + 1)})
 
     def class_of(self, words: int) -> int:
         return math.floor(math.log(words / self.min_words) / math.log(self.class_ratio) + 1e-9)
@@ -62,23 +64,12 @@ def _pairs(hashes: np.ndarray) -> np.ndarray:
     return mixed(hashes[:-1] * _ODD + hashes[1:])
 
 
-def _keys(words: np.ndarray, starts: np.ndarray, number: int, settings: Settings) -> np.ndarray:
-    """Keys (start, repetition) of walks over ``words``; what lies beyond the end reads as 0."""
-    steps = math.ceil(1.3 * settings.shortest(number))
-    draw = np.random.default_rng((11, number))
-    reps = settings.repetitions
-    odds = draw.integers(0, 1 << 63, size=(steps, reps, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    chosen = np.stack([draw.choice(steps, size=min(settings.sampled, steps), replace=False) for _ in range(reps)])
-    padded = np.append(words, np.uint64(0))
-    at = np.repeat(starts[None, :], reps, axis=0)
-    keys = np.repeat(mixed(np.arange(reps, dtype=np.uint64) + np.uint64(1000 * number + 1))[:, None], len(starts), axis=1)
-    for t in range(steps):
-        symbol = padded[np.minimum(at, len(words))]
-        taken = (chosen == t).any(axis=1)
-        if taken.any():
-            keys[taken] = mixed(keys[taken] * _ODD + symbol[taken])
-        at = at + (mixed(symbol * odds[t]) >> np.uint64(63)).astype(np.int64)
-    return keys.T.view(np.int64)
+def _grams(words: np.ndarray, size: int, number: int) -> np.ndarray:
+    """Hashes of all stretches of so many words, in a class."""
+    found = np.full(max(0, len(words) - size + 1), 100 * number + size, dtype=np.int64).view(np.uint64)
+    for i in range(size):
+        found = mixed(found * _ODD + words[i : i + len(found)])
+    return found
 
 
 def edit_distance(item: np.ndarray, window: np.ndarray, most: int) -> int:
@@ -122,10 +113,13 @@ def _item_rows(settings: Settings):
                 if len(own) < settings.min_words:
                     continue
                 number = settings.class_of(len(own))
-                keys = _keys(own, np.zeros(1, dtype=np.int64), number, settings)[0]
-                heads = own[: math.floor(settings.edits * len(own)) + 1]
-                # One table after the other: the slots of pairs, then those of first words.
+                size = settings.piece(len(own))
+                keys = _grams(own, size, number)[: size * (settings.allowed(len(own)) + 1) : size]
+                heads = own[: settings.allowed(len(own)) + 1]
+                # One table after the other: the slots of pairs, those of first words, those of pieces.
                 slots = np.append(_slots(_pairs(own), settings), _slots(heads, settings) + (1 << settings.table_bits))
+                slots = np.append(slots, _slots(keys, settings) + (2 << settings.table_bits))
+                keys = np.unique(keys.view(np.int64))
                 out.append((item_id, number, len(own), own.tobytes(), keys.tolist(), np.unique(slots).tolist()))
             yield pd.DataFrame(out, columns=["item_id", "class_no", "n", "words", "keys", "slots"])
 
@@ -133,10 +127,10 @@ def _item_rows(settings: Settings):
 
 
 def _bit_tables(items: DataFrame, settings: Settings) -> dict[int, np.ndarray]:
-    """By class, the bits of its items' pairs and first words: 2^table_bits / 4 bytes each."""
+    """By class, the bits of its items' pairs, first words and pieces: 2^table_bits * 3 / 8 bytes each."""
 
     def united(slots: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(1 << (settings.table_bits + 1), dtype=bool)
+        bits = np.zeros(3 << settings.table_bits, dtype=bool)
         bits[slots.slot.to_numpy()] = True
         packed = np.packbits(bits, bitorder="little").tobytes()
         return pd.DataFrame({"class_no": [int(slots.class_no.iloc[0])], "bits": [packed]})
@@ -183,15 +177,27 @@ def _window_rows(settings: Settings, tables: dict[int, np.ndarray]):
                 first = int(words.first[i])
                 own = words.hash[first : words.first[i + 1]]
                 mine = starts[owner[starts] == i] - first
-                parts = [own[at : at + size].tobytes() for at in mine.tolist()]
-                names = [xxhash.xxh64_intdigest(p, number) - (1 << 63) for p in parts]
-                fresh = [n for n, name in enumerate(names) if name not in seen]
-                keys = dict(zip(fresh, _keys(own, mine[fresh], number, settings).tolist()))
-                for n, at in enumerate(mine.tolist()):
-                    yield ids[i], at, names[n], parts[n] if n in keys else None, keys.get(n)
+                grams = []  # of every length of pieces: (length, hashes, places of those that an item may have)
+                for length in settings.pieces(number):
+                    hashes = _grams(own, length, number)
+                    hit = _has(tables[number], _slots(hashes, settings) + (2 << settings.table_bits))
+                    grams.append((length, hashes.view(np.int64), np.flatnonzero(hit)))
+                for at in mine.tolist():
+                    stop = min(at + size, len(own))
+                    keys = [
+                        h[places[np.searchsorted(places, at) : np.searchsorted(places, stop - length, "right")]]
+                        for length, h, places in grams
+                    ]
+                    keys = np.unique(np.concatenate(keys))
+                    if not len(keys):
+                        continue  # no item has a piece in it
+                    part = own[at:stop].tobytes()
+                    name = xxhash.xxh64_intdigest(part, number & 0xFF) - (1 << 63)
+                    fresh = name not in seen
+                    seen.add(name)
+                    yield ids[i], at, name, part if fresh else None, keys.tolist() if fresh else None
                 if len(seen) > REMEMBERED:
                     seen.clear()
-                seen.update(names)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns, seen = [c.split()[0] for c in WINDOWS.split(", ")], set()
@@ -218,7 +224,7 @@ def _verify(settings: Settings):
             out = []
             for item_id, item, window, content in zip(batch.item_id, batch.item, batch.words, batch.content):
                 own = np.frombuffer(item, dtype=np.uint64)
-                most = math.floor(settings.edits * len(own))
+                most = settings.allowed(len(own))
                 found = edit_distance(own, np.frombuffer(window, dtype=np.uint64), most)
                 if found <= most:
                     out.append((content, item_id, len(own), found))

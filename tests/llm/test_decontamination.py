@@ -76,6 +76,23 @@ def test_recall_and_precision(spark):
     assert exact and all(p in got and got[p].distance == 0 for p in exact)
 
 
+def test_recall_at_the_most_edits(spark):
+    """Every kind of edit, spread over items of every length, exactly as many as allowed."""
+    rng, items, docs = random.Random(10), {}, []
+    words = [f"v{i}" for i in range(20_000)]
+    for n in (8, 10, 15, 20, 40, 80, 160):
+        for kind in ("change", "insert", "delete"):
+            for _ in range(15):
+                own, copy = rng.sample(words, n), []
+                edited = set(rng.sample(range(n), int(0.2 * n)))
+                for i, w in enumerate(own):
+                    copy += [w] if i not in edited else {"change": ["new"], "insert": ["new", w], "delete": []}[kind]
+                items[len(items)] = " ".join(own)
+                docs.append((len(docs), " ".join([*rng.sample(words, 30), *copy, *rng.sample(words, 30)]), ""))
+    got = {(r.doc_id, r.item_id) for r in D.contaminated(*frames(spark, docs, list(items.items()))).collect()}
+    assert got == {(i, i) for i in items}
+
+
 def test_query_finds_every_whole_item(spark, tables):
     found = {(r.doc_id, r.item_id) for r in queries.op7_decontamination(spark, SF).collect()}
     items = {b["item_id"]: b["text"].lower().split() for b in tables("benchmark")}
