@@ -32,7 +32,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class Settings:
     """An item is found where at most ``edits`` of its words differ. Items of fewer than ``min_words``
-    words are not searched."""
+    words are found where all their words are; each of their lengths is a class."""
 
     edits: float = 0.2
     min_words: int = 8
@@ -40,7 +40,7 @@ class Settings:
     table_bits: int = 20
 
     def allowed(self, words: int) -> int:
-        return math.floor(self.edits * words)
+        return math.floor(self.edits * words) if words >= self.min_words else 0
 
     def piece(self, words: int) -> int:
         """Words of a piece of an item: one more piece than edits."""
@@ -51,9 +51,13 @@ class Settings:
         return sorted({self.piece(n) for n in range(self.shortest(number), self.longest(number) + 1)})
 
     def class_of(self, words: int) -> int:
+        if words < self.min_words:
+            return words - self.min_words
         return math.floor(math.log(words / self.min_words) / math.log(self.class_ratio) + 1e-9)
 
     def shortest(self, number: int) -> int:
+        if number < 0:
+            return self.min_words + number
         return math.ceil(self.min_words * self.class_ratio**number - 1e-9)
 
     def longest(self, number: int) -> int:
@@ -110,7 +114,7 @@ def _item_rows(settings: Settings):
             out = []
             for i, item_id in enumerate(batch.item_id):
                 own = words.hash[words.first[i] : words.first[i + 1]]
-                if len(own) < settings.min_words:
+                if not len(own):
                     continue
                 number = settings.class_of(len(own))
                 size = settings.piece(len(own))
@@ -155,13 +159,13 @@ def _window_rows(settings: Settings, tables: dict[int, np.ndarray]):
 
     def starts_of(words, owner, last, slots, number: int) -> np.ndarray:
         short, long = settings.shortest(number), settings.longest(number)
-        k, table = math.floor(settings.edits * long), tables[number]
+        k, table = settings.allowed(long), tables[number]
         known = _has(table, slots)
         known[owner[1:] != owner[:-1]] = 0
         before = np.concatenate(([0], np.cumsum(known, dtype=np.int64)))
         at = np.arange(len(owner))
         ahead = before[np.minimum(at + short - 1 + k, last)] - before[at]
-        found = np.flatnonzero(ahead >= max(1, short - 1 - 2 * k))
+        found = np.flatnonzero(ahead >= max(min(1, short - 1), short - 1 - 2 * k))
         heads = _slots(words.hash[found], settings) + (1 << settings.table_bits)
         return found[_has(table, heads).astype(bool)]
 
@@ -172,7 +176,7 @@ def _window_rows(settings: Settings, tables: dict[int, np.ndarray]):
         for number in sorted(tables):
             starts = starts_of(words, owner, last, slots, number)
             long = settings.longest(number)
-            size = long + math.floor(settings.edits * long)
+            size = long + settings.allowed(long)
             for i in np.unique(owner[starts]).tolist():
                 first = int(words.first[i])
                 own = words.hash[first : words.first[i + 1]]
@@ -205,7 +209,7 @@ def _window_rows(settings: Settings, tables: dict[int, np.ndarray]):
             texts, ids, out = batch.text.tolist(), batch.doc_id.tolist(), []
             for a, b in in_blocks(texts):
                 words = hashed_words(texts[a:b], fold=True)
-                if len(words) < settings.min_words:
+                if not len(words):
                     continue
                 for row in of_block(words, ids[a:b], seen):
                     out.append(row)
@@ -237,8 +241,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     """One row per document and benchmark item found in it: doc_id, item_id, the least ``distance`` in
     words, the first ``start`` (word) with it, and ``item_words``.
 
-    Words are runs of non-white-space, A-Z lower-cased. NULL and empty texts and items shorter than
-    ``min_words`` words match nothing; items with equal texts are found alike; rows that share an id
+    Words are runs of non-white-space, A-Z lower-cased. NULL and empty texts match nothing; items
+    shorter than ``min_words`` words match where all their words are; items with equal texts are found alike; rows that share an id
     give one row per item. A NULL doc_id is a document of its own kind, all such rows together. Whole
     texts are searched. Equal windows, as of a passage that many documents share, are compared and
     verified once. Of the benchmark only bit tables of fixed size travel to every task.

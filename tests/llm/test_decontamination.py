@@ -93,6 +93,14 @@ def test_recall_at_the_most_edits(spark):
     assert got == {(i, i) for i in items}
 
 
+def test_short_items_word_for_word(spark):
+    items = [(n, " ".join(f"s{n}x{i}" for i in range(n))) for n in range(1, 8)]
+    docs = [(n, f"some words {t.upper()} and more", "") for n, t in items] + [(10 + n, t, "") for n, t in items]
+    docs += [(20 + n, f"before {t.rsplit(' ', 1)[0]} not the last", "") for n, t in items if n > 1]
+    got = {(r.doc_id, r.item_id, r.distance, r.start, r.item_words) for r in D.contaminated(*frames(spark, docs, items)).collect()}
+    assert got == {(n, n, 0, 2, n) for n, _ in items} | {(10 + n, n, 0, 0, n) for n, _ in items}
+
+
 def test_query_finds_every_whole_item(spark, tables):
     found = {(r.doc_id, r.item_id) for r in queries.op7_decontamination(spark, SF).collect()}
     items = {b["item_id"]: b["text"].lower().split() for b in tables("benchmark")}
