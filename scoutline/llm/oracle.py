@@ -131,10 +131,51 @@ best as (
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from h left join best using (page_id)
 """ % _HOST
 
+_PHRASES = """
+with piece as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents
+),
+p as (select lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda x: x <> '') as w from piece),
+w1 as (select lang, x, count(*)::hugeint as f from (select lang, unnest(w) as x from p) group by all),
+w2 as (
+  select lang, x, y, count(*)::hugeint as f
+  from (select lang, w[i] as x, w[i + 1] as y from (select lang, w, unnest(range(1, len(w))) as i from p)) group by all
+),
+w3 as (
+  select lang, x, y, z, count(*)::hugeint as f
+  from (
+    select lang, w[i] as x, w[i + 1] as y, w[i + 2] as z from (select lang, w, unnest(range(1, len(w) - 1)) as i from p where len(w) > 2)
+  )
+  group by all having count(*) >= 10
+),
+two as (
+  select c.lang, c.x || ' ' || c.y as phrase, c.f as a, [a.f, b.f] as lr
+  from w2 c join w1 a using (lang, x) join w1 b on b.lang = c.lang and b.x = c.y
+  left join (select lang, x, y, max(f) as f from w3 group by all) d on d.lang = c.lang and d.x = c.x and d.y = c.y
+  left join (select lang, y, z, max(f) as f from w3 group by all) e on e.lang = c.lang and e.y = c.x and e.z = c.y
+  where c.f >= 10 and 100 * greatest(coalesce(d.f, 0), coalesce(e.f, 0)) < 50 * c.f
+),
+three as (
+  select c.lang, c.x || ' ' || c.y || ' ' || c.z as phrase, c.f as a,
+    case when 1000000 * c.f * c.f // (a.f * d.f) <= 1000000 * c.f * c.f // (b.f * e.f) then [a.f, d.f] else [b.f, e.f] end as lr
+  from w3 c join w1 a using (lang, x) join w2 d on d.lang = c.lang and d.x = c.y and d.y = c.z
+  join w2 b on b.lang = c.lang and b.x = c.x and b.y = c.y join w1 e on e.lang = c.lang and e.x = c.z
+),
+scored as (
+  select *, 1000000 * a * a // (lr[1] * lr[2]) as score from (select * from two union all select * from three)
+),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from scored)
+select r.lang, rank::bigint as rank, phrase, a::bigint as a, lr[1]::bigint as l, lr[2]::bigint as r, n::bigint as n, score::bigint as score
+from ranked r join (select lang, sum(f) as n from w1 group by lang) using (lang) where rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": _quality_rules(),
         "op2_warc_index": _WARC,
         "op8_url_filters": _URL,
+        "op12_collocations": _PHRASES,
     }

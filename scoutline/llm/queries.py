@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoutline.llm import (
+    collocations,
     decontamination,
     packing,
     passages,
@@ -102,3 +103,8 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards and slots of all documents under jump consistent hashing."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best-scored phrases of two and three words of every language."""
+    return collocations.phrases(table(spark, sf_dir, "documents"))
