@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scoutline.llm import (
     collocations,
+    conversation_repair,
     decontamination,
     packing,
     passages,
@@ -108,3 +109,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best-scored phrases of two and three words of every language."""
     return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest edits of every damaged conversation."""
+    return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
