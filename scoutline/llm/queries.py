@@ -9,6 +9,7 @@ from scoutline.llm import (
     collocations,
     conversation_repair,
     decontamination,
+    language_id,
     packing,
     passages,
     quality_classifier,
@@ -106,6 +107,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document by a model learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    rows = language_id.identified(docs.select("doc_id", "text"), language_id.train(docs))
+    held_out = language_id.held_out(F.col("doc_id"))
+    return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best-scored phrases of two and three words of every language."""
     return collocations.phrases(table(spark, sf_dir, "documents"))
