@@ -73,6 +73,20 @@ def plan_contacts(messages: DataFrame, log: DataFrame, live: bool = False) -> Da
     )
 
 
+def yield_addresses(plan: DataFrame, claims: DataFrame) -> DataFrame:
+    """A plan in which planned rows whose address others have claimed count as duplicates.
+
+    A plan has one planned row per address, so only those meet the claims; the verdict returns by ``pos``.
+    """
+    planned = F.col("status") == PLANNED
+    taken = plan.where(planned).join(claims, "email_key", "left_semi").select("pos", F.lit(True).alias("taken"))
+    return (
+        plan.join(taken, "pos", "left")
+        .withColumn("status", F.when(F.col("taken"), F.lit(DUPLICATE)).otherwise(F.col("status")))
+        .drop("taken")
+    )
+
+
 def merge_outcomes(plan: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Settle planned rows with delivery outcomes (pos, error, told_at); an error fails that row only.
 

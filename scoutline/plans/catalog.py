@@ -15,6 +15,7 @@ from scoutline.config import Settings
 from scoutline.fixed import EMAIL_SOURCE
 from scoutline.functions import text, values
 from scoutline.operators import contact, discover, drafts, enrich, quality, score
+from scoutline.plans import stages
 from scoutline.plans import views as V
 from scoutline.plans.flagship import AS_OF, TEST_SETTINGS, evaluated
 from scoutline.schemas import CONTACT_LOG, CREATORS, DM_QUEUE, MESSAGES, RAW_CHANNELS
@@ -724,6 +725,21 @@ def log_after_two_runs(spark, sf_dir):
     )
 
 
+@query
+def contact_two_runs(spark, sf_dir):
+    """Three live runs over overlapping messages: the second is planned while the first is open, the third when the
+    first is settled and the second is not."""
+    base = shared_dir(spark, "open-runs")
+    V.contact_log(spark, sf_dir).write.parquet(f"{base}/contact_log/run=old")
+    batch, plans = V.messages(spark, sf_dir), []
+    for run, part in (("first", F.col("pos") % 3 == 0), ("second", F.col("pos") % 2 == 0), ("third", F.lit(True))):
+        if run == "third":
+            stages.settled(spark, base, "first", RUN_AT, V.outcomes(plans[0]))
+        plans.append(stages.plan_run(spark, base, run, batch.where(part), live=True))
+    told = [p.select(F.lit(r).alias("run"), "pos", "email_key", "status") for r, p in zip(("first", "second", "third"), plans)]
+    return reduce(DataFrame.unionByName, told)
+
+
 @query
 def dm_queue(spark, sf_dir):
     return contact.dm_queue(V.messages(spark, sf_dir), V.old_queue(spark, sf_dir))

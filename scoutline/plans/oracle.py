@@ -648,6 +648,26 @@ def oracle_sql() -> dict[str, str]:
                 union all select influencer_id, email, '2024-02-02 00:00:00', 'SKIPPED_DUPLICATE',
                 false from plan""",
         ),
+        "contact_two_runs": _with(
+            _MESSAGES,
+            """first as (
+              select *, seen_live or row_number() over (partition by email_key order by pos) > 1 as dup
+              from plan where pos % 3 = 0),
+             second as (
+              select *, seen_live or row_number() over (partition by email_key order by pos) > 1
+                or email_key in (select email_key from first where not dup) as dup
+              from plan where pos % 2 = 0),
+             third as (
+              select *, seen_live or nth > 1 or email_key in (select email_key from first where not dup)
+                or email_key in (select email_key from second where not dup) as dup
+              from plan),
+             runs as (
+              select 'first' as run, pos, email_key, dup from first
+              union all select 'second', pos, email_key, dup from second
+              union all select 'third', pos, email_key, dup from third)""",
+            query="""select run, pos, email_key, case when dup then 'SKIPPED_DUPLICATE' else 'PLANNED' end as status
+                from runs""",
+        ),
         "dm_queue": _with(
             _MESSAGES,
             query="""select cast(s_suppkey as varchar) as influencer_id, s_name as influencer,

@@ -5,10 +5,11 @@
     draft_attempts                                          responses of the text generator
     messages  approvals                                     drafts, and the ids a person approved
     contact_runs/<run>  contact_log/run=<run>  dm_queue     the plans, what came of them, and DMs
+    contact_claims/run=<run>                                addresses that open live runs hold
 
 Every stage may run again: its tables are replaced, a contact run replaces its own plan and log
-partition, and the queue takes only creators that it does not hold yet. Settle a live run before the
-next one is planned.
+partition, and the queue takes only creators that it does not hold yet. Any number of live runs may be
+open: each holds its addresses until it is settled.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from scoutline.schemas import (
     table_schema,
 )
 from scoutline.session import stored
-from scoutline.sources import landing, tables
+from scoutline.sources import claims, landing, tables
 
 APPROVALS = table_schema(draft_key=TEXT)
 
@@ -121,15 +122,35 @@ def _log(spark: SparkSession, base: str, without: str | None = None) -> DataFram
     return log.where(F.col("run") != without) if without else log
 
 
+def plan_run(
+    spark: SparkSession, base: str, run: str, messages: DataFrame, live: bool = False
+) -> DataFrame:
+    """Plan messages against the log of all other runs and the addresses that open runs hold.
+
+    The plan is stored under the run id and logged nowhere; a repeat replaces it. A live plan holds its
+    addresses until the run is settled.
+    """
+    path = f"{base}/contact_claims"
+    held = claims.claimed(spark, path, without=run).select(
+        F.col("email_key").alias("email"), F.lit(contact.PLANNED).alias("status")
+    )
+    blocked = _log(spark, base, without=run).select("email", "status").unionByName(held)
+    plan = contact.plan_contacts(messages, blocked, live)
+    if live:
+        plan = claims.want(stored(plan, "plan"), path, run)
+    plan = tables.store(plan, f"{base}/contact_runs/{run}")
+    if live:
+        claims.hold(plan, path, run)
+    return plan
+
+
 def planned(spark: SparkSession, base: str, run: str, live: bool = False) -> DataFrame:
-    """Plan approved messages against the log of all other runs, and queue DMs; returns the plan.
+    """Plan the approved messages as :func:`plan_run` does, and queue DMs; returns the plan.
 
-    The plan is stored under the run id and logged nowhere; a repeat replaces it. Approvals are a
-    table of draft keys.
+    Approvals are a table of draft keys.
     """
     messages = _approved_messages(spark, base)
-    plan = contact.plan_contacts(messages, _log(spark, base, without=run), live)
-    plan = tables.store(plan, f"{base}/contact_runs/{run}")
+    plan = plan_run(spark, base, run, messages, live)
     queue = tables.read_optional(spark, f"{base}/dm_queue", DM_QUEUE)
     tables.append_dms(messages, queue, f"{base}/dm_queue")
     return plan
@@ -139,9 +160,11 @@ def settled(
     spark: SparkSession, base: str, run: str, run_at: datetime, outcomes: DataFrame | None = None
 ) -> DataFrame:
     """The run's log rows: its stored plan with the newest outcome of each row, written as the log
-    partition of the run. A repeat, with more outcomes or the same, replaces that partition."""
+    partition of the run, which then blocks its addresses in place of the claims. A repeat, with more
+    outcomes or the same, replaces that partition."""
     plan = spark.read.parquet(f"{base}/contact_runs/{run}")
     if outcomes is not None:
         plan = contact.merge_outcomes(plan, outcomes)
     contact.log_rows(plan, run_at).write.mode("overwrite").parquet(f"{base}/contact_log/run={run}")
+    claims.release(spark, f"{base}/contact_claims", run)
     return _log(spark, base).where(F.col("run") == run)

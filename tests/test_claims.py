@@ -1,0 +1,91 @@
+"""Live runs that are open at the same time never hold the same address."""
+
+import random
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from scoutline.operators import contact
+from scoutline.plans import stages
+from scoutline.schemas import CONTACT_LOG
+from scoutline.sources import claims, tables
+from tests.test_contact import batch, message
+
+AT = datetime(2026, 10, 1, tzinfo=timezone.utc)
+
+
+def planned(df):
+    return {r["email_key"] for r in df.where(F.col("status") == contact.PLANNED).collect()}
+
+
+def held(spark, base, run=None):
+    rows = claims.claimed(spark, f"{base}/contact_claims").collect()
+    return {r["email_key"] for r in rows if run in (None, r["run"])}
+
+
+def test_two_open_runs(spark, tmp_path):
+    base, rng = str(tmp_path), random.Random(8)
+    rows = [message(i, email=f"u{rng.randint(0, 30)}@b.co") for i in range(90)]
+    first = planned(stages.plan_run(spark, base, "a", batch(spark, *rows[:40]), live=True))
+    second = planned(stages.plan_run(spark, base, "b", batch(spark, *rows[30:]), live=True))
+    assert first == {r[2] for r in rows[:40]}
+    assert second == {r[2] for r in rows[30:]} - first
+    assert held(spark, base, "a") == first and held(spark, base, "b") == second
+    # A run that is planned again, unsettled, gets the same addresses.
+    assert planned(stages.plan_run(spark, base, "b", batch(spark, *rows[30:]), live=True)) == second
+    # Settled without outcomes the log blocks what the claims held.
+    stages.settled(spark, base, "a", AT)
+    assert held(spark, base) == second
+    assert not planned(stages.plan_run(spark, base, "c", batch(spark, *rows), live=True))
+    assert tables.read_table(spark, f"{base}/contact_log", CONTACT_LOG).count() == 40
+
+
+def test_settled_addresses_are_free_or_blocked_by_their_outcome(spark, tmp_path):
+    base = str(tmp_path)
+    rows = [message(i, email=f"u{i}@b.co") for i in range(3)]
+    stages.plan_run(spark, base, "dry", batch(spark, *rows[:1]))
+    assert held(spark, base) == set()  # a dry run claims nothing
+    stages.settled(spark, base, "dry", AT)
+    plan = stages.plan_run(spark, base, "live", batch(spark, *rows), live=True)
+    assert planned(plan) == {f"u{i}@b.co" for i in range(3)}  # simulated rows don't block a live run
+    told = spark.createDataFrame([(1, "full"), (2, None)], "pos long, error string")
+    log = {r["email"]: r["status"] for r in stages.settled(spark, base, "live", AT, told).collect()}
+    assert log == {"u0@b.co": "PLANNED", "u1@b.co": "FAILED", "u2@b.co": "SENT_TO_TEST_INBOX"}
+    assert held(spark, base) == set()
+    for live in (True, False):
+        plan = stages.plan_run(spark, base, f"later-{live}", batch(spark, *rows), live)
+        assert {r["status"] for r in plan.collect()} == {"SKIPPED_DUPLICATE"}
+
+
+def test_an_open_run_blocks_dry_runs(spark, tmp_path):
+    base = str(tmp_path)
+    stages.plan_run(spark, base, "live", batch(spark, message(0)), live=True)
+    plan = stages.plan_run(spark, base, "dry", batch(spark, message(0), message(1, email="x@b.co")))
+    assert {r["pos"]: r["status"] for r in plan.collect()} == {0: "SKIPPED_DUPLICATE", 1: "SIMULATED"}
+
+
+@pytest.mark.parametrize("order", ["abAB", "abBA", "aAbB"])
+def test_runs_planned_at_the_same_moment(spark, tmp_path, order):
+    """Small letters write what a run wants, capitals look at the others: whatever the order, at most one holds it."""
+    path, plans, got = str(tmp_path / "claims"), {}, {}
+    for run in "ab":
+        plan = contact.plan_contacts(batch(spark, message(0)), spark.createDataFrame([], CONTACT_LOG), live=True)
+        plans[run] = tables.store(plan, str(tmp_path / run))
+    for step in order:
+        run = step.lower()
+        if step == run:
+            claims._write(plans[run], path, run, "wanted")
+        else:
+            got[run] = planned(contact.yield_addresses(plans[run], claims.claimed(spark, path, without=run)))
+    assert sum(bool(x) for x in got.values()) <= 1
+    assert any(got.values()) == (order == "aAbB")
+
+
+def test_one_hot_address(spark, tmp_path):
+    base = str(tmp_path)
+    rows = [message(i, email="agency@b.co" if i % 3 else f"u{i}@b.co") for i in range(60)]
+    stages.plan_run(spark, base, "a", batch(spark, *rows[:20]), live=True)
+    plan = stages.plan_run(spark, base, "b", batch(spark, *rows), live=True)
+    assert planned(plan) == {f"u{i}@b.co" for i in range(21, 60, 3)}
+    assert plan.count() == 60
