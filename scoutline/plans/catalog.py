@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +21,7 @@ from scoutline.plans.flagship import AS_OF, TEST_SETTINGS, evaluated
 from scoutline.schemas import CONTACT_LOG, CREATORS, DM_QUEUE, MESSAGES, RAW_CHANNELS
 from scoutline.session import configure, shared_dir
 from scoutline.sources import landing, tables
-from scoutline.streaming import jobs
+from scoutline.streaming import attempts, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -813,6 +813,35 @@ def stream_contact(spark, sf_dir):
     )
 
 
+@query
+def stream_outcomes(spark, sf_dir):
+    """Messages and delivery outcomes in three landings: a third of the messages lands later, outcomes are told
+    twice, come after the deadline of two days, or never."""
+    base = shared_dir(spark, "stream-attempts")
+    log, batch = V.contact_log(spark, sf_dir), V.messages(spark, sf_dir)
+    early = batch.where(F.col("pos") % 3 != 0)
+    plan = _stored(spark, contact.plan_contacts(early, log, live=True), "plan")
+    told = V.outcomes(plan).join(plan.select("pos", "email"), "pos").select("email", "pos", "error", "told_at")
+    last = plan.where((F.col("status") == contact.PLANNED) & (F.col("pos") % 22 == 0)).select(
+        "email", "pos", F.lit(None).cast("string").alias("error"), F.lit("2024-02-01 11:00:00").cast("timestamp").alias("told_at")
+    )
+    landings = (
+        ("2024-02-01 08:00:00", early, told.limit(0)),
+        ("2024-02-01 12:00:00", batch.where(F.col("pos") % 3 == 0), told),
+        # The outcomes of the second landing are told once more.
+        ("2024-02-05 00:00:00", batch.limit(0), last.unionByName(told)),
+    )
+    for at, messages, outcomes in landings:
+        when = F.lit(at).cast("timestamp")
+        messages, outcomes = (x.withColumn("landed_at", when) for x in (messages, outcomes))
+        messages.write.mode("append").parquet(f"{base}/messages")
+        outcomes.write.mode("append").parquet(f"{base}/outcomes")
+        read = (spark.readStream.schema(x.schema).parquet(f"{base}/{n}") for x, n in ((messages, "messages"), (outcomes, "outcomes")))
+        changes = attempts.attempt_changes(*read, log, timedelta(days=2))
+        attempts.run_attempts(changes, f"{base}/attempts", f"{base}/state").awaitTermination()
+    return attempts.attempts(spark, f"{base}/attempts")
+
+
 @query
 def stream_quota(spark, sf_dir):
     out, checkpoint = shared_dir(spark, "stream-quota"), shared_dir(spark, "stream-state")

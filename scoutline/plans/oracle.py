@@ -727,6 +727,18 @@ def oracle_sql() -> dict[str, str]:
                 case when nth > 1 or seen then 'SKIPPED_DUPLICATE' else 'SIMULATED' end as status
                 from plan""",
         ),
+        "stream_outcomes": _with(
+            _MESSAGES,
+            query="""select email_key, pos,
+                case when seen_live or turn > 1 then 'SKIPPED_DUPLICATE'
+                     when pos % 3 = 0 or pos % 22 = 11 then 'FAILED' when pos % 11 = 0 then 'SENT_TO_TEST_INBOX'
+                     when pos % 13 = 0 then 'FAILED' else 'SENT_TO_TEST_INBOX' end as status,
+                case when seen_live or turn > 1 then ''
+                     when pos % 3 = 0 or pos % 22 = 11 then 'no outcome before the deadline' when pos % 11 = 0 then ''
+                     when pos % 13 = 0 then 'mailbox full' else '' end as error
+                from (select *, row_number() over (partition by email_key order by pos % 3 = 0, pos) as turn
+                      from plan) p""",
+        ),
         "stream_quota": f"""select {_stamp("date_trunc('day', ts)")} as day, count(*) as requests,
             cast(sum(case when event_id % 2 = 0 then 100 else 1 end) as bigint) as units
             from events group by date_trunc('day', ts)""",
