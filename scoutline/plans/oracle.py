@@ -740,7 +740,8 @@ def oracle_sql() -> dict[str, str]:
                       from plan) p""",
         ),
         "stream_quota": f"""select {_stamp("date_trunc('day', ts)")} as day, count(*) as requests,
-            cast(sum(case when event_id % 2 = 0 then 100 else 1 end) as bigint) as units
+            cast(sum(case when event_id % 2 = 0 then 100 else 1 end) as bigint) as units,
+            sum(case when event_id % 2 = 0 then 100 else 1 end) > 10000 as over_quota, true as closed
             from events group by date_trunc('day', ts)""",
         "stream_dm_queue": _with(
             _MESSAGES,

@@ -111,8 +111,9 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(events: DataFrame) -> DataFrame:
-    """One API request per event; even ones are searches."""
+    """One API request per event; even ones are searches. Other columns than those of events stay."""
     return events.select(
+        *[c for c in events.columns if c not in ("event_id", "ts", "user_id", "event_type", "value")],
         F.when(F.col("event_id") % 2 == 0, "search").otherwise("list").alias("endpoint"),
         F.col("ts").cast("timestamp").alias("requested_at"),
     )

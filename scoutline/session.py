@@ -49,3 +49,10 @@ def drop_dir(spark: SparkSession, path: str) -> bool:
     """Delete a folder made by :func:`shared_dir` once nothing reads it any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(rows: DataFrame) -> None:
+    """Delete the folder of a table made by :func:`stored` once nothing reads it any more."""
+    files = rows.inputFiles()
+    if files:
+        drop_dir(rows.sparkSession, files[0].rpartition("/")[0])
