@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +17,7 @@ from scoutline.fixed import (
 from scoutline.functions.text import present
 from scoutline.functions.values import json_string
 from scoutline.operators import enrich
-from scoutline.operators.ordering import running_before
+from scoutline.operators.ordering import running_before, unbroken
 
 # A hit's place in discovery order is packed into one bigint, so that "first" is a plain min:
 # chain (keyword, type) | page | item. A value that does not fit ends the job.
@@ -118,55 +116,82 @@ def channel_requests(raw_channels: DataFrame, landed: DataFrame | None = None) -
 
 
 def creator_requests(
-    channels: DataFrame, playlist_items: DataFrame, enrichment: Enrichment
+    channels: DataFrame, playlist_items: DataFrame, enrichment: Enrichment, pages: DataFrame | None = None
 ) -> DataFrame:
-    """The uploads request of each creator, and the video request once its uploads are known.
+    """The uploads requests of each creator, and the video requests once its uploads are known.
 
-    Repeated channel records are one creator. Neither request can name more than a page of videos.
+    A request names at most a page of videos. Where more are wanted, the next page of uploads is asked for by the
+    token of the last one in ``pages`` (playlist pages as landed), and videos by several requests. Repeated
+    channel records are one creator.
     """
-    per_request = enrichment.recent_videos
-    if per_request > API_PAGE_LIMIT:
-        raise ValueError(f"one request returns at most {API_PAGE_LIMIT} videos")
+    wanted = enrichment.recent_videos
     known = (
         enrich.recent_uploads(playlist_items, enrichment)
         .groupBy("playlist_id")
         .agg(F.array_sort(F.collect_list(F.struct("item_idx", "video_id"))).alias("items"))
         .select(
             "playlist_id",
-            F.array_join(F.transform("items", lambda x: x["video_id"]), ",").alias("video_ids"),
+            F.transform(
+                F.sequence(F.lit(0), F.floor((F.size("items") - 1) / API_PAGE_LIMIT).cast("int")),
+                lambda i: F.array_join(
+                    F.transform(F.slice("items", i * API_PAGE_LIMIT + 1, API_PAGE_LIMIT), lambda x: x["video_id"]), ","
+                ),
+            ).alias("video_ids"),
         )
     )
     uploads = enrich.latest_records(channels).where(present(F.col("uploads_playlist")).isNotNull()).select(
         "channel_id", F.col("uploads_playlist").alias("playlist_id")
     )
-    plan = uploads.join(known, "playlist_id", "left").select(
-        "channel_id",
-        F.explode(
-            F.array(
-                F.struct(
-                    F.lit("playlistItems").alias("endpoint"),
-                    request_key(
-                        endpoint=F.lit('"playlistItems"'),
-                        part=F.lit('"contentDetails"'),
-                        playlistId=json_string(F.col("playlist_id")),
-                        maxResults=F.lit(str(per_request)),
-                    ).alias("request_key"),
-                ),
-                F.when(
-                    F.col("video_ids").isNotNull(),
-                    F.struct(
-                        F.lit("videos").alias("endpoint"),
-                        request_key(
-                            endpoint=F.lit('"videos"'),
-                            part=F.lit('"snippet,statistics"'),
-                            id=json_string(F.col("video_ids")),
-                        ).alias("request_key"),
-                    ),
-                ),
-            )
-        ).alias("request"),
+    if pages is None:
+        asked = uploads.withColumn("page_token", F.lit(None).cast("string"))
+    else:
+        asked = uploads.join(_next_pages(pages, wanted), "playlist_id", "left")
+
+    def uploads_request(token: Column) -> Column:
+        return F.struct(
+            F.lit("playlistItems").alias("endpoint"),
+            request_key(
+                endpoint=F.lit('"playlistItems"'),
+                part=F.lit('"contentDetails"'),
+                playlistId=json_string(F.col("playlist_id")),
+                maxResults=F.lit(str(min(wanted, API_PAGE_LIMIT))),
+                pageToken=token,
+            ).alias("request_key"),
+        )
+
+    of_videos = F.transform(
+        F.coalesce("video_ids", F.array().cast("array<string>")),
+        lambda ids: F.struct(
+            F.lit("videos").alias("endpoint"),
+            request_key(
+                endpoint=F.lit('"videos"'), part=F.lit('"snippet,statistics"'), id=json_string(ids)
+            ).alias("request_key"),
+        ),
+    )
+    of_uploads = F.array_compact(
+        F.array(
+            uploads_request(F.lit(None).cast("string")),
+            F.when(F.col("page_token").isNotNull(), uploads_request(json_string(F.col("page_token")))),
+        )
+    )
+    plan = asked.join(known, "playlist_id", "left")
+    return plan.select("channel_id", F.explode(F.concat(of_uploads, of_videos)).alias("request")).select(
+        "channel_id", "request.*"
+    )
+
+
+def _next_pages(pages: DataFrame, wanted: int) -> DataFrame:
+    """(playlist_id, page_token) of newest listings whose readable pages hold fewer entries than wanted and go on."""
+    narrow = enrich.readable_listings(pages).select(
+        "playlist_id", "fetched_at", "page_idx", present(F.col("next_page_token")).alias("token"), F.size("videos").alias("n")
+    )
+    listings = narrow.groupBy("playlist_id", "fetched_at").agg(
+        F.max_by("token", "page_idx").alias("token"), F.sum("n").alias("n")
+    )
+    newest = listings.groupBy("playlist_id").agg(F.max_by(F.struct("token", "n"), F.struct("fetched_at")).alias("last"))
+    return newest.where((F.col("last.n") < wanted) & F.col("last.token").isNotNull()).select(
+        "playlist_id", F.col("last.token").alias("page_token")
     )
-    return plan.where(F.col("request").isNotNull()).select("channel_id", "request.*")
 
 
 def pending(plan: DataFrame, landed: DataFrame) -> DataFrame:
@@ -182,23 +207,10 @@ def readable_pages(pages: DataFrame) -> DataFrame:
     """Keep the pages of each chain up to its end; other chains go on.
 
     A chain ends before a failed page, before a page whose predecessor is missing, and after a page
-    without a token for the next one.
+    without a token for the next one. ``pages`` is read twice, so give a stored table.
     """
-    chain = ["keyword_idx", "type_idx"]
-    places = pages.select(*chain, "page_idx")
-    followed = places.select(*chain, (F.col("page_idx") + 1).alias("page_idx"))
-    gaps = places.where("page_idx > 0").join(followed, [*chain, "page_idx"], "left_anti")
-    ends = [
-        pages.where(F.col("status") == "error").select(*chain, F.col("page_idx").alias("end")),
-        gaps.select(*chain, F.col("page_idx").alias("end")),
-        pages.where(present(F.col("next_page_token")).isNull()).select(*chain, (F.col("page_idx") + 1).alias("end")),
-    ]
-    first_end = reduce(DataFrame.unionByName, ends).groupBy(*chain).agg(F.min("end").alias("end"))
-    return (
-        pages.join(first_end, chain, "left")
-        .where(F.col("end").isNull() | (F.col("page_idx") < F.col("end")))
-        .drop("end")
-    )
+    no_next = present(F.col("next_page_token")).isNull()
+    return unbroken(pages, ["keyword_idx", "type_idx"], "page_idx", F.col("status") == "error", no_next)
 
 
 def explode_hits(pages: DataFrame) -> DataFrame:

@@ -25,10 +25,12 @@ from scoutline.functions.text import (
     profile_links,
 )
 from scoutline.functions.values import bound, to_count, to_timestamp
-from scoutline.operators.ordering import position
+from scoutline.operators.ordering import position, unbroken
 from scoutline.schemas import CREATORS
 
 HASH_DIGITS = 3
+# A page of a listing holds less than 2^10 entries.
+PAGE_ITEM_BITS = 10
 
 
 def id_batches(
@@ -97,6 +99,26 @@ def latest_records(channels: DataFrame) -> DataFrame:
     )
 
 
+def readable_listings(pages: DataFrame) -> DataFrame:
+    """Pages of uploads playlists up to the end of each listing.
+
+    A listing is (playlist_id, fetched_at): its pages carry the time at which it was begun. It ends as a chain of
+    search pages does. ``pages`` is read twice, so give a stored table.
+    """
+    no_next = present(F.col("next_page_token")).isNull()
+    return unbroken(pages, ["playlist_id", "fetched_at"], "page_idx", F.col("status") == "error", no_next)
+
+
+def listed_videos(pages: DataFrame) -> DataFrame:
+    """One row per entry of the readable pages; ``item_idx`` keeps the order over all pages of a listing."""
+    first = F.shiftleft(F.col("page_idx").cast("bigint"), PAGE_ITEM_BITS)
+    return (
+        readable_listings(pages)
+        .select("playlist_id", "fetched_at", first.alias("first"), F.posexplode("videos").alias("place", "video_id"))
+        .select("playlist_id", (F.col("first") + F.col("place")).alias("item_idx"), "video_id", "fetched_at")
+    )
+
+
 def recent_uploads(playlist_items: DataFrame, enrichment: Enrichment) -> DataFrame:
     """The first N entries of each uploads playlist as it was landed last, in playlist order.
 

@@ -1,4 +1,4 @@
-"""Running counts over ordered blocks, so that no window ever sees all rows at once."""
+"""Running counts and unbroken runs over ordered blocks, so that no window ever sees all rows at once."""
 
 from __future__ import annotations
 
@@ -58,3 +58,50 @@ def position(
         .withColumn(name, F.col("before") + F.col("in_block") - 1)
         .drop("before", "in_block")
     )
+
+
+def chain_ends(
+    rows: DataFrame, chain: Sequence[str], place: str, broken: Column, last: Column, block_bits: int = 14
+) -> DataFrame:
+    """The first place of each chain that is no longer part of it: (chain columns, end), NULL if all of it is whole.
+
+    A chain counts its places from 0. It ends before a ``broken`` row, before a place whose predecessor is missing, and
+    after a ``last`` row. Gaps are found by one window over blocks of 2^block_bits places, so that one long chain
+    is many partitions; what is left to one task is a row per block of a chain. Rows may repeat.
+    """
+    block = F.shiftright(F.col(place).cast("bigint"), block_bits)
+    narrow = rows.where(F.col(place).isNotNull()).select(
+        *chain, block.alias("block"), F.col(place).alias("place"), broken.alias("broken"), last.alias("last")
+    )
+    before = F.lag("place").over(Window.partitionBy(*chain, "block").orderBy("place"))
+    own = F.least(
+        F.when(F.col("broken"), F.col("place")),
+        F.when(F.col("last"), F.col("place") + 1),
+        F.when(F.col("place") - before > 1, F.col("place")),
+    )
+    blocks = (
+        narrow.withColumn("own", own)
+        .groupBy(*chain, "block")
+        .agg(F.min("place").alias("low"), F.max("place").alias("high"), F.min("own").alias("own"))
+    )
+    reached = F.coalesce(F.lag("high").over(Window.partitionBy(*chain).orderBy("block")), F.lit(-1))
+    gap = F.when(F.col("low") - reached > 1, F.col("low"))
+    return blocks.withColumn("end", F.least("own", gap)).groupBy(*chain).agg(F.min("end").alias("end"))
+
+
+def unbroken(
+    rows: DataFrame, chain: Sequence[str], place: str, broken: Column, last: Column, block_bits: int = 14
+) -> DataFrame:
+    """The rows of each chain up to its end, see :func:`chain_ends`; rows without a place are left out.
+
+    ``rows`` is read twice, once for the narrow columns that decide, so give a stored table.
+    """
+    ends = chain_ends(rows, chain, place, broken, last, block_bits)
+    ends = ends.select(*[F.col(c).alias(f"_{c}") for c in chain], "end")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in chain]
+    return (
+        rows.join(ends, same)
+        .where(F.col("end").isNull() | (F.col(place) < F.col("end")))
+        .where(F.col(place).isNotNull())
+        .drop("end", *[f"_{c}" for c in chain])
+    )

@@ -32,6 +32,12 @@ def _report(counted: DataFrame, checks: dict[str, tuple[Column, Column]]) -> Dat
     return counted.select(F.inline(rows))
 
 
+def landing_checks(torn_lines: DataFrame) -> DataFrame:
+    """Whether every landed line is a whole JSON value; of the rows that ``landing.torn_lines`` gives, by path."""
+    counted = torn_lines.agg(F.sum("torn").alias("torn"), F.sum("lines").alias("lines"))
+    return _report(counted, {"landed lines whole": (F.coalesce("torn", F.lit(0)), F.coalesce("lines", F.lit(0)))})
+
+
 def record_checks(raw_channels: DataFrame, creators: DataFrame) -> DataFrame:
     """Volume, provenance and verdict checks over the evaluated creators, in one pass each."""
     raw = raw_channels.agg(F.count("*").alias("raw_total"))

@@ -19,7 +19,7 @@ from scoutline.plans import stages
 from scoutline.plans import views as V
 from scoutline.plans.flagship import AS_OF, TEST_SETTINGS, evaluated
 from scoutline.schemas import CONTACT_LOG, CREATORS, DM_QUEUE, MESSAGES, RAW_CHANNELS
-from scoutline.session import configure, shared_dir
+from scoutline.session import configure, shared_dir, stored
 from scoutline.sources import landing, tables
 from scoutline.streaming import attempts, jobs
 
@@ -191,9 +191,8 @@ def _line(torn: Column) -> Column:
     return F.when(torn, half).otherwise(text).alias("value")
 
 
-@query
-def landed_hits(spark, sf_dir):
-    """Pages landed as nested JSON responses, one of them torn, read back, cut at errors and exploded."""
+def _land_pages(spark: SparkSession, sf_dir: str) -> str:
+    """Search pages landed as nested JSON responses, one of them torn; returns where."""
     path = shared_dir(spark, "search-pages")
     torn = (F.col("keyword_idx") == 0) & (F.col("type_idx") == 1) & (F.col("page_idx") == 30)
     item = F.transform(
@@ -211,8 +210,14 @@ def landed_hits(spark, sf_dir):
         "keyword_idx", "keyword", "type_idx", "result_type", "page_idx", "status", "fetched_at",
         F.struct(item.alias("items"), F.col("next_page_token").alias("nextPageToken")).alias("response"),
     ).select(_line(torn)).write.text(path)
-    pages = discover.readable_pages(landing.search_pages(spark, path))
-    return _hit_columns(discover.explode_hits(pages))
+    return path
+
+
+@query
+def landed_hits(spark, sf_dir):
+    """Landed pages read back once, cut at errors and exploded."""
+    pages = stored(landing.search_pages(spark, _land_pages(spark, sf_dir)), "pages")
+    return _hit_columns(discover.explode_hits(discover.readable_pages(pages)))
 
 
 @query
@@ -440,30 +445,50 @@ def landed_creators(spark, sf_dir):
     """Channels, playlists and videos landed as nested JSON responses, read back and joined."""
     base = shared_dir(spark, "landing")
     channels = V.channels(spark, sf_dir)
-    whole_country = F.when(F.col("invalid_field").isNull(), F.col("country"))
     snippet = F.struct(
-        "title", "description", whole_country.alias("country"),
+        "title", "description", "country",
         F.col("default_language").alias("defaultLanguage"),
         F.col("default_audio_language").alias("defaultAudioLanguage"),
     )
-    playlists = F.struct(F.struct(F.col("uploads_playlist").alias("uploads")).alias("relatedPlaylists"))
+    number = F.substring("channel_id", 3, 20).cast("bigint")
+    related = F.struct(F.col("uploads_playlist").alias("uploads"))
+    # Of the records that break, half have a null country, half a null where the playlists should be.
+    no_playlists = F.col("invalid_field").isNotNull() & (number % 2 == 0)
+    whole_country = F.when(F.col("invalid_field").isNull() | no_playlists, F.col("country"))
+    snippet = snippet.withField("country", whole_country)
+    playlists = F.struct(F.when(~no_playlists, related).alias("relatedPlaylists"))
     landed = channels.select(
         "resp_pos", F.col("channel_id").alias("id"), snippet.alias("snippet"),
         F.struct(F.col("subscriber_count").alias("subscriberCount")).alias("statistics"),
         playlists.alias("contentDetails"),
     )
-    # Nulls are written out, so an explicit null country breaks its record.
+    # Nulls are written out, so an explicit null breaks its record.
     landed.write.option("ignoreNullFields", "false").json(f"{base}/channels")
+    # Pages of four entries; every third listing has a stale page behind a gap, every seventh a failed one.
     listed = V.playlist_items(spark, sf_dir).groupBy("playlist_id", "fetched_at").agg(
         F.array_sort(F.collect_list(F.struct("item_idx", "video_id"))).alias("items")
     )
+    number = F.substring("playlist_id", 3, 20).cast("bigint")
+    last = F.floor((F.size("items") - 1) / 4).cast("int")
+    entry = lambda i: F.struct(F.struct(i["video_id"].alias("videoId")).alias("contentDetails"))
+    stale = F.array(F.struct(F.struct(F.lit("V0").alias("videoId")).alias("contentDetails")))
+
+    def page(place: Column, items: Column, token: Column, status: str) -> Column:
+        return F.struct(
+            place.alias("page_idx"), F.lit(status).alias("status"), token.alias("nextPageToken"), items.alias("items")
+        )
+
+    none = F.lit(None).cast("string")
+    whole_pages = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda i: page(i, F.transform(F.slice("items", i * 4 + 1, 4), entry), F.when(i < last, F.lit("t")), "ok"),
+    )
+    more = F.array(
+        F.when(number % 3 == 0, page(last + 2, stale, none, "ok")),
+        F.when((number % 7 == 0) & (number % 3 != 0), page(last + 1, stale, none, "error")),
+    )
     listed.select(
-        "playlist_id",
-        "fetched_at",
-        F.transform(
-            "items",
-            lambda i: F.struct(F.struct(i["video_id"].alias("videoId")).alias("contentDetails")),
-        ).alias("items"),
+        "playlist_id", "fetched_at", F.inline(F.concat(whole_pages, F.array_compact(more)))
     ).write.json(f"{base}/playlist_items")
     V.videos(spark, sf_dir).select(
         "resp_idx", F.col("video_id").alias("id"), "playlist_id", "fetched_at",
@@ -761,7 +786,7 @@ def tracking(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
-    """All checks over stored tables in which some rows are wrong: a placeholder in messages, a repeated
+    """All checks over stored tables in which some rows are wrong: a torn line, a placeholder in messages, a repeated
     send, a made-up address, lost creators."""
     raw = V.raw_channels(spark, sf_dir)
     judged = _stored(spark, _evaluated(spark, sf_dir), "creators")
@@ -778,6 +803,7 @@ def quality_report(spark, sf_dir):
     log = contact.log_rows(contact.merge_outcomes(plan, V.outcomes(plan)), RUN_AT)
     again = log.where(F.col("influencer_id").cast("bigint") % 17 == 0)
     return quality.quality_report(
+        quality.landing_checks(landing.torn_lines(spark, _land_pages(spark, sf_dir))),
         quality.record_checks(raw, judged),
         quality.message_checks(marked, TEST_SETTINGS.drafts, TEST_SETTINGS.brand),
         quality.log_checks(log.unionByName(again)),

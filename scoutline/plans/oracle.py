@@ -686,9 +686,11 @@ def oracle_sql() -> dict[str, str]:
                 group by rollup (day, status)""",
         ),
         "quality_report": _with(
-            *_PARTS, _judged(None), _ATTEMPTS, _READY, _MESSAGES,
+            *_PARTS, _judged(None), _ATTEMPTS, _READY, _MESSAGES, _HITS, _LISTED,
             query="""select *, failed_rows = 0 as ok from (
-                select 'enough raw records' as check_name,
+                select 'landed lines whole' as check_name,
+                  count(*) filter (k = 0 and y = 1 and pg = 30) as failed_rows, count(*) as total_rows from places
+                union all select 'enough raw records' as check_name,
                   greatest(0, 80 - count(*)) as failed_rows, count(*) as total_rows from customer
                 union all select 'enough records', greatest(0, 50 - count(*)), count(*) from judged
                 union all select 'source and time present',

@@ -40,9 +40,9 @@ APPROVALS = table_schema(draft_key=TEXT)
 
 def find(spark: SparkSession, base: str, settings: Settings) -> DataFrame:
     """Landed search pages to raw channels; with a target, up to the page that reaches it."""
-    pages = landing.search_pages(spark, f"{base}/landing/search_pages")
+    # The landed pages are parsed once; all that follows reads the stored ones.
+    pages = stored(landing.search_pages(spark, f"{base}/landing/search_pages"), "search-pages")
     hits = discover.explode_hits(discover.readable_pages(pages))
-    # Stored once, so that neither the cap nor a later stage parses the landed pages again.
     found = stored(discover.first_seen(hits), "first-seen")
     if settings.discovery.target is not None:
         found = discover.cap_pages(found, settings.discovery.target)

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoutline.functions.text import present
+from scoutline.operators.enrich import listed_videos
+from scoutline.session import stored
 
 _PAGES = (
     "keyword_idx int, keyword string, type_idx int, result_type string, page_idx int, "
@@ -22,11 +24,10 @@ _PAGES = (
 )
 _CHANNELS = (
     "resp_pos bigint, id string, fetched_at timestamp, snippet variant, "
-    "statistics variant, "
-    "contentDetails struct<relatedPlaylists struct<uploads string>>"
+    "statistics variant, contentDetails variant"
 )
 _PLAYLISTS = (
-    "playlist_id string, fetched_at timestamp, "
+    "playlist_id string, fetched_at timestamp, page_idx int, status string, nextPageToken string, "
     "items array<struct<contentDetails struct<videoId string>>>"
 )
 _VIDEOS = (
@@ -75,7 +76,7 @@ def channels(spark: SparkSession, path: str) -> DataFrame:
             _text("defaultLanguage").alias("default_language"),
             _text("defaultAudioLanguage").alias("default_audio_language"),
             _text("subscriberCount", "statistics").alias("subscriber_count"),
-            F.col("contentDetails.relatedPlaylists.uploads").alias("uploads_playlist"),
+            F.try_variant_get("contentDetails", "$.relatedPlaylists.uploads", "string").alias("uploads_playlist"),
             F.coalesce(
                 _no_object("snippet"), _no_object("statistics"), _broken("title", "name"), _broken("description"), _broken("country"),
                 _broken("defaultLanguage", "language", null_ok=True),
@@ -83,29 +84,46 @@ def channels(spark: SparkSession, path: str) -> DataFrame:
                     present(_text("defaultLanguage")).isNull(),
                     _broken("defaultAudioLanguage", "language", null_ok=True),
                 ),
+                _no_object("contentDetails"),
+                _no_object("contentDetails", "relatedPlaylists"),
+                _broken("relatedPlaylists.uploads", "uploads", null_ok=True, part="contentDetails"),
             ).alias("invalid_field"),
             "fetched_at",
         )
     )
 
 
-def playlist_items(spark: SparkSession, path: str) -> DataFrame:
-    """Uploads playlists, one row per entry."""
+def playlist_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Pages of uploads playlists, one JSON object per page.
+
+    ``fetched_at`` is the time at which the listing was begun, the same on all its pages. A record without
+    ``page_idx`` is the first page.
+    """
+    videos = F.transform(
+        F.coalesce("items", F.expr("array()")), lambda i: i["contentDetails"]["videoId"]
+    )
     return (
         spark.read.schema(_PLAYLISTS)
         .json(path)
-        .select("playlist_id", "fetched_at", F.posexplode("items").alias("item_idx", "item"))
         .select(
             "playlist_id",
-            F.col("item_idx").cast("bigint").alias("item_idx"),
-            F.col("item.contentDetails.videoId").alias("video_id"),
             "fetched_at",
+            F.coalesce("page_idx", F.lit(0)).alias("page_idx"),
+            F.coalesce("status", F.lit("ok")).alias("status"),
+            F.col("nextPageToken").alias("next_page_token"),
+            videos.alias("videos"),
         )
     )
 
 
+def playlist_items(spark: SparkSession, path: str) -> DataFrame:
+    """Uploads playlists, one row per entry of their readable pages. The landed pages are read once and stored."""
+    return listed_videos(stored(playlist_pages(spark, path), "playlist-pages"))
+
+
 def videos(spark: SparkSession, path: str) -> DataFrame:
-    """Video records with counts as text, each under the playlist it was asked for."""
+    """Video records with counts as text, each under the playlist it was asked for. ``resp_idx`` counts over all
+    requests for that playlist."""
     tags = F.try_variant_get("snippet", "$.tags", "array<string>")
     return (
         spark.read.schema(_VIDEOS)
@@ -142,10 +160,11 @@ def _text(field: str, part: str = "snippet") -> Column:
     return F.try_variant_get(part, f"$.{field}", "string")
 
 
-def _no_object(part: str) -> Column:
-    """Name of a part that is present but an explicit null or no object."""
-    wrong = ~F.startswith(F.schema_of_variant(part), F.lit("OBJECT"))
-    return F.when(F.coalesce(wrong, F.lit(False)), F.lit(part))
+def _no_object(part: str, inside: str | None = None) -> Column:
+    """Name of a part, or of a part inside it, that is present but an explicit null or no object."""
+    value = F.try_variant_get(part, f"$.{inside}", "variant") if inside else F.col(part)
+    wrong = ~F.startswith(F.schema_of_variant(value), F.lit("OBJECT"))
+    return F.when(F.coalesce(wrong, F.lit(False)), F.lit(inside or part))
 
 
 def _no_text_list(field: str) -> Column:
@@ -155,9 +174,9 @@ def _no_text_list(field: str) -> Column:
     return F.when(wrong, F.lit(field))
 
 
-def _broken(field: str, name: str | None = None, *, null_ok: bool = False) -> Column:
+def _broken(field: str, name: str | None = None, *, null_ok: bool = False, part: str = "snippet") -> Column:
     """Name of a field that is present but not text."""
-    value = F.try_variant_get("snippet", f"$.{field}", "variant")
+    value = F.try_variant_get(part, f"$.{field}", "variant")
     allowed = ["STRING", "VOID"] if null_ok else ["STRING"]
     wrong = value.isNotNull() & ~F.schema_of_variant(value).isin(*allowed)
     return F.when(wrong, F.lit(name or field))

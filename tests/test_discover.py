@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from scoutline.config import Discovery, Enrichment
-from scoutline.operators import discover
+from scoutline.operators import discover, enrich, ordering
 from scoutline.schemas import CHANNELS, PLAYLIST_ITEMS, SEARCH_PAGES
+from scoutline.session import stored
+from scoutline.sources import landing
 
 HITS = (
     "keyword_idx int, keyword string, type_idx int, result_type string, page_idx int, "
@@ -54,6 +56,44 @@ def test_ends_of_chains(spark):
         (0, 0, 0), (0, 1, 0), (0, 1, 0), (1, 1, 0), (1, 1, 1), (1, 1, 2), (2, 0, 0), (2, 0, 1), (2, 1, 0), (2, 1, 1), (2, 1, 2)]
 
 
+def loop_ends(rows):
+    """First place of a chain that is not whole: rows are (place, broken, last)."""
+    for place in range(max(r[0] for r in rows) + 2):
+        here = [r for r in rows if r[0] == place]
+        if not here or any(r[1] for r in here):
+            return place
+        if any(r[2] for r in here):
+            return place + 1
+
+
+@pytest.mark.parametrize("block_bits", [0, 2, 14])
+def test_ends_of_random_chains(spark, block_bits):
+    """Gaps and ends at any place of a block, repeated rows, NULL chains and rows without a place."""
+    rng, rows = random.Random(block_bits), []
+    for chain in [None, *range(60)]:
+        places = [p for p in range(rng.randint(1, 25)) if rng.random() < 0.95] or [0]
+        rows += [(chain, p, rng.random() < 0.03, rng.random() < 0.03) for p in places for _ in range(rng.choice([1, 1, 1, 2]))]
+    df = spark.createDataFrame([*rows, (3, None, True, True)], "chain int, place int, broken boolean, last boolean")
+    by_chain = {c: [r[1:] for r in rows if r[0] == c] for c in {r[0] for r in rows}}
+    kept = ordering.unbroken(df, ["chain"], "place", F.col("broken"), F.col("last"), block_bits).collect()
+    assert sorted(map(str, kept)) == sorted(str(r) for r in df.collect() if r.place is not None and r.place < loop_ends(by_chain[r.chain]))
+
+
+def test_landed_pages_are_parsed_once(spark, tmp_path):
+    """The plan of the hits reads no JSON: the stored pages twice, of which once only what decides the ends."""
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    (folder / "a.json").write_text(json.dumps({"keyword_idx": 0, "keyword": "k", "type_idx": 0, "result_type": "channel", "page_idx": 0,
+                                               "response": {"items": [{"id": {"channelId": "UC1"}}]}}))
+    pages = landing.search_pages(spark, str(folder))
+    assert pages._jdf.queryExecution().executedPlan().toString().count("FileScan json") == 1
+    hits = discover.explode_hits(discover.readable_pages(stored(pages, "pages")))
+    assert hits.count() == 1
+    plan = hits._jdf.queryExecution().sparkPlan().toString()
+    assert "FileScan json" not in plan and plan.count("FileScan parquet") == 2
+    assert sum("items" in line for line in plan.split("\n") if "FileScan" in line) == 1
+
+
 def loop_cap(hits, target):
     known = set()
     for key in sorted({h[:3] for h in hits}):
@@ -138,10 +178,30 @@ def test_landed_channels_keep_their_requests(spark):
     assert discover.channel_requests(raw, raw).count() == 0
 
 
-def test_more_videos_than_a_request_returns_are_refused(spark):
-    channels, items = spark.createDataFrame([], CHANNELS), spark.createDataFrame([], PLAYLIST_ITEMS)
-    with pytest.raises(ValueError, match="at most 50"):
-        discover.creator_requests(channels, items, Enrichment(recent_videos=60))
+def pages_of(spark, *rows):
+    schema = "playlist_id string, fetched_at timestamp, page_idx int, status string, next_page_token string, videos array<string>"
+    return spark.createDataFrame(list(rows), schema)
+
+
+def test_more_videos_than_a_request_returns(spark):
+    """80 of 120 uploads: two pages of them are asked for, the second by its token, and two batches of videos."""
+    ids = [f"V{i:03d}" for i in range(120)]
+    key = lambda **p: hashlib.sha256(json.dumps(p, sort_keys=True).encode()).hexdigest()[:24]
+    uploads = dict(endpoint="playlistItems", part="contentDetails", playlistId="UU1", maxResults=50)
+    videos = lambda x: key(endpoint="videos", part="snippet,statistics", id=",".join(x))
+    channels = spark.createDataFrame([("UC1", 0, *[None] * 6, "UU1", None, None)], CHANNELS)
+    first = ("UU1", None, 0, "ok", "p1", ids[:50])
+    second = ("UU1", None, 1, "ok", "p2", ids[50:100])
+    steps = (
+        ((), {key(**uploads)}),
+        ((first,), {key(**uploads), key(**uploads, pageToken="p1"), videos(ids[:50])}),
+        # 100 entries hold the 80 that are wanted, so the third page is not asked for.
+        ((first, second), {key(**uploads), videos(ids[:50]), videos(ids[50:80])}),
+    )
+    for landed, want in steps:
+        pages = pages_of(spark, *landed)
+        plan = discover.creator_requests(channels, enrich.listed_videos(pages), Enrichment(recent_videos=80), pages)
+        assert {r["request_key"] for r in plan.collect()} == want
 
 
 def test_yield_credits_first_hit(spark):

@@ -4,9 +4,9 @@ from types import SimpleNamespace
 
 import pytest
 
-from scoutline.operators import discover, enrich
-from scoutline.config import Rules, Settings
-from scoutline.schemas import CREATORS, MESSAGES, RAW_CHANNELS, SEARCH_PAGES
+from scoutline.operators import discover, enrich, quality
+from scoutline.config import Enrichment, Rules, Settings
+from scoutline.schemas import CREATORS, MESSAGES, PLAYLIST_ITEMS, RAW_CHANNELS, SEARCH_PAGES, VIDEOS
 from scoutline.session import drop_dir, shared_dir, stored
 from scoutline.sources import landing, tables
 
@@ -56,6 +56,10 @@ def test_torn_lines_are_failed_pages_and_counted(spark, tmp_path):
     assert sorted(r["page_idx"] for r in kept) == [0, 1]
     assert sorted(r["channel_id"] for r in discover.explode_hits(discover.readable_pages(pages)).collect()) == ["UC0", "UC1"]
     assert tuple(landing.torn_lines(spark, path).first()) == (1, 4)
+    report = quality.quality_report(quality.landing_checks(landing.torn_lines(spark, path))).first()
+    assert tuple(report) == ("landed lines whole", 1, 4, False)
+    both = landing.torn_lines(spark, path).unionByName(spark.createDataFrame([(0, 0)], "torn long, lines long"))
+    assert quality.landing_checks(both).first()["total_rows"] == 4
 
 
 def test_null_parts_and_wrong_types_break_a_record(spark, tmp_path):
@@ -78,6 +82,50 @@ def test_null_parts_and_wrong_types_break_a_record(spark, tmp_path):
     assert rows == {"none": "statistics", "sound": "language", "unused": None}
 
 
+def test_content_details_that_break_a_record(spark, tmp_path):
+    """Wrong types where the uploads playlist should be found; absent parts and a null playlist are fine."""
+    details = {
+        "null": None, "text": "x", "list": [], "number": 3, "inner null": {"relatedPlaylists": None}, "inner list": {"relatedPlaylists": []},
+        "uploads": {"relatedPlaylists": {"uploads": ["UU"]}}, "empty": {}, "inner empty": {"relatedPlaylists": {}},
+        "none": {"relatedPlaylists": {"uploads": None}}, "ok": {"relatedPlaylists": {"uploads": "UU1"}},
+    }
+    path = lines(tmp_path / "c", {"id": "absent"}, *[{"id": k, "contentDetails": v} for k, v in details.items()])
+    rows = {r["channel_id"]: r for r in landing.channels(spark, path).collect()}
+    assert {k: r["invalid_field"] for k, r in rows.items() if r["invalid_field"]} == {
+        "null": "contentDetails", "text": "contentDetails", "list": "contentDetails", "number": "contentDetails",
+        "inner null": "relatedPlaylists", "inner list": "relatedPlaylists", "uploads": "uploads"}
+    assert {k for k, r in rows.items() if r["uploads_playlist"] and not r["invalid_field"]} == {"ok"}
+    raw = spark.createDataFrame([(k, f"raw {k}", "kw", datetime(2026, 10, 1), 0) for k in rows], RAW_CHANNELS)
+    none = spark.createDataFrame([], PLAYLIST_ITEMS), spark.createDataFrame([], VIDEOS)
+    made = enrich.creators(raw, landing.channels(spark, path), *none, Settings()).collect()
+    assert {r["id"]: r["name"] for r in made if r["enrich_error"]} == {
+        k: f"raw {k}" for k, r in rows.items() if r["invalid_field"]}
+
+
+def test_playlists_of_several_pages(spark, tmp_path):
+    entries = [{"contentDetails": {"videoId": f"V{i:03d}"}} for i in range(150)]
+    old, new = "2026-09-01T00:00:00Z", "2026-10-01T00:00:00Z"
+
+    def page(playlist, n, at=new, token="t", **more):
+        return {"playlist_id": playlist, "fetched_at": at, "page_idx": n, "items": entries[50 * n : 50 * n + 50], "nextPageToken": token, **more}
+
+    path = lines(
+        tmp_path / "p",
+        page("two", 1, token=None), page("two", 0), page("two", 0, at=old), page("two", 1, at=old), page("two", 2, at=old),
+        page("ended", 0, token=""), page("ended", 1), page("gap", 0), page("gap", 2), page("failed", 0), page("failed", 1, status="error"),
+        page("lost", 1), {"playlist_id": "plain", "fetched_at": new, "items": entries[:30]}, {"playlist_id": "bare", "items": entries[:2]},
+    )
+    items = landing.playlist_items(spark, path)
+    assert items.columns == PLAYLIST_ITEMS.fieldNames()
+    for wanted, most in ((80, 80), (10, 10), (200, 100)):
+        got = {}
+        for r in enrich.recent_uploads(items, Enrichment(recent_videos=wanted)).orderBy("playlist_id", "item_idx").collect():
+            got.setdefault(r["playlist_id"], []).append(r["video_id"])
+        assert {k: len(v) for k, v in got.items()} == {
+            "two": most, "ended": min(50, wanted), "gap": min(50, wanted), "failed": min(50, wanted), "plain": min(30, wanted), "bare": 2}
+        assert all(v == [f"V{i:03d}" for i in range(len(v))] for v in got.values())
+
+
 def test_absent_fields_take_defaults_and_wrong_ones_break_the_record(spark, tmp_path):
     path = lines(
         tmp_path / "channels",
