@@ -36,13 +36,14 @@ def approved(messages: DataFrame) -> DataFrame:
     ).withColumn("email_key", email_key(F.col("email")))
 
 
-def known_contacts(log: DataFrame, live: bool) -> DataFrame:
-    """Distinct keys that block a contact; a live run ignores simulated and skipped rows.
+def blocks(status: Column) -> Column:
+    """Whether a log row blocks its address for live runs; one without a status does, it may have been sent."""
+    return ~F.coalesce(status, F.lit("")).isin(SIMULATED, DUPLICATE)
 
-    A row without a status blocks: it may have been sent.
-    """
-    status = F.coalesce("status", F.lit(""))
-    counted = log.where(~status.isin(SIMULATED, DUPLICATE)) if live else log
+
+def known_contacts(log: DataFrame, live: bool) -> DataFrame:
+    """Distinct keys that block a contact; a live run ignores simulated and skipped rows."""
+    counted = log.where(blocks(F.col("status"))) if live else log
     keys = counted.select(present(email_key(F.col("email"))).alias("email_key"))
     return keys.where(F.col("email_key").isNotNull()).distinct()
 
@@ -53,16 +54,21 @@ def placed() -> Column:
 
 
 def plan_contacts(messages: DataFrame, log: DataFrame, live: bool = False) -> DataFrame:
+    """Status of every approved message against a log; see :func:`plan_against`."""
+    return plan_against(messages, known_contacts(log, live), live)
+
+
+def plan_against(messages: DataFrame, known: DataFrame, live: bool = False) -> DataFrame:
     """Status of every approved message; ``pos`` must be unique and give the message order.
 
-    The first message of an address is attempted unless the log knows the address; all others
+    ``known`` has the keys (email_key) of the addresses that may not be contacted. The first message of an address is attempted unless its key is known; all others
     are duplicates. One address may own a large share of the messages: it is reduced to its first
     ``pos`` before the shuffle, the log check runs on one row per address, and the verdict
     returns by ``pos``. No task ever gathers the messages of one address.
     """
     ready = approved(messages).withColumn("pos", placed())
     firsts = ready.groupBy("email_key").agg(F.min("pos").alias("pos"))
-    fresh = firsts.join(known_contacts(log, live), "email_key", "left_anti").select(
+    fresh = firsts.join(known, "email_key", "left_anti").select(
         "pos", F.lit(True).alias("attempted")
     )
     attempt = F.lit(PLANNED if live else SIMULATED)

@@ -194,13 +194,19 @@ def _next_pages(pages: DataFrame, wanted: int) -> DataFrame:
     )
 
 
+def answered(landed: DataFrame) -> DataFrame:
+    """Keys of the landed requests (request_key, response); a landed JSON null counts as missing."""
+    done = landed.where(F.col("response").isNotNull() & (F.trim("response") != "null"))
+    return done.select("request_key")
+
+
 def pending(plan: DataFrame, landed: DataFrame) -> DataFrame:
     """Requests not landed yet; a landed JSON null counts as missing.
 
-    ``landed`` is (request_key, response). It grows without bound, so its size decides the join.
+    ``landed`` is (request_key, response). It grows without bound, so its size decides the join; a key table of
+    the answers (``plans.stages.pending_requests``) spares reading it.
     """
-    done = landed.where(F.col("response").isNotNull() & (F.trim("response") != "null"))
-    return plan.join(done.select("request_key"), "request_key", "left_anti")
+    return plan.join(answered(landed), "request_key", "left_anti")
 
 
 def readable_pages(pages: DataFrame) -> DataFrame:

@@ -148,10 +148,13 @@ def request_plan(spark, sf_dir):
 
 @query
 def request_pending(spark, sf_dir):
-    plan = request_plan(spark, sf_dir)
+    return discover.pending(request_plan(spark, sf_dir), _landed_requests(spark, sf_dir))
+
+
+def _landed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = V.table(spark, sf_dir, "customer")
     playlist = V.text_id("UU", F.col("c_custkey"))
-    landed = customers.where("c_acctbal >= 0").select(
+    return customers.where("c_acctbal >= 0").select(
         discover.request_key(
             endpoint=F.lit('"playlistItems"'),
             part=F.lit('"contentDetails"'),
@@ -160,7 +163,17 @@ def request_pending(spark, sf_dir):
         ).alias("request_key"),
         F.when(F.col("c_mktsegment") == "BUILDING", "null").otherwise("{}").alias("response"),
     )
-    return discover.pending(plan, landed)
+
+
+@query
+def request_pending_keys(spark, sf_dir):
+    """The same requests, planned against a key table to which three landings were added."""
+    base = shared_dir(spark, "request-keys")
+    landed = _landed_requests(spark, sf_dir)
+    for i in range(3):
+        part = F.pmod(F.xxhash64("request_key"), F.lit(3)) == i
+        stages.land_answers(landed.where(part), base, f"landing-{i}")
+    return stages.pending_requests(_stored(spark, request_plan(spark, sf_dir), "request-plan"), base)
 
 
 @query
@@ -722,6 +735,15 @@ def contact_plan_live(spark, sf_dir):
     return _contact_plan(spark, sf_dir, live=True).select("pos", "email_key", "status")
 
 
+@query
+def contact_plan_keys(spark, sf_dir):
+    """The live plan against key tables of the log, of which only the buckets of the messages are read."""
+    base = shared_dir(spark, "contact-keys")
+    V.contact_log(spark, sf_dir).write.parquet(f"{base}/contact_log/run=old")
+    plan = stages.plan_run(spark, base, "run", V.messages(spark, sf_dir), live=True)
+    return plan.select("pos", "email_key", "status")
+
+
 @query
 def contact_first_run(spark, sf_dir):
     """No log exists yet."""

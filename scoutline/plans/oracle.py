@@ -359,6 +359,12 @@ def oracle_sql() -> dict[str, str]:
                 from asked join customer using (c_custkey)
                 where endpoint = 'videos' or c_acctbal < 0 or c_mktsegment = 'BUILDING'""",
         ),
+        "request_pending_keys": _with(
+            _UPLOADS, _REQUESTS,
+            query="""select channel_id, endpoint, request_key
+                from asked join customer using (c_custkey)
+                where endpoint = 'videos' or c_acctbal < 0 or c_mktsegment = 'BUILDING'""",
+        ),
         "page_chain": _with(
             _HITS, _LISTED,
             query=f"""select k as keyword_idx, y as type_idx, pg as page_idx, count(*) as items
@@ -627,6 +633,11 @@ def oracle_sql() -> dict[str, str]:
             query="""select pos, email_key, case when nth > 1 or seen_live
                 then 'SKIPPED_DUPLICATE' else 'PLANNED' end as status from plan""",
         ),
+        "contact_plan_keys": _with(
+            _MESSAGES,
+            query="""select pos, email_key, case when nth > 1 or seen_live
+                then 'SKIPPED_DUPLICATE' else 'PLANNED' end as status from plan""",
+        ),
         "contact_first_run": _with(
             _MESSAGES,
             query="""select pos, case when nth > 1 then 'SKIPPED_DUPLICATE' else 'SIMULATED' end

@@ -6,6 +6,7 @@
     messages  approvals                                     drafts, and the ids a person approved
     contact_runs/<run>  contact_log/run=<run>  dm_queue     the plans, what came of them, and DMs
     contact_claims/run=<run>                                addresses that open live runs hold
+    contact_keys/{any,live}  request_keys                   key tables of the log and of answered requests
 
 Every stage may run again: its tables are replaced, a contact run replaces its own plan and log
 partition, and the queue takes only creators that it does not hold yet. Any number of live runs may be
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoutline.config import Settings
+from scoutline.functions.text import present
 from scoutline.operators import contact, discover, drafts, enrich, score
 from scoutline.schemas import (
     CONTACT_LOG,
@@ -32,8 +34,8 @@ from scoutline.schemas import (
     TEXT,
     table_schema,
 )
-from scoutline.session import stored
-from scoutline.sources import claims, landing, tables
+from scoutline.session import discard, drop_dir, stored
+from scoutline.sources import claims, keys, landing, tables
 
 APPROVALS = table_schema(draft_key=TEXT)
 
@@ -122,25 +124,60 @@ def _log(spark: SparkSession, base: str, without: str | None = None) -> DataFram
     return log.where(F.col("run") != without) if without else log
 
 
+def land_answers(landed: DataFrame, base: str, name: str) -> None:
+    """Add the answered requests of one landing (request_key, response) to the key table."""
+    answers = discover.answered(landed).withColumnRenamed("request_key", "key")
+    keys.add(answers, f"{base}/request_keys", name)
+
+
+def pending_requests(plan: DataFrame, base: str) -> DataFrame:
+    """Requests of a stored plan that no landing has answered; reads the key buckets of the plan only."""
+    asked = plan.select(F.col("request_key").alias("key"))
+    done = keys.find(plan.sparkSession, f"{base}/request_keys", asked)
+    return plan.join(done.withColumnRenamed("key", "request_key"), "request_key", "left_anti")
+
+
+def _key_table(base: str, live: bool) -> str:
+    return f"{base}/contact_keys/{'live' if live else 'any'}"
+
+
+def _add_to_keys(log: DataFrame, base: str) -> None:
+    """Add log rows (email, status, run) to the key tables of dry and of live planning."""
+    for live in (False, True):
+        counted = log.where(contact.blocks(F.col("status"))) if live else log
+        named = counted.select(present(contact.email_key(F.col("email"))).alias("key"), F.col("run").alias("name"))
+        keys.add(named, _key_table(base, live))
+
+
+def index_log(spark: SparkSession, base: str) -> None:
+    """Make the key tables anew from the whole log."""
+    drop_dir(spark, f"{base}/contact_keys")
+    _add_to_keys(_log(spark, base).select("email", "status", "run"), base)
+
+
 def plan_run(
     spark: SparkSession, base: str, run: str, messages: DataFrame, live: bool = False
 ) -> DataFrame:
     """Plan messages against the log of all other runs and the addresses that open runs hold.
 
+    Of the log only the key buckets of the messages' addresses are read; a log without key tables is indexed first.
     The plan is stored under the run id and logged nowhere; a repeat replaces it. A live plan holds its
     addresses until the run is settled.
     """
-    path = f"{base}/contact_claims"
-    held = claims.claimed(spark, path, without=run).select(
-        F.col("email_key").alias("email"), F.lit(contact.PLANNED).alias("status")
-    )
-    blocked = _log(spark, base, without=run).select("email", "status").unionByName(held)
-    plan = contact.plan_contacts(messages, blocked, live)
+    if not keys.runs(spark, _key_table(base, False)):
+        index_log(spark, base)
+    claim_path = f"{base}/contact_claims"
+    held = claims.claimed(spark, claim_path, without=run).select("email_key").distinct()
+    asked = stored(contact.approved(messages).select(F.col("email_key").alias("key")).distinct(), "addresses")
+    known = keys.find(spark, _key_table(base, live), asked, without=run)
+    blocked = known.withColumnRenamed("key", "email_key").unionByName(held)
+    plan = contact.plan_against(messages, blocked, live)
     if live:
-        plan = claims.want(stored(plan, "plan"), path, run)
+        plan = claims.want(stored(plan, "plan"), claim_path, run)
     plan = tables.store(plan, f"{base}/contact_runs/{run}")
     if live:
-        claims.hold(plan, path, run)
+        claims.hold(plan, claim_path, run)
+    discard(asked)
     return plan
 
 
@@ -165,6 +202,15 @@ def settled(
     plan = spark.read.parquet(f"{base}/contact_runs/{run}")
     if outcomes is not None:
         plan = contact.merge_outcomes(plan, outcomes)
-    contact.log_rows(plan, run_at).write.mode("overwrite").parquet(f"{base}/contact_log/run={run}")
+    rows = stored(contact.log_rows(plan, run_at), "log-rows")
+    own = _log(spark, base).where(F.col("run") == run)
+    # Addresses that an earlier version of the run logged and this one does not would stay in the key tables.
+    gone = not own.select("email").join(rows.select("email"), "email", "left_anti").isEmpty()
+    rows.write.mode("overwrite").parquet(f"{base}/contact_log/run={run}")
+    if gone:
+        index_log(spark, base)
+    else:
+        _add_to_keys(rows.select("email", "status", F.lit(run).alias("run")), base)
     claims.release(spark, f"{base}/contact_claims", run)
+    discard(rows)
     return _log(spark, base).where(F.col("run") == run)

@@ -27,7 +27,7 @@ FANOUT = 8
 BUCKET_KEYS = 50_000
 MOST_BITS = 16
 
-_ROWS = table_schema(key=TEXT, first=TEXT, last=TEXT)
+_ROWS, _KEY = table_schema(key=TEXT, first=TEXT, last=TEXT), table_schema(key=TEXT)
 _NAME = re.compile(r"level(\d+)-bits(\d+)-([0-9a-f]+)")
 
 
@@ -78,13 +78,13 @@ def find(spark: SparkSession, path: str, keys: DataFrame, *, without: str | None
     there = runs(spark, path)
     wanted = keys.select("key").where(F.col("key").isNotNull()).distinct()
     if not there:
-        return wanted.limit(0)
+        return spark.createDataFrame([], _KEY)
     most = max(r.bits for r in there)
     numbers = [r[0] for r in wanted.select(bucket(F.col("key"), most)).distinct().collect()]
     parts = [_read(spark, r, sorted({n >> (most - r.bits) for n in numbers})) for r in there]
     parts = [p for p in parts if p is not None]
     if not parts:
-        return wanted.limit(0)
+        return spark.createDataFrame([], _KEY)
     rows = reduce(DataFrame.unionByName, parts)
     if without is not None:
         rows = rows.where((F.col("first") != without) | (F.col("last") != without))
@@ -103,12 +103,13 @@ def _write(rows: DataFrame, path: str, level: int) -> None:
     discard(rows)
 
 
-def add(keys: DataFrame, path: str, name: str) -> None:
-    """Add the keys (a column ``key``, NULLs are left out) under a name; adding them again changes nothing that
-    :func:`find` tells. Levels that are full are merged."""
+def add(keys: DataFrame, path: str, name: str | None = None) -> None:
+    """Add the keys (a column ``key``, NULLs are left out) under a name, or each under that in the column ``name``;
+    adding them again changes nothing that :func:`find` tells. Levels that are full are merged."""
     spark = keys.sparkSession
-    rows = keys.select("key").where(F.col("key").isNotNull()).distinct()
-    _write(rows.withColumns({"first": F.lit(name), "last": F.lit(name)}), path, 0)
+    named = F.col("name") if name is None else F.lit(name)
+    rows = keys.where(F.col("key").isNotNull()).groupBy("key").agg(F.min(named).alias("first"), F.max(named).alias("last"))
+    _write(rows, path, 0)
     level = 0
     while True:
         full = [r for r in runs(spark, path) if r.level == level]

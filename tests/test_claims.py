@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from scoutline.operators import contact
 from scoutline.plans import stages
 from scoutline.schemas import CONTACT_LOG
-from scoutline.sources import claims, tables
+from scoutline.sources import claims, keys, tables
 from tests.test_contact import batch, message
 
 AT = datetime(2026, 10, 1, tzinfo=timezone.utc)
@@ -89,3 +89,40 @@ def test_one_hot_address(spark, tmp_path):
     plan = stages.plan_run(spark, base, "b", batch(spark, *rows), live=True)
     assert planned(plan) == {f"u{i}@b.co" for i in range(21, 60, 3)}
     assert plan.count() == 60
+
+
+def test_a_run_settled_anew_with_other_messages(spark, tmp_path):
+    """What an earlier version of a run logged is free again, what all other runs logged is not."""
+    base = str(tmp_path)
+    stages.plan_run(spark, base, "a", batch(spark, message(0, email="x@b.co"), message(1, email="y@b.co")), live=True)
+    stages.settled(spark, base, "a", AT)
+    again = stages.plan_run(spark, base, "a", batch(spark, message(0, email="x@b.co")), live=True)
+    assert planned(again) == {"x@b.co"}  # a run does not block itself
+    stages.settled(spark, base, "a", AT)
+    plan = stages.plan_run(spark, base, "b", batch(spark, message(0, email="x@b.co"), message(1, email="y@b.co")), live=True)
+    assert planned(plan) == {"y@b.co"}
+
+
+def test_planning_reads_some_buckets_of_the_log(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keys, "BUCKET_KEYS", 50)
+    base = str(tmp_path)
+    old = spark.range(5_000).select(F.concat(F.lit("U"), "id", F.lit("@b.co ")).alias("email"), F.lit("FAILED").alias("status"))
+    old.write.parquet(f"{base}/contact_log/run=old")
+    rows = [message(i, email=f"u{4_990 + 5 * i}@b.co") for i in range(4)]
+    assert planned(stages.plan_run(spark, base, "a", batch(spark, *rows), live=True)) == {"u5000@b.co", "u5005@b.co"}
+    found = keys.find(spark, stages._key_table(base, True), spark.createDataFrame([("u1@b.co",)], "key string"))
+    read = spark.read.parquet(*[f for f in found.inputFiles() if "bucket=" in f])
+    assert found.count() == 1 and read.count() < 200
+
+
+def test_answers_of_landings(spark, tmp_path):
+    base = str(tmp_path)
+    plan = tables.store(spark.createDataFrame([("a",), ("b",), ("c",)], "request_key string"), f"{base}/plan")
+    left = lambda: {r.request_key for r in stages.pending_requests(plan, base).collect()}
+    assert left() == {"a", "b", "c"}
+    answers = spark.createDataFrame([("a", "{}"), ("b", " null"), ("c", None)], "request_key string, response string")
+    for _ in range(2):
+        stages.land_answers(answers, base, "1")
+        assert left() == {"b", "c"}
+    stages.land_answers(spark.createDataFrame([("b", "{}")], answers.schema), base, "2")
+    assert left() == {"c"}
