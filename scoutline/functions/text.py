@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -127,10 +129,66 @@ def profile_links(text: Column) -> Column:
     return bound(outside, choose)
 
 
+#: From so many keywords on, one automaton reads the text once for all of them.
+MANY_KEYWORDS = 40
+
+
+def keyword_names(keywords: Sequence[str]) -> Column:
+    """The keywords as one constant array; one expression however many they are."""
+    return F.from_json(F.lit(json.dumps(list(keywords))), "array<string>")
+
+
+def _scan(keywords: Sequence[str]):
+    """A column function lower-cased text -> bit masks of all keywords that occur, 62 to a mask.
+
+    The automaton is built on the driver, shipped with the function and walks each text once, so the cost of a
+    text hardly depends on the number of keywords. Overlapping and repeated keywords are all found.
+    """
+    import ahocorasick
+
+    empty, places = 0, {}
+    for i, keyword in enumerate(keywords):
+        if keyword:
+            places.setdefault(keyword.lower(), []).append(i)
+        else:
+            empty |= 1 << i  # the empty text is in every text
+    automaton = ahocorasick.Automaton()
+    bits = [sum(1 << i for i in at) for at in places.values()]
+    for number, word in enumerate(places):
+        automaton.add_word(word, number)
+    if places:
+        automaton.make_automaton()
+    parts, size = -(-len(keywords) // MASK_BITS), (1 << MASK_BITS) - 1
+
+    @F.pandas_udf("array<bigint>")
+    def masks(texts: pd.Series) -> pd.Series:
+        out = []
+        for text in texts:
+            if text is None:
+                out.append(None)
+                continue
+            found = empty
+            if places:
+                for number in {number for _, number in automaton.iter(text)}:
+                    found |= bits[number]
+            out.append([found >> (MASK_BITS * k) & size for k in range(parts)])
+        return pd.Series(out)
+
+    return masks
+
+
+def _bit(masks: Column, i: Column) -> Column:
+    mask = F.get(masks, F.floor(i / MASK_BITS).cast("int"))
+    return F.call_function("shiftright", mask, F.pmod(i, F.lit(MASK_BITS)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:
     """Configured keywords that occur in the text as substrings, case-insensitively, in order."""
     if not keywords:
         return F.array().cast("array<string>")
+    if len(keywords) >= MANY_KEYWORDS:
+        masks = F.coalesce(_scan(keywords)(F.lower(text)), F.array().cast("array<bigint>"))
+        return bound(masks, lambda m: F.filter(keyword_names(keywords), lambda _, i: _bit(m, i)))
     lowered = F.lower(text)
     return F.array_compact(
         F.array(*[F.when(F.contains(lowered, F.lit(k.lower())), F.lit(k)) for k in keywords])
@@ -140,6 +198,10 @@ def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:
 def keyword_masks(text: Column, keywords: Sequence[str]) -> list[Column]:
     """The same test as bit masks, one bigint per 62 keywords, so that hits combine by bit_or."""
     lowered = F.lower(text)
+    if len(keywords) >= MANY_KEYWORDS:
+        scanned = _scan(keywords)(lowered)
+        none = F.lit(0).cast("bigint")
+        return [F.coalesce(F.get(scanned, F.lit(k)), none) for k in range(-(-len(keywords) // MASK_BITS))]
     masks = []
     for start in range(0, len(keywords), MASK_BITS):
         mask = F.lit(0).cast("bigint")
@@ -154,6 +216,8 @@ def mask_keywords(masks: Sequence[Column], keywords: Sequence[str]) -> Column:
     """Turn masks back into the ordered keyword list."""
     if not keywords:
         return F.array().cast("array<string>")
+    if len(keywords) >= MANY_KEYWORDS:
+        return bound(F.array(*masks), lambda m: F.filter(keyword_names(keywords), lambda _, i: _bit(m, i)))
     named = [
         F.when(
             masks[i // MASK_BITS].bitwiseAND(F.lit(1 << (i % MASK_BITS)).cast("bigint")) != 0,

@@ -157,6 +157,44 @@ def dm_queue(messages: DataFrame, queue: DataFrame) -> DataFrame:
     return queue.select(*columns).unionByName(new_dms(messages, queue).select(*columns))
 
 
+def partial_counts(log: DataFrame) -> DataFrame:
+    """Attempts by day and status of some log rows; partials of any logs add up."""
+    return log.groupBy(F.to_date("date").alias("day"), "status").agg(F.count("*").alias("attempts"))
+
+
+def partial_sets(log: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The addresses of log rows by day and status, as bitmaps over their dense numbers (key, number).
+
+    A bitmap holds the addresses of one chunk of numbers; partials of any logs are united bit by bit.
+    """
+    rows = log.select(F.to_date("date").alias("day"), "status", email_key(F.col("email")).alias("key")).distinct()
+    return (
+        rows.join(numbers, "key")
+        .groupBy("day", "status", F.bitmap_bucket_number("number").alias("chunk"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+    )
+
+
+def tracking_of_partials(counts: DataFrame, sets: DataFrame) -> DataFrame:
+    """The report of :func:`tracking` from partial counts and sets, which may be those of any runs or days."""
+    level = F.element_at(F.array(F.lit("status"), F.lit("day"), F.lit("all")), F.col("depth") + 1)
+    attempts = counts.rollup("day", "status").agg(
+        F.sum("attempts").alias("attempts"), F.bit_count(F.grouping_id()).cast("int").alias("depth")
+    )
+    day, status, chunk = (F.col(c) for c in ("day", "status", "chunk"))
+    united = sets.groupingSets([[day, status, chunk], [day, chunk], [chunk]], day, status, chunk).agg(
+        F.bitmap_or_agg("bits").alias("bits"), F.bit_count(F.grouping_id()).cast("int").alias("depth")
+    )
+    contacts = united.groupBy("depth", "day", "status").agg(F.sum(F.bitmap_count("bits")).alias("contacts"))
+    contacts = contacts.select(*[F.col(c).alias(f"_{c}") for c in ("depth", "day", "status")], "contacts")
+    same = (
+        (F.col("depth") == F.col("_depth")) & F.col("day").eqNullSafe(F.col("_day")) & F.col("status").eqNullSafe(F.col("_status"))
+    )
+    return attempts.join(contacts, same, "left").select(
+        "day", "status", level.alias("level"), "attempts", F.coalesce("contacts", F.lit(0).cast("bigint")).alias("contacts")
+    )
+
+
 def tracking(log: DataFrame) -> DataFrame:
     """Attempts and distinct addresses by day and status, with subtotals.
 

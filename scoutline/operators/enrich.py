@@ -20,6 +20,7 @@ from scoutline.functions.text import (
     extract_email,
     keyword_hits,
     keyword_masks,
+    keyword_names,
     mask_keywords,
     present,
     profile_links,
@@ -250,9 +251,7 @@ def public_keywords(keywords: tuple[str, ...]) -> Column:
     joined = F.concat_ws(" ", F.coalesce("description", F.lit("")), F.col("video_text"))
     return bound(
         F.array_union(found, keyword_hits(joined, seam)),
-        lambda either: F.filter(
-            F.array(*[F.lit(k) for k in keywords]), lambda k: F.array_contains(either, k)
-        ),
+        lambda either: F.filter(keyword_names(keywords), lambda k: F.array_contains(either, k)),
     )
 
 

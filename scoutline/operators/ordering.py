@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from scoutline.session import stored
+
 
 def running_before(
     counts: DataFrame, outer: str, inner: str | None = None, *, descending: bool = False
@@ -42,17 +44,23 @@ def position(
     *,
     descending: bool = False,
     name: str = "position",
+    written: bool = False,
 ) -> DataFrame:
     """Zero-based position of every row in the order (outer, inner, ``order``).
 
-    Each block is numbered on its own and shifted by the size of the blocks before it.
+    Each block is numbered on its own and shifted by the size of the blocks before it. That reads ``rows`` twice;
+    with ``written`` the numbered rows become a table first, from which the sizes are read, so ``rows`` is read once.
     """
     block = [outer] if inner is None else [outer, inner]
-    counts = rows.groupBy(*block).agg(F.count("*").alias("n"))
-    offsets = running_before(counts, outer, inner, descending=descending).select(*block, "before")
     numbered = rows.withColumn(
         "in_block", F.row_number().over(Window.partitionBy(*block).orderBy(*order))
     )
+    if written:
+        numbered = stored(numbered, "numbered")
+        counts = numbered.groupBy(*block).agg(F.max("in_block").cast("bigint").alias("n"))
+    else:
+        counts = rows.groupBy(*block).agg(F.count("*").alias("n"))
+    offsets = running_before(counts, outer, inner, descending=descending).select(*block, "before")
     return (
         numbered.join(offsets, block)
         .withColumn(name, F.col("before") + F.col("in_block") - 1)

@@ -109,12 +109,13 @@ def shortlist(evaluated: DataFrame) -> DataFrame:
     """Rows that did not fail, best score first, ties in discovery order, with their rank.
 
     Scores have two decimals, so there are at most some ten thousand of them; within one score
-    the rows are numbered in blocks of positions, so a common score is spread over tasks.
+    the rows are numbered in blocks of positions, so a common score is spread over tasks. The numbered rows are
+    written before the blocks are put in order, so ``evaluated`` is read once.
     """
     kept = evaluated.where(F.col("status") != FAIL).withColumn(
         "block", F.floor(F.col("pos") / RANK_BLOCK)
     )
-    ranked = position(kept, "brand_fit_score", ["pos"], "block", descending=True)
+    ranked = position(kept, "brand_fit_score", ["pos"], "block", descending=True, written=True)
     return (
         ranked.withColumn("rank", F.col("position") + 1)
         .drop("block", "position")

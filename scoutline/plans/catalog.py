@@ -117,8 +117,7 @@ def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 @query
 def flagship_shortlist(spark, sf_dir):
-    judged = _stored(spark, _evaluated(spark, sf_dir), "creators")
-    return score.shortlist(judged).select(
+    return score.shortlist(_evaluated(spark, sf_dir)).select(
         whole("rank"), "id", "name", "followers", rounded("avg_views"), rounded("engagement_rate"),
         "niche", "email", clock(F.col("last_upload")).alias("last_upload"), "status",
         "brand_fit_score",
@@ -578,6 +577,13 @@ def keyword_evidence(spark, sf_dir):
     return _creators(spark, sf_dir).select("id", F.array_join(found, ", ").alias("hits"))
 
 
+@query
+def many_keywords(spark, sf_dir):
+    """Of 420 overlapping keywords those that each document holds, in one pass over its text."""
+    found = text.keyword_hits(F.col("text"), V.SYLLABLES)
+    return V.table(spark, sf_dir, "documents").select("doc_id", F.array_join(found, ", ").alias("hits"))
+
+
 @query
 def activity_age(spark, sf_dir):
     age = values.days_since(F.col("last_upload"), AS_OF)
@@ -613,8 +619,7 @@ def brand_fit(spark, sf_dir):
 
 @query
 def shortlist(spark, sf_dir):
-    judged = _stored(spark, _evaluated(spark, sf_dir, LOCAL_SETTINGS), "creators")
-    return score.shortlist(judged).select(whole("rank"), "id", "status", "brand_fit_score")
+    return score.shortlist(_evaluated(spark, sf_dir, LOCAL_SETTINGS)).select(whole("rank"), "id", "status", "brand_fit_score")
 
 
 @query
@@ -803,6 +808,20 @@ def tracking(spark, sf_dir):
     )
 
 
+@query
+def tracking_partials(spark, sf_dir):
+    """The same report from the partials of two runs, the second of them counted twice."""
+    base = shared_dir(spark, "partials")
+    plan = _contact_plan(spark, sf_dir, live=True)
+    rows = contact.log_rows(contact.merge_outcomes(plan, V.outcomes(plan)), RUN_AT)
+    stages.count_run(V.contact_log(spark, sf_dir), base, "old")
+    for _ in range(2):
+        stages.count_run(rows, base, "new")
+    return stages.tracked(spark, base).select(
+        F.date_format("day", "yyyy-MM-dd").alias("day"), "status", "level", "attempts", "contacts"
+    )
+
+
 # Quality ------------------------------------------------------------------------------------
 
 

@@ -696,6 +696,22 @@ def oracle_sql() -> dict[str, str]:
                       union all select '2024-02-01', final, email_key from settled) l
                 group by rollup (day, status)""",
         ),
+        "tracking_partials": _with(
+            _MESSAGES,
+            query="""select day, status, case grouping(day, status) when 0 then 'status' when 1 then 'day'
+                else 'all' end as level, count(*) as attempts, count(distinct email_key) as contacts
+                from (select '2024-01-01' as day, status, email_key from oldlog
+                      union all select '2024-02-01', final, email_key from settled) l
+                group by rollup (day, status)""",
+        ),
+        "many_keywords": """with part as (
+              select x, i from (select unnest(string_split('th er an in re on at en nd ti es or te of ed is it al ar st', ' ')) as x,
+                unnest(range(20)) as i) p),
+             word as (select x, i as place from part
+                      union all select a.x || b.x, 20 + 20 * a.i + b.i from part a, part b),
+             found as (select doc_id, string_agg(x, ', ' order by place) as hits
+                       from documents join word on contains(lower(text), x) group by doc_id)
+             select doc_id, coalesce(hits, '') as hits from documents left join found using (doc_id)""",
         "quality_report": _with(
             *_PARTS, _judged(None), _ATTEMPTS, _READY, _MESSAGES, _HITS, _LISTED,
             query="""select *, failed_rows = 0 as ok from (

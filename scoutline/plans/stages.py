@@ -7,6 +7,8 @@
     contact_runs/<run>  contact_log/run=<run>  dm_queue     the plans, what came of them, and DMs
     contact_claims/run=<run>                                addresses that open live runs hold
     contact_keys/{any,live}  request_keys                   key tables of the log and of answered requests
+    contact_counts/run=<run>  contact_sets/run=<run>  address_numbers
+                                                            partials of the tracking report, and its numbers
 
 Every stage may run again: its tables are replaced, a contact run replaces its own plan and log
 partition, and the queue takes only creators that it does not hold yet. Any number of live runs may be
@@ -32,12 +34,16 @@ from scoutline.schemas import (
     MESSAGES,
     RAW_CHANNELS,
     TEXT,
+    WHOLE,
     table_schema,
 )
 from scoutline.session import discard, drop_dir, stored
 from scoutline.sources import claims, keys, landing, tables
+from scoutline.sources import numbers as numbering
 
 APPROVALS = table_schema(draft_key=TEXT)
+_COUNTS = table_schema(day=T.DateType(), status=TEXT, attempts=WHOLE)
+_SETS = table_schema(day=T.DateType(), status=TEXT, chunk=WHOLE, bits=T.BinaryType())
 
 
 def find(spark: SparkSession, base: str, settings: Settings) -> DataFrame:
@@ -193,6 +199,23 @@ def planned(spark: SparkSession, base: str, run: str, live: bool = False) -> Dat
     return plan
 
 
+def count_run(log: DataFrame, base: str, run: str) -> None:
+    """Write the partials of one run's log rows; a repeat replaces them."""
+    addresses = log.select(present(contact.email_key(F.col("email"))).alias("key"))
+    numbers = numbering.numbered(addresses, f"{base}/address_numbers", run)
+    contact.partial_counts(log).write.mode("overwrite").parquet(f"{base}/contact_counts/run={run}")
+    contact.partial_sets(log, numbers).write.mode("overwrite").parquet(f"{base}/contact_sets/run={run}")
+
+
+def tracked(spark: SparkSession, base: str, days: Column | None = None) -> DataFrame:
+    """The tracking report over all settled runs, or over the days of a condition on ``day``; no log is read."""
+    counts = tables.read_optional(spark, f"{base}/contact_counts", _COUNTS)
+    sets = tables.read_optional(spark, f"{base}/contact_sets", _SETS)
+    if days is not None:
+        counts, sets = counts.where(days), sets.where(days)
+    return contact.tracking_of_partials(counts, sets)
+
+
 def settled(
     spark: SparkSession, base: str, run: str, run_at: datetime, outcomes: DataFrame | None = None
 ) -> DataFrame:
@@ -212,5 +235,6 @@ def settled(
     else:
         _add_to_keys(rows.select("email", "status", F.lit(run).alias("run")), base)
     claims.release(spark, f"{base}/contact_claims", run)
+    count_run(rows, base, run)
     discard(rows)
     return _log(spark, base).where(F.col("run") == run)

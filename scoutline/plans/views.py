@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEYWORDS = ("click", "error", "purchase", "signup", "view")
+_PARTS = "th er an in re on at en nd ti es or te of ed is it al ar st".split()
+SYLLABLES = (*_PARTS, *(a + b for a in _PARTS for b in _PARTS))
 OLD_LANDING, NEW_LANDING = "2001-07-01 00:00:00", "2001-08-01 00:00:00"
 
 

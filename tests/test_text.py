@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from scoutline.functions import text
@@ -139,6 +140,19 @@ def test_masks_equal_hits_beyond_one_word(evaluate):
     assert evaluate(through_masks, texts) == evaluate(lambda c: text.keyword_hits(c, words), texts)
 
 
+@pytest.mark.parametrize("count", [39, 40, 200])
+def test_many_keywords_equal_a_loop(evaluate, count):
+    """Overlapping, nested, repeated and empty keywords, with other letters than ASCII and more than one mask."""
+    rng = random.Random(count)
+    pieces = ["a", "b", "é", "Ab", "日", " "]
+    words = ["aba", "ab", "b", "abab", "É", "AB", "ab"] + ["".join(rng.choices(pieces, k=rng.randint(1, 5))) for _ in range(count - 8)] + [""]
+    texts = ["".join(rng.choices([*pieces, "x", "İ"], k=rng.randint(0, 20))) for _ in range(200)] + [None, "", "xyz", "ab" * 50_000]
+    want = [[w for w in words if t is not None and w.lower() in t.lower()] for t in texts]
+    assert evaluate(lambda c: text.keyword_hits(c, words), texts) == want
+    masks = evaluate(lambda c: text.mask_keywords(text.keyword_masks(F.coalesce(c, F.lit("")), words), words), texts)
+    assert masks == [w if t is not None else [""] for w, t in zip(want, texts)]
+
+
 def test_host_keeps_port_and_drops_one_www(evaluate):
     urls = ["http://www.www.x.test:80/a", "https://X.test?q", "https://x.test#f", "https://"]
     hosts = ["www.x.test:80", "x.test", "x.test", ""]
