@@ -11,11 +11,10 @@ import pyarrow as pa
 from pyspark.cloudpickle import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from scoutline.fixed import DAILY_QUOTA
-from scoutline.operators.contact import log_rows, new_dms, plan_contacts
+from scoutline.operators.contact import approved, known_contacts, log_rows, new_dms, plan_against
 from scoutline.operators.discover import hit_position, request_cost
 from scoutline.schemas import CONTACT_LOG, DM_QUEUE, FLAG, RAW_CHANNELS, TIME, WHOLE, table_schema
 from scoutline.session import discard, stored
@@ -29,14 +28,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 REMEMBERED = 1_000_000
 
 
-def _earlier_batches(
-    spark: SparkSession, table: str, schema: T.StructType, batch_id: int
-) -> DataFrame:
-    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    rows = read_optional(spark, table, with_batch)
-    return rows.where(F.col("batch_id") < batch_id).drop("batch_id")
-
-
 def _run(
     stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], mode: str = "append"
 ) -> StreamingQuery:
@@ -102,6 +93,12 @@ def new_channels(
     return _run(arrived, checkpoint, write)
 
 
+def _base_keys(rows: DataFrame, path: str) -> None:
+    """Start a key table with the keys (a column ``key``) of what was there before the stream."""
+    if not keys.runs(rows.sparkSession, path):
+        keys.add(rows, path, "base")
+
+
 def contact_log(
     messages: DataFrame,
     base_log: DataFrame,
@@ -110,18 +107,24 @@ def contact_log(
     run_at: datetime,
     live: bool = False,
 ) -> StreamingQuery:
-    """Plan contacts for arriving messages against the old log and all earlier batches."""
-    columns = [f.name for f in CONTACT_LOG.fields]
+    """Plan contacts for arriving messages against the old log and all earlier batches.
+
+    The addresses of both are in a key table beside the log, of which only the buckets of the batch are read.
+    """
+    columns, seen = [f.name for f in CONTACT_LOG.fields], f"{table}_keys"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        earlier = _earlier_batches(batch.sparkSession, table, CONTACT_LOG, batch_id)
-        blocked = base_log.select("email", "status").unionByName(earlier.select("email", "status"))
-        (
-            log_rows(plan_contacts(batch, blocked, live), run_at)
-            .select(*columns)
-            .write.mode("overwrite")
-            .parquet(f"{table}/batch_id={batch_id}")
-        )
+        spark, name = batch.sparkSession, f"{batch_id:020d}"
+        _base_keys(known_contacts(base_log, live).withColumnRenamed("email_key", "key"), seen)
+        arrived = stored(batch, "messages")
+        asked = stored(approved(arrived).select(F.col("email_key").alias("key")).distinct(), "addresses")
+        known = keys.find(spark, seen, asked, without=name).withColumnRenamed("key", "email_key")
+        plan = plan_against(arrived, known, live)
+        log_rows(plan, run_at).select(*columns).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        # Whatever is approved is in the log by now, under this batch or an earlier one.
+        keys.add(asked, seen, name)
+        discard(arrived)
+        discard(asked)
 
     return _run(messages, checkpoint, write)
 
@@ -130,12 +133,19 @@ def dm_queue(
     messages: DataFrame, base_queue: DataFrame, table: str, checkpoint: str
 ) -> StreamingQuery:
     """Queue the first direct message of creators that neither the old queue nor an earlier batch has."""
-    columns = [f.name for f in DM_QUEUE.fields]
+    columns, seen = [f.name for f in DM_QUEUE.fields], f"{table}_keys"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        earlier = _earlier_batches(batch.sparkSession, table, DM_QUEUE, batch_id)
-        queue = base_queue.select(*columns).unionByName(earlier.select(*columns))
-        new_dms(batch, queue).select(*columns).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        spark, name = batch.sparkSession, f"{batch_id:020d}"
+        _base_keys(base_queue.select(F.col("influencer_id").alias("key")), seen)
+        none = base_queue.select(*columns).limit(0)
+        first = stored(new_dms(batch, none).select(*columns), "first-dms")
+        ids = first.select(F.col("influencer_id").alias("key"))
+        known = keys.find(spark, seen, ids, without=name).withColumnRenamed("key", "influencer_id")
+        rows = first.join(known, "influencer_id", "left_anti").select(*columns)
+        rows.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        keys.add(ids, seen, name)
+        discard(first)
 
     return _run(messages, checkpoint, write)
 
