@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -93,6 +94,110 @@ def test_recall_at_the_most_edits(spark):
     assert got == {(i, i) for i in items}
 
 
+KINDS = ("change", "insert", "delete")
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_agreement_of_walks(number):
+    """By class and kind of edit: how often a walk agrees at the most edits, and how often one of all walks does."""
+    s = D.Settings()
+    length, draw = s.longest(number), np.random.default_rng(number)
+    k, walks = s.allowed(length), D.repetitions(number, s)
+    for kind in KINDS:
+        agree, met = [], 0
+        for _ in range(300):
+            own = draw.integers(1, 1 << 62, size=length, dtype=np.uint64)
+            copy = np.append(D.edited(own, kind, k, draw), draw.integers(1, 1 << 62, size=length, dtype=np.uint64))
+            both = np.concatenate((own, copy))
+            a, b = D._walks(both, np.array([0, length]), np.array([length, len(both)]), number, walks, s)
+            agree.append((a == b).mean())
+            met += (a == b).any()
+        assert np.mean(agree) > 0.15 and met >= 0.95 * 300, (kind, np.mean(agree), met)
+
+
+def test_walks_of_equal_and_of_unrelated_words():
+    s, draw = D.Settings(), np.random.default_rng(3)
+    words = draw.integers(1, 1 << 62, size=400, dtype=np.uint64)
+    words[200:220] = words[40:60]
+    a, b, c = D._walks(words, np.array([40, 200, 300]), np.array([60, 260, 400]), 4, 27, s)
+    assert (a == b).all() and not (a == c).any()
+
+
+def test_recall_of_walks_alone(spark, monkeypatch):
+    """Without the second way, by pieces, at exactly the most edits: of all items the share that is wanted, and of
+    each kind and length most."""
+    real = D.pairs_of
+    monkeypatch.setattr(D, "pairs_of", lambda kinds, blocks, rare, keys, s: real(kinds.limit(0) if keys == "pieces" else kinds, blocks, rare, keys, s))
+    rng, items, docs, kind_of = random.Random(20), {}, [], {}
+    words = [f"v{i}" for i in range(20_000)]
+    for n in (8, 10, 15, 20, 40, 80, 160):
+        for kind in KINDS:
+            for _ in range(25):
+                own, copy = rng.sample(words, n), []
+                edited = set(rng.sample(range(n), int(0.2 * n)))
+                for i, w in enumerate(own):
+                    copy += [w] if i not in edited else {"change": ["new"], "insert": ["new", w], "delete": []}[kind]
+                kind_of[len(items)] = (n, kind)
+                items[len(items)] = " ".join(own)
+                docs.append((len(docs), " ".join([*rng.sample(words, 30), *copy, *rng.sample(words, 30)]), ""))
+    got = {r.doc_id for r in D.contaminated(*frames(spark, docs, list(items.items()))).collect() if r.doc_id == r.item_id}
+    assert len(got) >= 0.96 * len(items)
+    share = {k: sum(i in got for i in items if kind_of[i] == k) / 25 for k in kind_of.values()}
+    assert min(share.values()) >= 0.8, share
+
+
+def pairs_verified(spark, monkeypatch, n):
+    """How many pairs of windows and blocks are verified for n items and n documents that share a template."""
+    template = [f"t{i}" for i in range(18)]
+    items = [(i, " ".join([*template, *[f"i{i}x{j}" for j in range(5)]])) for i in range(n)]
+    docs = [(i, " ".join([*[f"d{i}y{j}" for j in range(9)], *template, *[f"d{i}x{j}" for j in range(15)]]), "") for i in range(n)]
+    docs.append((n, "see " + items[3][1], ""))
+    counted, real = [], D._verified
+
+    def verified(pairs, kinds, blocks, settings):
+        counted.append(pairs.count())
+        return real(pairs, kinds, blocks, settings)
+
+    monkeypatch.setattr(D, "_verified", verified)
+    got = {(r.doc_id, r.item_id) for r in D.contaminated(*frames(spark, docs, items)).collect()}
+    monkeypatch.setattr(D, "_verified", real)
+    assert got == {(n, 3)}
+    return sum(counted)
+
+
+def test_a_shared_template_makes_no_quadratic_pairs(spark, monkeypatch):
+    few, many = (pairs_verified(spark, monkeypatch, n) for n in (100, 200))
+    assert many <= 2.2 * few + 50 and many < 200 * 200 / 4, (few, many)
+
+
+def test_rare_words_lose_no_pair(spark):
+    """Keys that all blocks share ask for a rare word: the same is found as without."""
+    rng = random.Random(30)
+    words = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(["what", "is", "the", "best", "way", "to", *rng.choices(words, k=rng.randint(6, 30)), "?"])) for i in range(60)]
+    docs = []
+    for i in range(150):
+        copy = items[rng.randrange(60)][1].split()
+        for _ in range(rng.randint(0, int(0.25 * len(copy)))):
+            copy[rng.randrange(len(copy))] = rng.choice(words)
+        docs.append((i, " ".join([*rng.choices(words, k=10), *copy, *rng.choices(words, k=10)]), ""))
+    got = [
+        sorted(tuple(r) for r in D.contaminated(*frames(spark, docs, items), D.Settings(bucket=b)).collect()) for b in (0, 10**6)
+    ]
+    assert got[0] == got[1] and len(got[0]) > 80
+
+
+def test_blocks():
+    s = D.Settings()
+    for n in range(1, 400):
+        blocks = s.blocks(n)
+        assert blocks[0][0] == 0 and blocks[-1][1] == n and all(a[1] == b[0] for a, b in zip(blocks, blocks[1:]))
+        lengths = [b - a for a, b in blocks]
+        assert max(lengths) <= 20 and (len(lengths) == 1 or min(lengths) >= 10)
+        # However the edits lie, one block has no more than it may have.
+        assert s.allowed(n) < sum(s.allowed(x) + 1 for x in lengths)
+
+
 def test_short_items_word_for_word(spark):
     items = [(n, " ".join(f"s{n}x{i}" for i in range(n))) for n in range(1, 8)]
     docs = [(n, f"some words {t.upper()} and more", "") for n, t in items] + [(10 + n, t, "") for n, t in items]
