@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoutline.session import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Hexadecimal digits of the short hash that expressions are joined on.
@@ -71,9 +73,17 @@ def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
     malformed URLs have empty host and path and fit only a rule with an empty host. Repeated rows
     are judged once and all returned. The rule lengths are fetched to the driver: a few numbers.
     """
+    rank = F.struct(
+        F.length("rule").alias("length"),
+        F.length("rule_host").alias("host_length"),
+        (F.col("verdict") == "block").alias("blocks"),
+        "rule",
+        "verdict",
+    )
     bounds = rules.agg(
         F.sort_array(F.collect_set(F.length("rule_path"))).alias("lengths"),
         F.max(F.size(F.split("rule_host", r"\.", -1))).alias("labels"),
+        F.max(F.when((F.col("rule_host") == "") & (F.col("rule_path") == ""), rank)).alias("bare"),
     ).first()
     host, path = url_parts(F.col(url))
     rows = pages.drop("rule", "verdict").withColumns({"host": host, "path": path})
@@ -81,25 +91,22 @@ def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
         return rows.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     digested = rules.withColumn("rule_digest", _digest(F.col("rule_host"), F.col("rule_path")))
     digested = digested.withColumn("rule_short", F.substring("rule_digest", 1, PREFIX_DIGITS))
-    places = rows.select("host", "path").distinct()
+    # URLs without host and path may be many, and only a rule without both fits them.
+    bare = (F.col("host") == "") & (F.col("path") == "")
+    places = rows.filter(~bare).select("host", "path").distinct()
     expressions = _expressions(F.col("host"), F.col("path"), bounds["lengths"], bounds["labels"])
     spread = places.select("host", "path", F.explode(expressions).alias("e")).select(
         "host", "path", _digest(F.col("e.h"), F.col("e.p")).alias("digest")
     )
     met = spread.join(digested, F.substring("digest", 1, PREFIX_DIGITS) == F.col("rule_short"))
-    rank = F.struct(
-        F.length("rule").alias("length"),
-        F.length("rule_host").alias("host_length"),
-        (F.col("verdict") == "block").alias("blocks"),
-        "rule",
-        "verdict",
-    )
     best = (
         met.filter(F.col("digest") == F.col("rule_digest"))
         .groupBy("host", "path")
         .agg(F.max(rank).alias("best"))
         .select("host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
     )
-    return rows.join(best, ["host", "path"], "left").withColumn(
-        "verdict", F.coalesce("verdict", F.lit(default))
-    )
+    # Written, as adaptive execution splits a hot URL only where both sides of the join are dealt for it.
+    judged = rows.filter(~bare).join(stored(best, "best-rules"), ["host", "path"], "left").select(*rows.columns, "rule", "verdict")
+    rule, verdict = (bounds["bare"]["rule"], bounds["bare"]["verdict"]) if bounds["bare"] else (None, default)
+    told = rows.filter(bare).withColumns({"rule": F.lit(rule).cast("string"), "verdict": F.lit(verdict)})
+    return judged.unionByName(told).withColumn("verdict", F.coalesce("verdict", F.lit(default)))

@@ -6,6 +6,7 @@ import numpy as np
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from scoutline.llm import graph, queries, simhash
 from tests.llm.conftest import SF
@@ -92,6 +93,26 @@ def test_links_of_dense_and_distant_fingerprints(spark):
         assert len(got) == len(want) and set(got) == want
 
 
+def test_pivots_discard_pairs_of_a_hot_block(spark):
+    """Fingerprints that agree on three of six blocks all meet; the distance tables discard nearly all pairs of them, and
+    none within k bits."""
+    rng = random.Random(6)
+    fixed = rng.getrandbits(32)
+    prints = {fixed | rng.getrandbits(32) << 32 for _ in range(400)}
+    centre = next(iter(prints))
+    prints |= {centre ^ (1 << i) ^ (1 << j) for i in range(32, 64, 3) for j in range(33, 64, 5) if i != j}
+    signed = sorted(f - (1 << 64) if f >> 63 else f for f in prints)
+    frame = spark.createDataFrame([(f,) for f in signed], "fp long")
+    halves = range(simhash.PIVOTS // 8)
+    coordinates = [simhash._coordinate(simhash._table(F.col("fp"), h), j) for h in halves for j in range(8)]
+    rows = np.array([list(r) for r in frame.select(*coordinates).collect()])
+    near = {(a, b) for a in signed for b in signed if a < b and bin((a ^ b) % 2**64).count("1") <= 3}
+    left = {(a, b) for i, a in enumerate(signed) for b in np.array(signed)[i + 1 :][np.abs(rows[i + 1 :] - rows[i]).max(axis=1) <= 3].tolist()}
+    assert near <= left and len(near) > 50
+    assert len(left - near) < 0.03 * (len(signed) * (len(signed) - 1) // 2)
+    assert {tuple(r) for r in simhash.links(frame, 3).collect()} == near
+
+
 def test_keep_one(spark):
     text = " ".join(f"Word{i}" for i in range(400))
     rows = [(4, text, "a"), (2, text + " x", "b"), (2, text + " x", "b"), (9, "other words here", "c"), (None, text, "d")]
