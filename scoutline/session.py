@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +32,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder that all executors share: below ``spark.checkpoint.dir``, else below the warehouse."""
+    """A fresh folder that all executors share: below ``spark.checkpoint.dir``, else below the warehouse.
+
+    On a cluster a warehouse in a local folder is none that executors share, so it is refused.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        local = re.match(r"local(\[.*)?$", spark.conf.get("spark.master", "local"))
+        if not local and re.match(r"file:|/|[^:]*$", base):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -222,6 +222,17 @@ def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(unset, "x").startswith("hdfs://shared/warehouse/_scratch/x-")
 
 
+def test_a_local_warehouse_is_no_shared_folder_on_a_cluster():
+    for base in ("file:/home/me/spark-warehouse", "/home/me/spark-warehouse", "spark-warehouse"):
+        for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+            with pytest.raises(RuntimeError, match="checkpoint.dir"):
+                shared_dir(Session(**{"spark.sql.warehouse.dir": base, "spark.master": master}), "x")
+        for master in ("local", "local[4]", "local[*]"):
+            assert "/_scratch/x-" in shared_dir(Session(**{"spark.sql.warehouse.dir": base, "spark.master": master}), "x")
+    given = Session(**{"spark.checkpoint.dir": "file:///mnt/all", "spark.sql.warehouse.dir": "w", "spark.master": "yarn"})
+    assert shared_dir(given, "x").startswith("file:///mnt/all/x-")
+
+
 def test_stored_rows_can_be_dropped(spark):
     kept = stored(spark.range(3), "kept")
     assert kept.count() == 3
