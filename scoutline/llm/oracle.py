@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scoutline.llm.quality_rules import CANDIDATES, Risk
+from scoutline.llm.quality_rules import CANDIDATES, Risk, path
 
 _SPACE = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 _NONE = "''"
@@ -14,9 +14,9 @@ def _gone(text: str, chars: str) -> str:
 
 def _quality_rules() -> str:
     risk = Risk()
-    limit = risk.limit / len(CANDIDATES)
-    candidates = ", ".join(
-        f"('{r}', {j}, {c!r}::double)" for r, cuts in CANDIDATES.items() for j, c in enumerate(cuts)
+    limit, rules = risk.limit, list(CANDIDATES)
+    settings = ", ".join(
+        f"({j}, " + ", ".join(f"{one[r]!r}::double" if r in one else "null::double" for r in rules) + ")" for j, one in enumerate(path())
     )
     share = lambda a, b: f"case when {b} = 0 then 0.0 else {a}::double / {b}::double end"
     return f"""
@@ -53,29 +53,20 @@ valued as (
 ),
 good as (select doc_id from labels group by doc_id having min(quality) = 1),
 holdout as (select * from valued where not base_failed and doc_id in (select doc_id from good)),
-long as (
-  select lang, rule, val from (select lang, symbol_share, dup_line_share, repeat_share, mean_word_chars from holdout)
-  unpivot (val for rule in (symbol_share, dup_line_share, repeat_share, mean_word_chars))
-),
-cand as (select * from (values {candidates}) as t(rule, j, cut)),
+cand(j, {", ".join(f"{r}_cut" for r in rules)}) as (values {settings}),
 tested as (
-  select lang, rule, j, cut, count(*) as n, count(*) filter (val > cut) as k
-  from long join cand using (rule) group by all
+  select lang, j, count(*) as n, count(*) filter ({" or ".join(f"coalesce({r} > {r}_cut, false)" for r in rules)}) as k
+  from holdout, cand group by all
 ),
-level as (select {risk.error!r} / ({len(CANDIDATES)} * count(distinct coalesce(lang, chr(0)))) as a from holdout),
+level as (select {risk.error!r} / count(distinct coalesce(lang, chr(0))) as a from holdout),
 tail as (
-  select lang, rule, j, cut,
+  select lang, j,
     case when k > n * {limit!r} then 1.0 else list_sum(list_transform(generate_series(0, k), lambda i:
       exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({limit!r}) + (n - i) * ln(1 - {limit!r})))) end as p
   from tested
 ),
-failed as (select lang, rule, min(j) filter (p > a) as j from tail, level group by lang, rule),
-chosen as (
-  select f.lang, f.rule, max_by(t.cut, t.j) as cut
-  from failed f join tail t on t.lang is not distinct from f.lang and t.rule = f.rule
-  where f.j is null or t.j < f.j group by f.lang, f.rule
-),
-cut as (select lang, {", ".join(f"max(cut) filter (rule = '{r}') as {r}_cut" for r in CANDIDATES)} from chosen group by lang)
+ended as (select lang, coalesce(min(j) filter (p > a), {len(path())}) - 1 as j from tail, level group by lang),
+cut as (select lang, {", ".join(f"{r}_cut" for r in rules)} from ended join cand using (j))
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
   n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
   not (base_failed or {" or ".join(f"coalesce({r} > {r}_cut, false)" for r in CANDIDATES)}) as kept

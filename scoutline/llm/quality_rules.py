@@ -1,18 +1,20 @@
 """Quality rules whose cutoffs are chosen under a guaranteed limit of false rejections.
 
 Every rule rejects a document if a statistic of its text exceeds a cutoff. The cutoffs are learned
-per rule and stratum from labelled holdout documents: candidates are tested from the mildest to the
-strictest with an exact binomial test of "this cutoff rejects a share of ``limit`` or more of the
-good documents", stopping at the first that cannot be ruled out. Testing a fixed order needs no
-correction inside a rule; over all rules and strata the error level is divided by their number.
-So with probability ``1 - error`` no rule rejects its limit of good documents in any stratum, and as
-every rule gets an equal part of the limit, neither do all rules together.
+per stratum from labelled holdout documents. All rules go one fixed path together, in which one rule after the
+other takes its next stricter cutoff; each setting on it is tested, from the mildest on, with an exact binomial test of
+"these rules together reject a share of ``limit`` or more of the good documents", and the path ends before the
+first that cannot be ruled out. Testing a fixed order needs no correction inside a stratum, and the whole
+limit serves the union of the rules; over the strata the error level is divided by their number. So with
+probability ``1 - error`` the rules reject less than ``limit`` of the good documents in every stratum. With
+the default settings some 220 good documents of a stratum can certify cutoffs.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,17 @@ CANDIDATES: dict[str, tuple[float, ...]] = {
 }
 
 
+def path() -> list[dict[str, float]]:
+    """The joint settings in their order: level by level, rule by rule, the next stricter cutoff is added."""
+    settings, now = [], {}
+    for level in range(max(map(len, CANDIDATES.values()))):
+        for rule, cuts in CANDIDATES.items():
+            if level < len(cuts):
+                now = now | {rule: cuts[level]}
+                settings.append(now)
+    return settings
+
+
 @dataclass(frozen=True)
 class Risk:
     """``limit``: share of good documents per stratum that all rules together may reject.
@@ -186,34 +199,33 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 
 def certified_cutoffs(holdout: DataFrame, stratum: str, risk: Risk = Risk()) -> DataFrame:
-    """One row per stratum with the strictest certified cutoff of every rule, NULL where none is.
+    """One row per stratum with the cutoffs of the strictest certified setting, NULL for rules that have none yet.
 
-    ``holdout`` has the rule values of good documents only. All candidates are counted in one pass
-    with map-side combine, so a stratum that owns most rows is no burden.
+    ``holdout`` has the rule values of good documents only. All settings are counted in one pass
+    with map-side combine, so a stratum that owns most rows is no burden. A stratum in which not even the
+    mildest setting is certified has no row.
     """
-    limit = risk.limit / len(CANDIDATES)
-    tests = [(r, j, c) for r, cuts in CANDIDATES.items() for j, c in enumerate(cuts)]
-    sums = [F.count_if(F.col(r) > c).alias(f"{r}_{j}") for r, j, c in tests]
+    settings = path()
+    rejects = [reduce(Column.__or__, [F.col(r) > c for r, c in one.items()]) for one in settings]
+    sums = [F.count_if(r).alias(f"k_{j}") for j, r in enumerate(rejects)]
     counted = stored(holdout.groupBy(stratum).agg(F.count("*").alias("n"), *sums), "cutoff-counts")
-    level = risk.error / (len(CANDIDATES) * max(1, counted.count()))
-    tested = counted.select(
-        stratum,
-        "n",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(r).alias("rule"), F.lit(j).alias("j"), F.lit(c).alias("cut"), F.col(f"{r}_{j}").alias("k"))
-                    for r, j, c in tests
-                ]
-            )
-        ),
-    ).withColumn("passed", binomial_tail(F.col("k"), F.col("n"), limit) <= level)
-    # The order is fixed, so what counts is the candidate before the first that did not pass.
-    failed = F.min(F.when(~F.col("passed"), F.col("j"))).over(Window.partitionBy(stratum, "rule"))
-    certified = tested.withColumn("failed", failed).filter("failed is null or j < failed")
-    return certified.groupBy(F.col(stratum).alias("_stratum")).agg(
-        *[F.min(F.when(F.col("rule") == r, F.col("cut"))).alias(f"{r}_cutoff") for r in CANDIDATES]
+    level = risk.error / max(1, counted.count())
+    tests = [
+        F.struct(
+            F.lit(j).alias("j"), F.col(f"k_{j}").alias("k"),
+            *[F.lit(one.get(r)).cast("double").alias(f"{r}_cutoff") for r in CANDIDATES],
+        )
+        for j, one in enumerate(settings)
+    ]
+    tested = counted.select(stratum, "n", F.inline(F.array(*tests))).withColumn(
+        "passed", binomial_tail(F.col("k"), F.col("n"), risk.limit) <= level
     )
+    # The order is fixed, so what counts is the setting before the first that did not pass.
+    failed = F.min(F.when(~F.col("passed"), F.col("j"))).over(Window.partitionBy(stratum))
+    certified = tested.withColumn("failed", failed).filter("failed is null or j < failed")
+    cutoffs = [f"{r}_cutoff" for r in CANDIDATES]
+    last = certified.groupBy(F.col(stratum).alias("_stratum")).agg(F.max_by(F.struct(*cutoffs), "j").alias("last"))
+    return last.select("_stratum", "last.*")
 
 
 def judge(

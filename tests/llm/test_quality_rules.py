@@ -3,6 +3,8 @@
 import math
 import re
 
+import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -87,6 +89,41 @@ def test_cutoffs_keep_the_limit_in_every_stratum(spark):
     assert rejected <= 0.02 * 3000
 
 
+def test_the_path():
+    steps = Q.path()
+    assert len(steps) == sum(map(len, Q.CANDIDATES.values()))
+    for a, b in zip([{}, *steps], steps):
+        changed = [r for r in b if a.get(r) != b[r]]
+        assert len(changed) == 1 and b[changed[0]] < a.get(changed[0], math.inf)
+    assert steps[-1] == {r: min(c) for r, c in Q.CANDIDATES.items()}
+
+
+def test_the_guarantee_over_many_holdouts(spark):
+    """300 strata drawn from one population: cutoffs that in truth reject the limit or more of it are certified in
+    no more of them than the error allows (here each stratum has its own level)."""
+    rng, risk = np.random.default_rng(5), Q.Risk(limit=0.05, error=0.1)
+    draw = lambda n: {"symbol_share": rng.beta(1, 30, n), "dup_line_share": rng.beta(1, 12, n), "repeat_share": rng.beta(1, 20, n), "mean_word_chars": rng.gamma(20, 0.4, n)}
+    strata, size = 300, 400
+    truth = draw(400_000)
+    rows = draw(strata * size) | {"s": np.repeat(np.arange(strata), size)}
+    frame = spark.createDataFrame(pd.DataFrame(rows))
+    got = Q.certified_cutoffs(frame, "s", Q.Risk(limit=risk.limit, error=risk.error * strata)).collect()
+    bad = 0
+    for r in got:
+        cuts = {n: r[f"{n}_cutoff"] for n in Q.CANDIDATES if r[f"{n}_cutoff"] is not None}
+        rejected = np.any([truth[n] > c for n, c in cuts.items()], axis=0).mean()
+        bad += rejected >= risk.limit
+    assert len(got) > 0.9 * strata
+    assert bad <= strata * risk.error + 3 * math.sqrt(strata * risk.error * (1 - risk.error))
+
+
+def test_some_hundreds_of_good_documents_certify_cutoffs(spark):
+    rows = [(i, good(i, 0), "en", "x", 1) for i in range(220)] + [(1000 + i, good(i, 40), "en", "x", 1) for i in range(3)]
+    labels = spark.createDataFrame([(i, 1) for i in range(220)], "doc_id long, quality int")
+    got = {r.doc_id: r.kept for r in Q.judge(table(spark, rows), labels).collect()}
+    assert not any(got[1000 + i] for i in range(3)) and all(got[i] for i in range(220))
+
+
 def test_a_conflicting_label_is_not_good(spark):
     docs = table(spark, [(i, good(i, 60), "en", "x", 1) for i in range(20)])
     labels = spark.createDataFrame([(0, 1), (0, 0), (1, None), (2, 1)], "doc_id long, quality int")
