@@ -42,11 +42,12 @@ def prove(path: str) -> Proven:
     """Read a ``tokenizers`` file of BPE with a regular pre-tokenizer and prove its whole tokens.
 
     The proof encodes every vocabulary string by the model itself: the string without its word-end
-    mark must come back as exactly that entry.
+    mark must come back as exactly that entry. Files that can't be counted word by word are refused.
     """
     with open(path, encoding="utf-8") as file:
         definition = file.read()
     parsed = json.loads(definition)
+    _refuse_others(definition, parsed)
     suffix = parsed["model"].get("end_of_word_suffix") or ""
     model = Tokenizer.from_str(definition).model
     whole = set()
@@ -61,6 +62,37 @@ def prove(path: str) -> Proven:
     return Proven(definition, frozenset(whole), special)
 
 
+#: Words of all kinds that a pre-tokenizer may tell apart, and the white space between words.
+_KINDS_OF_WORDS = ("a", "Z", "1", ".", "'s", "é", "日", "_", "-a", "a'", "\u0301")
+_BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r", "  ", " \n")
+
+
+def _refuse_others(definition: str, parsed: dict) -> None:
+    """Raise ValueError for a file under which the tokens of a text are not those of its words.
+
+    Tried on pairs of words of every kind with every kind of white space between them: the pre-tokens of the pair must be
+    those of the one and of the other.
+    """
+    if parsed["model"].get("type") != "BPE":
+        raise ValueError("not a BPE model")
+    if any(not t["special"] for t in parsed["added_tokens"]):
+        raise ValueError("added tokens that are not special are matched inside words")
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in parsed["added_tokens"]):
+        raise ValueError("special tokens that look at what stands around them")
+    tokenizer = Tokenizer.from_str(definition)
+    if tokenizer.pre_tokenizer is None:
+        raise ValueError("no pre-tokenizer: tokens may go over white space")
+
+    def pieces(text: str) -> list[str]:
+        normal = tokenizer.normalizer.normalize_str(text) if tokenizer.normalizer else text
+        return [p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+
+    for left in _KINDS_OF_WORDS:
+        for right in _KINDS_OF_WORDS:
+            if any(pieces(left + blank + right) != pieces(left) + pieces(right) for blank in _BLANKS):
+                raise ValueError("pre-tokens that hold white space, or depend on the word before")
+
+
 class Counter:
     """Counts tokens of texts as the library gives them, without begin and end tokens."""
 

@@ -1,5 +1,7 @@
 """Counts against the tokenizer library, and the proof of whole tokens."""
 
+import json
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -70,3 +72,27 @@ def test_nulls_repeats_and_clashing_columns(spark, library):
     n = library("a b" * 3000)
     assert got == [(0, 9000, n, n > 2048), (1, 0, 0, False), (1, 0, 0, False), (2, 0, 0, False)]
     assert token_counts.count_tokens(df.limit(0), PATH).count() == 0
+
+
+def changed(tmp_path, change):
+    """A file like the vocabulary file but for one change."""
+    with open(PATH, encoding="utf-8") as file:
+        parsed = json.load(file)
+    change(parsed)
+    (tmp_path / "changed.json").write_text(json.dumps(parsed), encoding="utf-8")
+    return str(tmp_path / "changed.json")
+
+
+def test_files_that_cannot_be_counted_word_by_word_are_refused(tmp_path):
+    with pytest.raises(ValueError):  # its pre-tokens begin with the blank before them
+        token_counts.prove(public_tokenizers.path("byte_bpe_50k.json"))
+    token = {"id": 49408, "content": "ab", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}
+    changes = (
+        lambda p: p["added_tokens"].append(token), lambda p: p["added_tokens"].append(token | {"special": True, "lstrip": True}),
+        lambda p: p.update(pre_tokenizer=None), lambda p: p["model"].update(type="WordLevel"),
+        lambda p: p.update(pre_tokenizer={"type": "Punctuation", "behavior": "Isolated"}),
+    )
+    for change in changes:
+        with pytest.raises(ValueError):
+            token_counts.prove(changed(tmp_path, change))
+    assert token_counts.prove(changed(tmp_path, lambda p: None)).whole
