@@ -189,6 +189,17 @@ def video_facts(videos: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
     )
 
 
+def reaction_averages(uploads: DataFrame, videos: DataFrame) -> DataFrame:
+    """Average likes and comments of each playlist's recent uploads; counts that are no numbers are left out."""
+    counted = videos.select(
+        "playlist_id", "video_id", "fetched_at",
+        to_count(F.col("like_count")).alias("likes"), to_count(F.col("comment_count")).alias("comments"),
+    )
+    return uploaded_videos(uploads, counted).groupBy("playlist_id").agg(
+        F.avg("likes").alias("avg_likes"), F.avg("comments").alias("avg_comments")
+    )
+
+
 def video_metrics(
     uploads: DataFrame, videos: DataFrame, keywords: tuple[str, ...]
 ) -> DataFrame:

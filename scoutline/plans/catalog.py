@@ -344,6 +344,12 @@ def avg_views(spark, sf_dir):
     return _metrics(spark, sf_dir).select("playlist_id", rounded("avg_views"))
 
 
+@query
+def avg_reactions(spark, sf_dir):
+    found = enrich.reaction_averages(_uploads(spark, sf_dir), V.videos(spark, sf_dir))
+    return found.select("playlist_id", rounded("avg_likes"), rounded("avg_comments"))
+
+
 @query
 def engagement(spark, sf_dir):
     return _metrics(spark, sf_dir).select("playlist_id", rounded("engagement_rate"))

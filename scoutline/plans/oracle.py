@@ -451,6 +451,10 @@ def oracle_sql() -> dict[str, str]:
             f"""select 'UU' || ck as playlist_id, {_stamp("arg_min(od, ok)")} as last_upload
                 from uploads join vids using (ok) group by ck"""
         ),
+        "avg_reactions": _over_videos(
+            """select 'UU' || ck as playlist_id, round(avg(likes), 6) as avg_likes,
+                round(avg(comments), 6) as avg_comments from uploads join vids using (ok) group by ck"""
+        ),
         "avg_views": _over_videos(
             "select 'UU' || ck as playlist_id, round(avg_views, 6) as avg_views from metrics"
         ),
