@@ -284,8 +284,8 @@ def _window_rows(settings: Settings, tables: dict[int, np.ndarray], walks: dict[
             low, high = np.searchsorted(places, starts), np.searchsorted(places, stops - length, "right")
             grams.append((hashes.view(np.int64), places, low, np.maximum(low, high)))
         some = np.flatnonzero(np.any([high > low for _, _, low, high in grams], axis=0))  # the others hold no whole piece
-        for a in range(0, len(some), 20_000):
-            part = some[a : a + 20_000]
+        for a in range(0, len(some), 4_000):
+            part = some[a : a + 4_000]
             contents = [words.hash[starts[i] : stops[i]].tobytes() for i in part.tolist()]
             names = [xxhash.xxh64_intdigest(c, number & 0xFF) - (1 << 63) for c in contents]
             fresh = [n for n, name in enumerate(names) if name not in seen and not seen.add(name)]

@@ -14,9 +14,9 @@ import numpy as np
 from pyspark.sql import SparkSession
 
 #: Texts are joined up to so many bytes; a longer text is cut at white space.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Rows that one Arrow batch carries to a Python worker: texts may be long.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 
 _SPACE = re.compile(rb"[ \t-\r]")
 IS_SPACE = np.zeros(256, dtype=bool)
