@@ -157,7 +157,8 @@ def _sums_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Requests and units by day and arrival of all rows of a task."""
     sums = None
     for batch in batches:
-        part = pa.Table.from_batches([batch])
+        # By name alone: the sums may be null where the columns they come from are not.
+        part = pa.table(batch.columns, names=batch.schema.names)
         part = part if sums is None else pa.concat_tables([sums, part])
         added = part.group_by(["day", "landed_at"]).aggregate([("requests", "sum"), ("units", "sum")])
         sums = added.rename_columns([c.removesuffix("_sum") for c in added.column_names]).select(batch.schema.names)

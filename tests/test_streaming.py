@@ -140,3 +140,16 @@ def test_a_task_sends_one_sum_per_day(spark):
     costs = spark.createDataFrame(rows, "day timestamp, landed_at timestamp, requests long, units long").coalesce(1)
     got = costs.mapInArrow(jobs._sums_of_task, costs.schema).collect()
     assert sorted((r.requests, r.units) for r in got) == [(20, 20), (50, 5000)]
+
+
+def test_quota_of_a_task_with_several_batches(spark, tmp_path):
+    rows = [("search" if n % 2 else "list", AT + timedelta(hours=n % 30), AT + timedelta(hours=40)) for n in range(200)]
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "7")
+    try:
+        got = quota(spark, tmp_path, [rows])
+    finally:
+        spark.conf.set(size, before)
+    want = discover.quota_use(spark.createDataFrame([r[:2] for r in rows], "endpoint string, requested_at timestamp")).collect()
+    assert {d: x[:3] for d, x in got.items()} == {str(r["day"])[:10]: (r["requests"], r["units"], r["over_quota"]) for r in want}
