@@ -1,15 +1,14 @@
 """Phrase collocation mining by stripes.
 
-A stripe belongs to a prefix of words and counts the words that follow it. Tasks combine the stripes
+A stripe belongs to a word and counts the runs of words that follow it. Tasks combine the stripes
 of a block of text before anything is shuffled; equal stripes are merged elementwise, and counters below
-the least count fall into one that stands for the rest, so that a stripe still adds up to its prefix. One
-such table per prefix length gives everything: its counters are the phrases one word longer, its sums the
-prefixes, its greatest counters what subsumes them.
+the least count are dropped. One such table per length gives everything: its counters are the phrases, those of
+the shorter ones (and the vocabulary) the parts at every cut, its greatest counters what subsumes them.
 
 Words are 64-bit keys (of language and word) while they are counted. The vocabulary is checked for two
 words with one key, and the job starts anew with another seed if it has any, so counts are exact.
 A phrase can be frequent only if the phrases in it are: bit tables of bounded size hold the frequent
-words and prefixes, and whatever else follows is counted as rest where it is met. A full table lets more
+words and runs, and whatever else follows is left out where it is met. A full table lets more
 through and loses nothing.
 """
 
@@ -31,7 +30,7 @@ from scoutline.session import stored
 #: Words that a task combines before it sends their stripes, and bytes that are hashed at once.
 TOGETHER = 2_000_000
 BLOCK = 1 << 20
-#: The key that stands for the end of a piece and for all words that follow rarely.
+#: The key that no word has.
 REST = 0
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -45,7 +44,7 @@ _KIND[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = 2
 @dataclass(frozen=True)
 class Settings:
     """``table_bits`` sizes the bit tables (2^25 bits are 4 MB, read by the driver as at most 2^19 rows).
-    A prefix with more than one in ``hot`` of all words has its stripe split by the following word into
+    A word with more than one in ``hot`` of all words has its stripe split by the following run into
     ``parts``; there are at most ``hot`` of them."""
 
     shortest: int = 2
@@ -193,26 +192,25 @@ def _ranked(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return number, first
 
 
-def _stripes(prefix: list[np.ndarray], after: np.ndarray, hot: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
-    """The stripes of a block: per prefix (and part, where it is hot) its following words with their counts."""
-    if not len(after):
+def _stripes(runs: list[np.ndarray], hot: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """The stripes of a block: per first word (and part, where it is hot) the runs that follow it with their counts."""
+    if not len(runs[0]):
         return
-    part = np.where(np.isin(joined_key(prefix), hot), 1 + mixed(after) % np.uint64(parts), 0).astype(np.int64)
-    number, first = _ranked([*prefix, part])
-    words, dense = np.unique(after, return_inverse=True)
-    pairs, counts = np.unique(number * len(words) + dense, return_counts=True)
-    owner, follows = pairs // len(words), words[pairs % len(words)].view(np.int64)
-    at = np.searchsorted(owner, np.arange(len(first) + 1))
-    for a in range(0, len(first), 20_000):
-        to = min(a + 20_000, len(first))
-        own, offsets = slice(at[a], at[to]), pa.array((at[a : to + 1] - at[a]).astype(np.int32))
-        columns = [pa.array(p[first[a:to]].view(np.int64)) for p in prefix]
-        columns += [
-            pa.array(part[first[a:to]].astype(np.int32)),
-            pa.ListArray.from_arrays(offsets, pa.array(follows[own])),
-            pa.ListArray.from_arrays(offsets, pa.array(counts[own].astype(np.int64))),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=[*_names(len(prefix)), "part", "after", "counts"])
+    number, first = _ranked(runs)
+    counts = np.bincount(number, minlength=len(first))
+    word, *after = (r[first] for r in runs)
+    part = np.where(np.isin(word, hot), 1 + mixed(joined_key(after)) % np.uint64(parts), 0).astype(np.int64)
+    stripe, own = _ranked([word, part])
+    order = np.argsort(stripe, kind="stable")
+    at = np.searchsorted(stripe[order], np.arange(len(own) + 1))
+    names = [*_names(len(runs) - 1)[1:], "after"]
+    for a in range(0, len(own), 5_000):
+        to = min(a + 5_000, len(own))
+        held, offsets = order[at[a] : at[to]], pa.array((at[a : to + 1] - at[a]).astype(np.int32))
+        lists = [*(c[held].view(np.int64) for c in after), counts[held].astype(np.int64)]
+        columns = [pa.array(word[own[a:to]].view(np.int64)), pa.array(part[own[a:to]].astype(np.int32))]
+        columns += [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in lists]
+        yield pa.RecordBatch.from_arrays(columns, names=["w0", "part", *names, "counts"])
 
 
 def _names(size: int) -> list[str]:
@@ -220,7 +218,7 @@ def _names(size: int) -> list[str]:
 
 
 def _stripe_rows(size: int, tables: list[np.ndarray], hot: np.ndarray, seed: int, key_bits: int, settings: Settings):
-    """Stripes of prefixes of ``size`` words; ``tables`` are those of frequent words and frequent prefixes."""
+    """Stripes of runs of ``size`` words and the one after them; ``tables`` are those of frequent words and frequent runs."""
     bits = settings.table_bits
 
     def block(read: list[_Words]) -> Iterator[pa.RecordBatch]:
@@ -233,12 +231,9 @@ def _stripe_rows(size: int, tables: list[np.ndarray], hot: np.ndarray, seed: int
         runs = [key[i : i + n] for i in range(size)]
         whole = piece[:n] == piece[size - 1 : size - 1 + n]
         known = whole & _has(tables[size - 1], joined_key(runs), bits)
-        at = np.flatnonzero(known)
-        # The next word counts by name if the run that it ends may be frequent as well.
-        then = np.minimum(at + 1, n - 1)
-        longer = (at + 1 < n) & known[then] & (piece[at] == piece[then])
-        after = np.where(longer, key[np.minimum(at + size, len(key) - 1)], np.uint64(REST))
-        yield from _stripes([r[at] for r in runs], after, hot, settings.parts)
+        # A longer run can be frequent if the two runs in it are.
+        at = np.flatnonzero(known[:-1] & known[1:] & (piece[: n - 1] == piece[1:n]))
+        yield from _stripes([*(r[at] for r in runs), key[at + size]], hot, settings.parts)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, words = [], 0
@@ -291,39 +286,32 @@ def vocabulary(texts: DataFrame, settings: Settings = Settings(), key_bits: int
 
 
 def stripes(texts: DataFrame, settings: Settings = Settings(), key_bits: int = 64) -> tuple[DataFrame, dict[int, DataFrame]]:
-    """The vocabulary, and per prefix length the merged stripes as (w0, ..., after, n), written tables.
-
-    ``after`` is NULL for whatever follows less than ``least`` times, and for the end of the piece. The
-    sum of a stripe is the count of its prefix; only prefixes that are frequent have a stripe that is
-    sure to be there.
+    """The vocabulary, and per size the merged stripes as (w0, ..., after, n), written tables: the runs of ``size`` + 1
+    words that occur at least ``least`` times.
     """
-    spark, bits = texts.sparkSession, settings.table_bits
+    bits = settings.table_bits
     words, seed = vocabulary(texts, settings, key_bits)
     total = words.agg(F.sum("n")).first()[0] or 0
     found: dict[int, DataFrame] = {}
     tables, frequent = [], words.where(F.col("n") >= settings.least).select(F.col("key").alias("w0"), "n")
+    # At most ``hot`` words have more than one in ``hot`` of all.
+    hot = frequent.where(F.col("n") * settings.hot > total).select("w0").toArrow().column("w0").to_numpy().view(np.uint64)
     for size in range(1, settings.longest):
         names = _names(size)
-        runs = stored(_joined(frequent, names), "frequent-runs")
-        tables.append(_bit_table(runs, F.col("run"), bits))
-        # At most ``hot`` prefixes have more than one in ``hot`` of all words.
-        hot = runs.where(F.col("n") * settings.hot > total).select("run").toArrow().column("run").to_numpy().view(np.uint64)
-        schema = ", ".join(f"{n} bigint" for n in names) + ", part int, after array<bigint>, counts array<bigint>"
+        tables.append(_bit_table(_joined(frequent, names), F.col("run"), bits))
+        lists = [*names[1:], "after", "counts"]
+        schema = "w0 bigint, part int, " + ", ".join(f"{n} array<bigint>" for n in lists)
         sent = texts.mapInArrow(_stripe_rows(size, tables, hot, seed, key_bits, settings), schema)
-        place = [*names, "part"]
-        rare = (F.col("n") < settings.least) | (F.col("after") == REST)
-        # Merged where the stripes lie after one shuffle; both sums keep to its partitions.
+        # Merged where the stripes lie after one shuffle: the sums keep to its partitions.
         merged = (
-            sent.repartition(*place)
-            .select(*place, F.explode(F.arrays_zip("after", "counts")).alias("one"))
-            .groupBy(*place, F.col("one.after").alias("after"))
+            sent.repartition("w0", "part")
+            .select("w0", "part", F.explode(F.arrays_zip(*lists)).alias("one"))
+            .groupBy("w0", "part", *[F.col(f"one.{n}").alias(n) for n in lists[:-1]])
             .agg(F.sum("one.counts").alias("n"))
-            .groupBy(*place, F.when(~rare, F.col("after")).alias("after"))
-            .agg(F.sum("n").alias("n"))
-            .drop("part")
+            .where(F.col("n") >= settings.least)
         )
-        found[size] = stored(merged.groupBy(*names, "after").agg(F.sum("n").alias("n")), f"stripes-{size}")
-        frequent = found[size].where("after is not null").withColumnRenamed("after", f"w{size}")
+        found[size] = stored(merged.select(*names, "after", "n"), f"stripes-{size}")
+        frequent = found[size].withColumnRenamed("after", f"w{size}")
     return words, found
 
 
@@ -365,14 +353,15 @@ def phrases(
     small_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     words, found = stripes(texts, settings, key_bits)
-    totals = {k: stored(v.groupBy(*_names(k)).agg(F.sum("n").alias("n")), f"totals-{k}") for k, v in found.items()}
     known = words.where(F.col("n") >= settings.least)
+    totals = {1: known.select(F.col("key").alias("w0"), "n")}
+    totals |= {k + 1: v.withColumnRenamed("after", f"w{k}") for k, v in found.items()}
     out = []
     for size in range(settings.shortest, settings.longest + 1):
         names = _names(size)
-        rows = found[size - 1].where("after is not null").select(*_names(size - 1), F.col("after").alias(f"w{size - 1}"), F.col("n").alias("a"))
+        rows = found[size - 1].select(*_names(size - 1), F.col("after").alias(f"w{size - 1}"), F.col("n").alias("a"))
         if size < settings.longest:
-            longer = found[size].where("after is not null")
+            longer = found[size]
             ahead = longer.groupBy(*names).agg(F.max("n").alias("most"))
             behind = longer.select(*[F.col(f"w{i + 1}").alias(f"w{i}") for i in range(size - 1)], F.col("after").alias(f"w{size - 1}"), "n")
             most = ahead.unionByName(behind.groupBy(*names).agg(F.max("n").alias("most"))).groupBy(*names).agg(F.max("most").alias("most"))

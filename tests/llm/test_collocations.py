@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from scoutline.llm import collocations as C
@@ -98,3 +100,25 @@ def test_products_beyond_64_bits(spark):
     totals = spark.createDataFrame([(1, 4_000_000_019), (2, 5_000_000_029)], "w0 long, n long")
     got = C._least_score(rows, 2, {1: totals}).first()
     assert got.score == 1_000_000 * 3_000_000_007**2 // (4_000_000_019 * 5_000_000_029)
+
+
+def test_one_stripe_a_word_and_nothing_of_rare_runs():
+    """However many runs follow a word, a block sends one row for it, and no run with a rare word."""
+    words = [f"a{i}" for i in range(20)]
+    text = " ".join(f"{x} {y} {z} rare{i}." for i, (x, y, z) in enumerate((x, y, z) for x in words for y in words for z in words[:3]))
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"], "text": [text]})
+    key = C._read(pa.RecordBatch.from_pydict({"lang": ["en"], "text": [" ".join(words)]}), 0, 64).key
+    s = C.Settings(table_bits=20)
+
+    def table(numbers):
+        bits = np.zeros(1 << s.table_bits, dtype=np.uint8)
+        bits[(numbers >> np.uint64(64 - s.table_bits)).astype(np.int64)] = 1
+        return np.packbits(bits, bitorder="little")
+
+    pairs = [np.repeat(key, 20), np.tile(key, 20)]
+    tables = [table(key), table(C.joined_key(pairs))]
+    for hot, rows in ((key[:0], 20), (key[:1], 19 + s.parts)):
+        sent = pa.Table.from_batches(C._stripe_rows(2, tables, hot, 0, 64, s)(iter([batch])))
+        assert 20 <= len(sent) <= rows and set(sent.column("w0").to_pylist()) == set(key.view(np.int64).tolist())
+        counts = [n for row in sent.column("counts").to_pylist() for n in row]
+        assert len(counts) == 20 * 20 * 3 and set(counts) == {1}
