@@ -124,24 +124,35 @@ def playlist_items(spark: SparkSession, path: str) -> DataFrame:
 def videos(spark: SparkSession, path: str) -> DataFrame:
     """Video records with counts as text, each under the playlist it was asked for. ``resp_idx`` counts over all
     requests for that playlist."""
-    tags = F.try_variant_get("snippet", "$.tags", "array<string>")
+    # Each part is taken apart once; an object gives a struct, whatever its fields are, and all else gives NULL.
+    snippet = F.try_variant_get("snippet", "$", "struct<title variant, description variant, tags variant, publishedAt string>")
+    counts = F.try_variant_get("statistics", "$", "struct<viewCount string, likeCount string, commentCount string>")
+    title, description, tags = (F.col(f"_snippet.{name}") for name in ("title", "description", "tags"))
     return (
         spark.read.schema(_VIDEOS)
         .json(path)
+        .select(
+            "playlist_id", F.col("id").alias("video_id"), "resp_idx", "fetched_at",
+            snippet.alias("_snippet"), F.col("snippet").isNotNull().alias("_has_snippet"),
+            counts.alias("_counts"), F.col("statistics").isNotNull().alias("_has_counts"),
+        )
         .select(
             "playlist_id",
-            F.col("id").alias("video_id"),
+            "video_id",
             "resp_idx",
-            _text("title").alias("title"),
-            _text("description").alias("description"),
-            tags.alias("tags"),
-            _text("publishedAt").alias("published_at"),
-            _text("viewCount", "statistics").alias("view_count"),
-            _text("likeCount", "statistics").alias("like_count"),
-            _text("commentCount", "statistics").alias("comment_count"),
+            F.try_variant_get(title, "$", "string").alias("title"),
+            F.try_variant_get(description, "$", "string").alias("description"),
+            F.try_variant_get(tags, "$", "array<string>").alias("tags"),
+            F.col("_snippet.publishedAt").alias("published_at"),
+            F.col("_counts.viewCount").alias("view_count"),
+            F.col("_counts.likeCount").alias("like_count"),
+            F.col("_counts.commentCount").alias("comment_count"),
             F.coalesce(
-                _no_object("snippet"), _no_object("statistics"), _broken("title"), _broken("description"),
-                _no_text_list("tags"),
+                F.when(F.col("_has_snippet") & F.col("_snippet").isNull(), F.lit("snippet")),
+                F.when(F.col("_has_counts") & F.col("_counts").isNull(), F.lit("statistics")),
+                _other_than(title, "title", "STRING"),
+                _other_than(description, "description", "STRING"),
+                _other_than(tags, "tags", "ARRAY<STRING>", "ARRAY<VOID>"),
             ).alias("invalid_field"),
             "fetched_at",
         )
@@ -167,16 +178,12 @@ def _no_object(part: str, inside: str | None = None) -> Column:
     return F.when(F.coalesce(wrong, F.lit(False)), F.lit(inside or part))
 
 
-def _no_text_list(field: str) -> Column:
-    """Name of a field that is present but no list of text."""
-    value = F.try_variant_get("snippet", f"$.{field}", "variant")
-    wrong = value.isNotNull() & ~F.schema_of_variant(value).isin("ARRAY<STRING>", "ARRAY<VOID>")
-    return F.when(wrong, F.lit(field))
+def _other_than(value: Column, name: str, *kinds: str) -> Column:
+    """Name of a field that is present but of none of these kinds."""
+    return F.when(value.isNotNull() & ~F.schema_of_variant(value).isin(*kinds), F.lit(name))
 
 
 def _broken(field: str, name: str | None = None, *, null_ok: bool = False, part: str = "snippet") -> Column:
     """Name of a field that is present but not text."""
     value = F.try_variant_get(part, f"$.{field}", "variant")
-    allowed = ["STRING", "VOID"] if null_ok else ["STRING"]
-    wrong = value.isNotNull() & ~F.schema_of_variant(value).isin(*allowed)
-    return F.when(wrong, F.lit(name or field))
+    return _other_than(value, name or field, *(["STRING", "VOID"] if null_ok else ["STRING"]))

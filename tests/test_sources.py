@@ -6,9 +6,11 @@ import pytest
 
 from scoutline.operators import discover, enrich, quality
 from scoutline.config import Enrichment, Rules, Settings
+from scoutline.plans import views
 from scoutline.schemas import CREATORS, MESSAGES, PLAYLIST_ITEMS, RAW_CHANNELS, SEARCH_PAGES, VIDEOS
 from scoutline.session import drop_dir, shared_dir, stored
 from scoutline.sources import landing, tables
+from tests.llm.conftest import SF
 
 
 def lines(folder, *records):
@@ -62,6 +64,29 @@ def test_torn_lines_are_failed_pages_and_counted(spark, tmp_path):
     assert quality.landing_checks(both).first()["total_rows"] == 4
 
 
+def test_landed_videos_are_taken_apart_once(spark, tmp_path):
+    """Each part is opened once for all its fields, whatever is asked of them, and values of any kind read as text."""
+    kinds = {"text": "a", "whole": 5, "half": 1.5, "yes": True, "none": None, "list": ["a"], "object": {"a": 1}}
+    path = lines(tmp_path / "v", *[{"id": k, "snippet": {"title": v}, "statistics": {"viewCount": v}} for k, v in kinds.items()])
+    read = landing.videos(spark, path)
+    plan = read._jdf.queryExecution().optimizedPlan().toString().replace("try_variant_get(snippet", "variant_get(snippet")
+    assert plan.count("variant_get(snippet") == 1 and plan.count("variant_get(statistics") == 1
+    want = {"text": "a", "whole": "5", "half": "1.5", "yes": "true", "none": None, "list": '["a"]', "object": '{"a":1}'}
+    rows = read.collect()
+    assert {r["video_id"]: (r["title"], r["view_count"]) for r in rows} == {k: (v, v) for k, v in want.items()}
+    assert {r["video_id"] for r in rows if r["invalid_field"] == "title"} == set(kinds) - {"text"}
+
+
+def test_both_landings_of_the_videos_come_from_one_read(spark):
+    """Every eleventh video is landed twice; the joins that make it are done once."""
+    made = views.videos(spark, SF)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_quantity" in plan and "Union" not in plan
+    rows = [(r["playlist_id"], r["video_id"], r["title"], r["view_count"]) for r in made.collect()]
+    old = {r[:2] for r in rows if r[2:] == ("old title", "7")}
+    assert old == {r[:2] for r in rows if int(r[1][1:]) % 11 == 0} and len(rows) == len({r[:2] for r in rows}) + len(old)
+
+
 def test_null_parts_and_wrong_types_break_a_record(spark, tmp_path):
     path = lines(
         tmp_path / "v",
